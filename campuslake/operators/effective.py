@@ -9,7 +9,7 @@ map-side combine, joined back on its key.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -90,59 +90,94 @@ def as_of_max(
     return reached.groupBy(*keys).agg(F.max(effective).alias(name or effective))
 
 
-def rows_in_force(
-    versions: DataFrame,
-    keys: Sequence[str],
+def role_dates(
+    rows: DataFrame,
+    key: str,
     effdt: str,
     as_of: AsOf,
-    dates: DataFrame | None = None,
+    roles: Mapping[str, Column],
+    together: bool = False,
+) -> DataFrame:
+    """Per key and role, the date in force, one pass over the rows for all roles.
+
+    ``<role>_known`` says that the key has rows of the role, ``<role>_held`` that
+    some of them hold: dated at the latest date that is not in the future, or not
+    dated. With ``together`` that latest date is taken over the rows of all roles,
+    so a role whose newest row is older than another's does not hold.
+    """
+    date = F.col(effdt)
+    reached = F.when(date <= moment(as_of), date)
+    facts = [F.max(reached).alias("_latest")]
+    for role, rule in roles.items():
+        facts += [
+            F.max(F.when(rule, reached)).alias(f"{role}_date"),
+            F.bool_or(rule).alias(f"{role}_known"),
+            F.bool_or(rule & date.isNull()).alias(f"{role}_undated"),
+        ]
+    dates = rows.groupBy(key).agg(*facts)
+    for role in roles:
+        own = F.col(f"{role}_date")
+        if together:
+            dates = dates.withColumn(f"{role}_date", F.when(own == F.col("_latest"), own))
+        held = own.isNotNull() | F.col(f"{role}_undated")
+        dates = dates.withColumn(f"{role}_held", held)
+    return dates.drop("_latest", *(f"{role}_undated" for role in roles))
+
+
+def without_expired(
+    roster: DataFrame, dates: DataFrame, key: str, roles: Iterable[str]
+) -> DataFrame:
+    """Roster keys with their dates, less those that know a role of which nothing holds."""
+    dated = roster.join(dates, key, "left")
+    for role in roles:
+        known = F.coalesce(F.col(f"{role}_known"), F.lit(False))
+        dated = dated.withColumn(f"{role}_known", known)
+        dated = dated.filter(~known | F.col(f"{role}_held"))
+    return dated
+
+
+def rows_in_force(
+    versions: DataFrame, dates: DataFrame, key: str, effdt: str, role: str
+) -> DataFrame:
+    """All versions dated at the role's date in force, and undated ones. Ties stay."""
+    dates = dates.select(key, f"{role}_date")
+    return (
+        versions.join(dates, key)
+        .filter(F.col(effdt).isNull() | (F.col(effdt) == F.col(f"{role}_date")))
+        .drop(effdt, f"{role}_date")
+    )
+
+
+def attach_in_force(
+    base: DataFrame, versions: DataFrame, dates: DataFrame, key: str, effdt: str, role: str
 ) -> DataFrame:
-    """All rows dated at their key's latest not-future date, and undated rows.
+    """Join the versions in force, with nulls for the keys that know none.
 
-    Ties stay. ``dates`` holds the rows that latest date is taken over, if they
-    are more than the versions themselves.
+    The versions are completed by those keys and joined inner: Spark can split a
+    skewed right side of an inner join, not of a left join.
     """
-    dates = versions if dates is None else dates
-    cutoff = as_of_max(dates, keys, effdt, moment(as_of), "_cutoff")
-    dated = versions.join(cutoff, list(keys), "left")
-    return dated.filter(
-        F.col(effdt).isNull() | (F.col(effdt) == F.col("_cutoff"))
-    ).drop("_cutoff")
+    held = rows_in_force(versions, dates, key, effdt, role)
+    absent = dates.filter(~F.col(f"{role}_known")).select(key)
+    return base.join(held.unionByName(absent, allowMissingColumns=True), key)
 
 
 def latest_or_absent(
-    base: DataFrame,
-    roster: DataFrame,
-    versions: DataFrame,
-    key: str,
-    effdt: str,
-    as_of: AsOf,
-    dates: DataFrame | None = None,
+    base: DataFrame, roster: DataFrame, versions: DataFrame, key: str, effdt: str, as_of: AsOf
 ) -> DataFrame:
     """Attach the versions in force; nulls only for a key that has no version at all.
 
     A key whose versions are all dated later leaves the result: it has versions,
     and none of them holds. ``roster`` is the distinct keys of ``base`` or more.
     """
-    wanted = versions.join(roster, key, "left_semi")
-    in_force = rows_in_force(wanted, [key], effdt, as_of, dates)
-    return base.join(with_absent(in_force.drop(effdt), roster, versions, key), key)
+    found = role_dates(versions, key, effdt, as_of, {"version": F.lit(True)})
+    dates = without_expired(roster, found, key, ["version"])
+    return attach_in_force(base, versions, dates, key, effdt, "version")
 
 
 def left_join_spread(
     base: DataFrame, roster: DataFrame, right: DataFrame, key: str
 ) -> DataFrame:
-    """A left join whose right side may be skewed.
-
-    Spark splits a skewed right side of an inner join, not of a left join, so the
-    right side is completed with a null row for every roster key it lacks.
-    """
+    """A left join whose right side may be skewed, as an inner join to a completed side."""
+    absent = roster.join(right.select(key).distinct(), key, "left_anti")
     wanted = right.join(roster, key, "left_semi")
-    return base.join(with_absent(wanted, roster, right, key), key)
-
-
-def with_absent(
-    rows: DataFrame, roster: DataFrame, present: DataFrame, key: str
-) -> DataFrame:
-    absent = roster.join(present.select(key).distinct(), key, "left_anti")
-    return rows.unionByName(absent, allowMissingColumns=True)
+    return base.join(wanted.unionByName(absent, allowMissingColumns=True), key)

@@ -15,14 +15,17 @@ from campuslake.functions.expressions import (
     preferred_first_name,
 )
 from campuslake.operators.effective import (
+    attach_in_force,
     current_active,
     first_by,
-    latest_or_absent,
     latest_row,
     left_join_spread,
     not_future,
+    role_dates,
     rows_in_force,
+    without_expired,
 )
+from campuslake.session import shared_folder
 
 # Fixed values
 ETHNIC_FIELD = "ETHNIC_GROUP"
@@ -50,19 +53,20 @@ def enrolled_persons(career_terms: DataFrame, term: Column) -> DataFrame:
     return current_active(career_terms).filter(F.col("strm") == term).select("emplid").distinct()
 
 
-def citizenships(citizenship: DataFrame, statuses: DataFrame) -> DataFrame:
-    """One active citizenship per person and country, with its description."""
+def home_citizenships(citizenship: DataFrame, statuses: DataFrame) -> DataFrame:
+    """One active home-country citizenship per person, with its description."""
+    home = F.col("country") == HOME_COUNTRY
     described = first_by(
-        current_active(statuses),
-        ["country", "citizenship_status"],
+        current_active(statuses).filter(home),
+        ["citizenship_status"],
         [F.col("descr").asc_nulls_last()],
-    ).select("country", "citizenship_status", F.col("descr").alias("citizenship_descrshort"))
+    ).select("citizenship_status", F.col("descr").alias("citizenship_descrshort"))
     chosen = first_by(
-        current_active(citizenship),
-        ["emplid", "country"],
+        current_active(citizenship).filter(home),
+        ["emplid"],
         [F.col("citizenship_status").asc_nulls_last()],
     ).select("emplid", "country", "citizenship_status")
-    return chosen.join(described, ["country", "citizenship_status"], "left")
+    return chosen.join(described, "citizenship_status", "left")
 
 
 def ethnic_groups(groups: DataFrame, translations: DataFrame, as_of: AsOf = None) -> DataFrame:
@@ -99,9 +103,9 @@ def race_detail(
     ties going to the lowest status, set, group, name and Hispanic flag. Each of
     these belongs to one side, so each side picks its own row before they meet.
     """
-    home = citizenships(
-        citizenship.filter(F.col("country") == HOME_COUNTRY), statuses
-    ).join(enrolled_persons(career_terms, term), "emplid", "left_semi")
+    home = home_citizenships(citizenship, statuses).join(
+        enrolled_persons(career_terms, term), "emplid", "left_semi"
+    )
     details = first_by(
         current_active(ethnicities),
         ["emplid", "ethnic_grp_cd"],
@@ -194,6 +198,40 @@ def attribute(attributes: DataFrame, attribute_name: str, alias: str) -> DataFra
     )
 
 
+def profile_dates(
+    personal: DataFrame,
+    names: DataFrame,
+    attributes: DataFrame,
+    roster: DataFrame,
+    gender_attribute: str,
+    tribe_attribute: str,
+    as_of: AsOf,
+) -> DataFrame:
+    """One row per student that has a profile: the dates of the rows that make it.
+
+    An attribute holds if it is dated at the person's latest attribute date,
+    whichever attribute that date belongs to.
+    """
+    name_type, attribute_name = F.col("name_type"), F.col("scc_caf_attrib_nm")
+    parts = [
+        (personal, {"personal": F.lit(True)}, False),
+        (names, {"preferred": name_type == PREFERRED, "legal": name_type == LEGAL}, False),
+        (
+            attributes,
+            {
+                "gender": attribute_name == gender_attribute,
+                "tribe": attribute_name == tribe_attribute,
+            },
+            True,
+        ),
+    ]
+    dates = roster
+    for rows, roles, together in parts:
+        found = role_dates(rows, "emplid", "effdt", as_of, roles, together)
+        dates = without_expired(dates, found, "emplid", roles)
+    return dates.filter("personal_known")
+
+
 def bio_demographics(
     personal: DataFrame,
     names: DataFrame,
@@ -209,30 +247,35 @@ def bio_demographics(
 ) -> DataFrame:
     """The profile of every active student of the term.
 
-    An attribute holds if it is dated at the person's latest attribute date,
-    whichever attribute that date belongs to.
+    The dates in force are a narrow table, one row per student, and every part of
+    the profile reads it; it is checkpointed when this is called.
     """
-    roster = enrolled_persons(career_terms, term)
-    active_names, active_attributes = current_active(names), current_active(attributes)
-    attribute_dates = active_attributes.select("emplid", F.col("effdt").alias("attribute_effdt"))
+    personal, names, attributes = map(current_active, (personal, names, attributes))
+    dates = profile_dates(
+        personal, names, attributes, enrolled_persons(career_terms, term),
+        gender_attribute, tribe_attribute, as_of,
+    )
+    shared_folder(dates.sparkSession)
+    dates = dates.checkpoint()
 
-    personal = current_active(personal).select("emplid", "sex", "effdt")
     profile = rows_in_force(
-        personal.join(roster, "emplid", "left_semi"), ["emplid"], "effdt", as_of, personal
-    ).drop("effdt")
-    for name_type, prefix in ((PREFERRED, "preferred"), (LEGAL, "legal")):
-        profile = latest_or_absent(
-            profile, roster, names_of_type(active_names, name_type, prefix),
-            "emplid", "name_effdt", as_of,
-        )
-    for name, alias in ((gender_attribute, "gender_pref"), (tribe_attribute, "tribal_affiliation")):
-        profile = latest_or_absent(
-            profile, roster, attribute(active_attributes, name, alias),
-            "emplid", "attribute_effdt", as_of, attribute_dates,
-        )
+        personal.select("emplid", "sex", "effdt"), dates, "emplid", "effdt", "personal"
+    )
+    for role, name_type in (("preferred", PREFERRED), ("legal", LEGAL)):
+        versions = names_of_type(names, name_type, role)
+        profile = attach_in_force(profile, versions, dates, "emplid", "name_effdt", role)
+    for role, name, alias in (
+        ("gender", gender_attribute, "gender_pref"),
+        ("tribe", tribe_attribute, "tribal_affiliation"),
+    ):
+        versions = attribute(attributes, name, alias)
+        profile = attach_in_force(profile, versions, dates, "emplid", "attribute_effdt", role)
+
+    roster = dates.select("emplid")
     life = current_active(persons).select("emplid", "birthdate", "dt_of_death")
-    residencies = residencies.join(roster, "emplid", "left_semi")
-    home = official_residency(residencies, all_residencies).select(
+    home = official_residency(
+        residencies.join(roster, "emplid", "left_semi"), all_residencies
+    ).select(
         "emplid", *(F.col(c).alias(f"res_{c}") for c in ("city", "country", "county", "state"))
     )
     first = preferred_first_name(F.col("preferred_first_name"), F.col("legal_first_name"))

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from campuslake import Warehouse
@@ -72,19 +72,26 @@ class Derived:
             end.alias("term_end_dt"),
         )
 
-    def p_stdnt_car_term_av(self) -> DataFrame:
-        student = F.col("emplid")
-        first_career = F.min("acad_career").over(Window.partitionBy("emplid", "strm"))
+    def _student_terms(self) -> DataFrame:
+        """One row per student, term and career, with the term's first career."""
         careers = (
             self.table("orders")
             .select(F.col("o_custkey").alias("emplid"), _term(), _career())
-            .distinct()
+            .groupBy("emplid", "strm")
+            .agg(F.collect_set("acad_career").alias("careers"))
         )
         return careers.select(
-            "emplid", "strm", "acad_career", F.lit("I0").alias("institution"),
+            "emplid", "strm", F.explode("careers").alias("acad_career"),
+            F.array_min("careers").alias("first_career"), F.lit("I0").alias("institution"),
+        )
+
+    def p_stdnt_car_term_av(self) -> DataFrame:
+        student = F.col("emplid")
+        return self._student_terms().select(
+            "emplid", "strm", "acad_career", "institution",
             F.when(student % 11 == 0, "NONE")
             .when(student % 4 == 1, F.col("acad_career"))
-            .otherwise(first_career).alias("billing_career"),
+            .otherwise(F.col("first_career")).alias("billing_career"),
             _unless(student % 5 == 0).alias("elig_to_enroll"),
             F.when(student % 3 == 0, "WDR").when(student % 3 == 1, "NWD").alias("withdraw_code"),
             F.lit(START).alias("edw_eff_start_date"),
@@ -140,14 +147,11 @@ class Derived:
         return self.p_residency_off_av().select("emplid", "acad_career", "effective_term")
 
     def s_acad_car_tbl_v(self) -> DataFrame:
-        rows = [
-            ("I0", "UGRD", 1, dt.date(1990, 1, 1)),
-            ("I0", "UGRD", 9, dt.date(1996, 1, 1)),
-            ("I0", "GRAD", 2, dt.date(1990, 1, 1)),
-            ("I0", "PROF", 3, dt.date(1990, 1, 1)),
-        ]
-        return self.spark.createDataFrame(
-            rows, "institution STRING, acad_career STRING, fa_primacy_nbr INT, effdt DATE"
+        return self.spark.sql(
+            """SELECT * FROM VALUES
+            ('I0', 'UGRD', 1, DATE '1990-01-01'), ('I0', 'UGRD', 9, DATE '1996-01-01'),
+            ('I0', 'GRAD', 2, DATE '1990-01-01'), ('I0', 'PROF', 3, DATE '1990-01-01')
+            AS t (institution, acad_career, fa_primacy_nbr, effdt)"""
         )
 
     def p_citizenship_av(self) -> DataFrame:
@@ -256,12 +260,12 @@ class Derived:
 
     def r_studentterm_rv(self) -> DataFrame:
         student = F.col("emplid")
-        order = F.row_number().over(Window.partitionBy("emplid", "strm").orderBy("acad_career"))
-        return self.p_stdnt_car_term_av().select(
+        return self._student_terms().select(
             "emplid", "strm", "acad_career", "institution",
             F.when(student % 4 == 0, "C").when(student % 4 == 1, "E")
             .when(student % 4 == 2, "W").otherwise("N").alias("enrollment_status"),
-            F.when(order == 1, "Y").otherwise("N").alias("primary_car_flag"),
+            F.when(F.col("acad_career") == F.col("first_career"), "Y").otherwise("N")
+            .alias("primary_car_flag"),
             (10 * (1 + student % 4)).cast("string").alias("acad_level_bot"),
             F.concat(F.lit("P"), (student % 30).cast("string")).alias("acad_plan"),
             (student % 18).cast("int").alias("tot_proj_units"),
@@ -272,19 +276,16 @@ class Derived:
         )
 
     def t_xlatitem_v(self) -> DataFrame:
-        rows = [
-            ("ACADEMIC_LEVEL", "10", "FR", "Freshman", dt.date(1990, 1, 1)),
-            ("ACADEMIC_LEVEL", "10", "FRS", "First year", dt.date(1996, 1, 1)),
-            ("ACADEMIC_LEVEL", "10", "FUT", "Future", dt.date(2050, 1, 1)),
-            ("ACADEMIC_LEVEL", "20", "SO", "Sophomore", dt.date(1990, 1, 1)),
-            ("ACADEMIC_LEVEL", "20", "SO2", "Sophomore tie", dt.date(1990, 1, 1)),
-            ("ACADEMIC_LEVEL", "30", "JR", "Junior", dt.date(1990, 1, 1)),
-            ("OTHER", "40", "XX", "Other", dt.date(1990, 1, 1)),
-        ]
-        return self.spark.createDataFrame(
-            rows,
-            "fieldname STRING, fieldvalue STRING, xlatshortname STRING, "
-            "xlatlongname STRING, effdt DATE",
+        return self.spark.sql(
+            """SELECT * FROM VALUES
+            ('ACADEMIC_LEVEL', '10', 'FR', 'Freshman', DATE '1990-01-01'),
+            ('ACADEMIC_LEVEL', '10', 'FRS', 'First year', DATE '1996-01-01'),
+            ('ACADEMIC_LEVEL', '10', 'FUT', 'Future', DATE '2050-01-01'),
+            ('ACADEMIC_LEVEL', '20', 'SO', 'Sophomore', DATE '1990-01-01'),
+            ('ACADEMIC_LEVEL', '20', 'SO2', 'Sophomore tie', DATE '1990-01-01'),
+            ('ACADEMIC_LEVEL', '30', 'JR', 'Junior', DATE '1990-01-01'),
+            ('OTHER', '40', 'XX', 'Other', DATE '1990-01-01')
+            AS t (fieldname, fieldvalue, xlatshortname, xlatlongname, effdt)"""
         )
 
     def r_stdntbiodemo_rv(self) -> DataFrame:
