@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from campuslake.functions.expressions import AsOf, day, moment
+from campuslake.operators.relational import join_completed, spread_join
 
 
 def current_active(df: DataFrame) -> DataFrame:
@@ -142,7 +143,7 @@ def rows_in_force(
     """All versions dated at the role's date in force, and undated ones. Ties stay."""
     dates = dates.select(key, f"{role}_date")
     return (
-        versions.join(dates, key)
+        spread_join(versions, dates, key)
         .filter(F.col(effdt).isNull() | (F.col(effdt) == F.col(f"{role}_date")))
         .drop(effdt, f"{role}_date")
     )
@@ -151,14 +152,10 @@ def rows_in_force(
 def attach_in_force(
     base: DataFrame, versions: DataFrame, dates: DataFrame, key: str, effdt: str, role: str
 ) -> DataFrame:
-    """Join the versions in force, with nulls for the keys that know none.
-
-    The versions are completed by those keys and joined inner: Spark can split a
-    skewed right side of an inner join, not of a left join.
-    """
+    """Join the versions in force, with nulls for the keys that know none."""
     held = rows_in_force(versions, dates, key, effdt, role)
     absent = dates.filter(~F.col(f"{role}_known")).select(key)
-    return base.join(held.unionByName(absent, allowMissingColumns=True), key)
+    return join_completed(base, held, absent, key)
 
 
 def latest_or_absent(
@@ -173,11 +170,3 @@ def latest_or_absent(
     dates = without_expired(roster, found, key, ["version"])
     return attach_in_force(base, versions, dates, key, effdt, "version")
 
-
-def left_join_spread(
-    base: DataFrame, roster: DataFrame, right: DataFrame, key: str
-) -> DataFrame:
-    """A left join whose right side may be skewed, as an inner join to a completed side."""
-    absent = roster.join(right.select(key).distinct(), key, "left_anti")
-    wanted = right.join(roster, key, "left_semi")
-    return base.join(wanted.unionByName(absent, allowMissingColumns=True), key)

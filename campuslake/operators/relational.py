@@ -8,13 +8,58 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def spread_join(
+    many: DataFrame, few: DataFrame, on: str | Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Join many rows to few rows per key, where one key may hold much of ``many``.
+
+    Spark splits a skewed partition at run time only where both sides of the join
+    come straight from a shuffle. ``few`` is usually grouped or ranked by the join
+    key and would be joined in place, so a hash of the key is added to the key: it
+    asks for a shuffle of the reduced ``few`` and changes no match. A small ``few``
+    is still broadcast by its size.
+    """
+    keys = [on] if isinstance(on, str) else list(on)
+    if any(many.schema[k].dataType != few.schema[k].dataType for k in keys):
+        return many.join(few, keys, how)  # equal values of two types hash differently
+    spread = F.xxhash64(*keys)
+    joined = many.withColumn("_spread", spread).join(
+        few.withColumn("_spread", spread), [*keys, "_spread"], how
+    )
+    return joined.drop("_spread")
+
+
+def left_join_spread(
+    base: DataFrame, roster: DataFrame, right: DataFrame, key: str
+) -> DataFrame:
+    """A left join whose right side may be skewed.
+
+    Spark can split a skewed right side of an inner join, not of a left join, so the
+    right side is completed with a null row for every roster key that it lacks.
+    ``roster`` holds the distinct keys of ``base`` or more.
+    """
+    wanted = spread_join(right, roster, key, "left_semi")
+    absent = roster.join(right.select(key).distinct(), key, "left_anti")
+    return join_completed(base, wanted, absent, key)
+
+
+def join_completed(base: DataFrame, rows: DataFrame, absent: DataFrame, key: str) -> DataFrame:
+    """Join rows to the base, with nulls for the absent keys."""
+    return spread_join(base, rows.unionByName(absent, allowMissingColumns=True), key)
+
+
 def left_join_suffixed(
     left: DataFrame, right: DataFrame, on: Sequence[str], suffix: str
 ) -> DataFrame:
-    """Left join that renames the right side's overlapping columns."""
+    """Left join that renames the right side's overlapping columns.
+
+    The right side may be skewed; both sides are read twice.
+    """
     overlap = (set(left.columns) & set(right.columns)) - set(on)
     renamed = right.withColumnsRenamed({c: c + suffix for c in overlap})
-    return left.join(renamed, list(on), "left").select(
+    matched = spread_join(left, renamed, on)
+    lacking = spread_join(left, right.select(*on).distinct(), on, "left_anti")
+    return matched.unionByName(lacking, allowMissingColumns=True).select(
         *left.columns, *(c for c in renamed.columns if c not in on)
     )
 

@@ -18,8 +18,9 @@ from campuslake.operators.effective import (
     sole_row,
     top_two,
 )
-from campuslake.operators.relational import left_join_suffixed
+from campuslake.operators.relational import left_join_suffixed, spread_join
 from campuslake.plans.terms import next_term_begin
+from campuslake.session import shared_folder
 
 # Fixed values
 ENROLLED_STATUSES = ("C", "E", "W")
@@ -75,14 +76,13 @@ def term_enrollment(
     as_of: AsOf = None,
 ) -> DataFrame:
     """Enrolled students of the term with plan, level description and home data."""
-    levels = level_descriptions(translations, as_of)
-    described = (
-        enrolled_in_term(student_term, term)
-        .join(top_two(plans, ["acad_plan", "institution"], "acad_plan"), ["acad_plan", "institution"])
-        .join(top_two(levels, ["acad_level_bot"], "effdt"), "acad_level_bot", "left")
-    )
+    plan_key, level_key = ["acad_plan", "institution"], ["acad_level_bot"]
+    levels = top_two(level_descriptions(translations, as_of), level_key, "effdt")
+    enrolled = enrolled_in_term(student_term, term)
+    planned = spread_join(enrolled, top_two(plans, plan_key, "acad_plan"), plan_key)
+    described = spread_join(planned, levels, level_key, "left")
     latest = latest_row_strict(described, ["emplid", "acad_career", "institution"], "effdt")
-    return latest.join(sole_row(biodemo, ["emplid"]), "emplid").select(*TERM_COLUMNS)
+    return spread_join(latest, sole_row(biodemo, ["emplid"]), "emplid").select(*TERM_COLUMNS)
 
 
 def course_enrollment(
@@ -102,27 +102,32 @@ def course_enrollment(
         .select("acad_career", "next_term_begin_dt1")
     )
     reached = (
-        offered.join(ends, "acad_career")
-        .join(catalog, COURSE)
+        spread_join(catalog, spread_join(offered, ends, "acad_career"), COURSE)
         .filter(F.col("crse_effdt") <= F.col("next_term_begin_dt1"))
         .drop("next_term_begin_dt1")
     )
-    in_force = top_two(reached, [*COURSE, "acad_career"], "crse_effdt")
-    latest = latest_row_strict(
-        taken.join(in_force, [*COURSE, "acad_career"]), STUDENT_SECTION, "crse_effdt"
-    )
-    meetings = (
-        schedule.filter((F.col("strm") == term) & (F.col("class_stat") == "A"))
-        .join(sessions.filter(F.col("strm") == term), ["strm", "session_code"])
+    offer = [*COURSE, "acad_career"]
+    described = spread_join(taken, top_two(reached, offer, "crse_effdt"), offer)
+    latest = latest_row_strict(described, STUDENT_SECTION, "crse_effdt")
+    meetings = spread_join(
+        schedule.filter((F.col("strm") == term) & (F.col("class_stat") == "A")),
+        sessions.filter(F.col("strm") == term),
+        ["strm", "session_code"],
     )
-    meeting = sole_row(meetings, [*SECTION, "acad_career"])
+    section = [*SECTION, "acad_career"]
     return (
-        latest.join(meeting, [*SECTION, "acad_career"])
+        spread_join(latest, sole_row(meetings, section), section)
         .withColumnRenamed("unt_billing", "asessed_credit")
         .select(*COURSE_COLUMNS)
     )
 
 
 def enrollment_schedule(terms: DataFrame, courses: DataFrame) -> DataFrame:
-    """Every term enrollment with its courses; shared column names end in ``_crs``."""
-    return left_join_suffixed(terms, courses, ["emplid", "strm"], "_crs")
+    """Every term enrollment with its courses; shared column names end in ``_crs``.
+
+    Both are read twice, so they are checkpointed when this is called.
+    """
+    shared_folder(terms.sparkSession)
+    return left_join_suffixed(
+        terms.checkpoint(), courses.checkpoint(), ["emplid", "strm"], "_crs"
+    )

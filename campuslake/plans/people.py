@@ -19,12 +19,12 @@ from campuslake.operators.effective import (
     current_active,
     first_by,
     latest_row,
-    left_join_spread,
     not_future,
     role_dates,
     rows_in_force,
     without_expired,
 )
+from campuslake.operators.relational import left_join_spread, spread_join
 from campuslake.session import shared_folder
 
 # Fixed values
@@ -66,7 +66,7 @@ def home_citizenships(citizenship: DataFrame, statuses: DataFrame) -> DataFrame:
         ["emplid"],
         [F.col("citizenship_status").asc_nulls_last()],
     ).select("emplid", "country", "citizenship_status")
-    return chosen.join(described, "citizenship_status", "left")
+    return spread_join(chosen, described, "citizenship_status", "left")
 
 
 def ethnic_groups(groups: DataFrame, translations: DataFrame, as_of: AsOf = None) -> DataFrame:
@@ -111,8 +111,8 @@ def race_detail(
         ["emplid", "ethnic_grp_cd"],
         [F.col("hisp_latino").asc_nulls_last()],
     ).select("emplid", "ethnic_grp_cd", "hisp_latino")
-    defined = details.join(
-        ethnic_groups(groups, translations, as_of), "ethnic_grp_cd", "left"
+    defined = spread_join(
+        details, ethnic_groups(groups, translations, as_of), "ethnic_grp_cd", "left"
     )
     return home.join(defined, "emplid", "left").select(*RACE_COLUMNS)
 
@@ -160,13 +160,10 @@ def official_residency(residencies: DataFrame, all_residencies: DataFrame) -> Da
     earliest = all_residencies.groupBy("emplid", "acad_career").agg(
         F.min("effective_term").alias("_first_term")
     )
-    held = (
-        current_active(residencies)
-        .join(earliest, ["emplid", "acad_career"], "left")
-        .filter(
-            F.col("effective_term").isNull()
-            | (F.col("effective_term") == F.col("_first_term"))
-        )
+    held = spread_join(
+        current_active(residencies), earliest, ["emplid", "acad_career"], "left"
+    ).filter(
+        F.col("effective_term").isNull() | (F.col("effective_term") == F.col("_first_term"))
     )
     address = ["city", "state", "county", "country"]
     return first_by(
@@ -274,14 +271,14 @@ def bio_demographics(
     roster = dates.select("emplid")
     life = current_active(persons).select("emplid", "birthdate", "dt_of_death")
     home = official_residency(
-        residencies.join(roster, "emplid", "left_semi"), all_residencies
+        spread_join(residencies, roster, "emplid", "left_semi"), all_residencies
     ).select(
         "emplid", *(F.col(c).alias(f"res_{c}") for c in ("city", "country", "county", "state"))
     )
     first = preferred_first_name(F.col("preferred_first_name"), F.col("legal_first_name"))
+    lived = left_join_spread(profile, roster, life, "emplid")
     return (
-        left_join_spread(profile, roster, life, "emplid")
-        .join(home, "emplid", "left")
+        spread_join(lived, home, "emplid", "left")
         .withColumn("university_first_name", first)
         .withColumn(
             "university_name",

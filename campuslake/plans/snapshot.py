@@ -21,7 +21,7 @@ from campuslake.operators.effective import (
     not_future,
     version_at,
 )
-from campuslake.operators.relational import over_keys, pivot_count_total
+from campuslake.operators.relational import over_keys, pivot_count_total, spread_join
 
 RESIDENCY = ["residency", "admission_res", "tuition_res", "fin_aid_fed_res"]
 CAREER_KEY = ["emplid", "acad_career", "institution"]
@@ -108,7 +108,7 @@ def with_primary_flag(credits: DataFrame, primacy: DataFrame) -> DataFrame:
     career, billing = F.col("acad_career"), F.col("billing_career")
     billed = F.when(career == billing, 1).otherwise(0)
     return (
-        credits.join(primacy, "acad_career", "left")
+        spread_join(credits, primacy, "acad_career", "left")
         .withColumn("bill", billed)
         .withColumn("fanummin", over_keys(F.min("fa_primacy_nbr"), student))
         .withColumn("billcnt", over_keys(F.sum("bill"), student))

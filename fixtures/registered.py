@@ -18,13 +18,14 @@ from campuslake.operators.effective import (
     latest_or_absent,
     latest_row,
     latest_row_strict,
-    left_join_spread,
     version_at,
 )
 from campuslake.operators.relational import (
     distinct_pair_count,
     group_max_known_keys,
+    left_join_spread,
     pivot_count_total,
+    spread_join,
 )
 from campuslake.plans import enrollment, people, snapshot, terms
 from campuslake.session import shared_folder
@@ -76,7 +77,8 @@ def relation_query(plan: Callable[..., DataFrame], *relations: str) -> Query:
 def as_of_lookup(careers: DataFrame, residencies: DataFrame) -> DataFrame:
     key = snapshot.CAREER_KEY
     students = careers.filter(F.col("strm") == TERM).select(*key, "strm")
-    return students.join(as_of_max(residencies, key, "effective_term", F.lit(TERM)), key, "left")
+    reached = as_of_max(residencies, key, "effective_term", F.lit(TERM))
+    return spread_join(students, reached, key, "left")
 
 
 def names_or_absent(personal: DataFrame, names: DataFrame) -> DataFrame:
@@ -88,7 +90,7 @@ def names_or_absent(personal: DataFrame, names: DataFrame) -> DataFrame:
 def levels_by_date(student_term: DataFrame, translations: DataFrame) -> DataFrame:
     levels = enrollment.level_descriptions(translations, ON)
     students = student_term.select("emplid", "acad_career", "acad_level_bot")
-    return students.join(levels, "acad_level_bot", "left")
+    return spread_join(students, levels, "acad_level_bot", "left")
 
 
 def attributes_by_person(persons: DataFrame, attributes: DataFrame) -> DataFrame:
@@ -184,9 +186,12 @@ REGISTERED: dict[str, Query] = {
         people.official_residency, "p_residency_off_av", "p_residency_off_v"
     ),
     "semi_join_in": relation_query(
-        lambda personal, careers: current_active(personal)
-        .join(people.enrolled_persons(careers, F.lit(TERM)), "emplid", "left_semi")
-        .select("emplid", "effdt", "sex"),
+        lambda personal, careers: spread_join(
+            current_active(personal).select("emplid", "effdt", "sex"),
+            people.enrolled_persons(careers, F.lit(TERM)),
+            "emplid",
+            "left_semi",
+        ),
         "p_pers_data_effdt_av",
         "p_stdnt_car_term_av",
     ),
