@@ -20,7 +20,7 @@ from campuslake.operators.effective import (
 )
 from campuslake.operators.relational import left_join_suffixed, spread_join
 from campuslake.plans.terms import next_term_begin
-from campuslake.session import shared_folder
+from campuslake.session import materialized
 
 # Fixed values
 ENROLLED_STATUSES = ("C", "E", "W")
@@ -125,9 +125,8 @@ def course_enrollment(
 def enrollment_schedule(terms: DataFrame, courses: DataFrame) -> DataFrame:
     """Every term enrollment with its courses; shared column names end in ``_crs``.
 
-    Both are read twice, so they are checkpointed when this is called.
+    Both are read twice, so they are written once when this is called.
     """
-    shared_folder(terms.sparkSession)
     return left_join_suffixed(
-        terms.checkpoint(), courses.checkpoint(), ["emplid", "strm"], "_crs"
+        materialized(terms), materialized(courses), ["emplid", "strm"], "_crs"
     )

@@ -25,7 +25,7 @@ from campuslake.operators.effective import (
     without_expired,
 )
 from campuslake.operators.relational import left_join_spread, spread_join
-from campuslake.session import shared_folder
+from campuslake.session import materialized
 
 # Fixed values
 ETHNIC_FIELD = "ETHNIC_GROUP"
@@ -245,15 +245,15 @@ def bio_demographics(
     """The profile of every active student of the term.
 
     The dates in force are a narrow table, one row per student, and every part of
-    the profile reads it; it is checkpointed when this is called.
+    the profile reads it; it is written once when this is called.
     """
     personal, names, attributes = map(current_active, (personal, names, attributes))
-    dates = profile_dates(
-        personal, names, attributes, enrolled_persons(career_terms, term),
-        gender_attribute, tribe_attribute, as_of,
+    dates = materialized(
+        profile_dates(
+            personal, names, attributes, enrolled_persons(career_terms, term),
+            gender_attribute, tribe_attribute, as_of,
+        )
     )
-    shared_folder(dates.sparkSession)
-    dates = dates.checkpoint()
 
     profile = rows_in_force(
         personal.select("emplid", "sex", "effdt"), dates, "emplid", "effdt", "personal"

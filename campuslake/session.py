@@ -1,10 +1,11 @@
-"""Session settings the plans rely on, and the shared checkpoint folder."""
+"""Session settings the plans rely on, and frames kept in the shared folder."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -25,17 +26,28 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for checkpoints and staged tables that every executor can reach.
+    """The folder that every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Named by ``spark.checkpoint.dir``. A machine-local folder is made only in
-    local mode, where driver and executors are one process.
+    A machine-local folder is made only in local mode, where driver and executors
+    are one process.
     """
     context = spark.sparkContext
-    folder = context.getCheckpointDir() or spark.conf.get(CHECKPOINT_CONF, None)
+    folder = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if folder is None:
         if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by the cluster")
-        folder = tempfile.mkdtemp(prefix="campuslake-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="campuslake-"))
+        folder = context.getCheckpointDir()
     return folder
+
+
+def materialized(df: DataFrame) -> DataFrame:
+    """The frame written once to the shared folder and read back.
+
+    For a frame that is read several times: the plan runs once, a lost executor
+    re-reads files, and joins know the frame's true size. The files stay until the
+    folder is cleaned.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from campuslake.session import shared_folder
+from campuslake.session import materialized
 
 # Fixed values
 TEXT_LENGTH = 255
@@ -112,14 +112,12 @@ Sink = TableSink | PathSink | JdbcSink
 
 
 def staged(df: DataFrame) -> DataFrame:
-    """The typed frame, computed and checked once in the shared checkpoint folder.
+    """The typed frame, computed and checked once, kept in the shared folder.
 
-    The destination is touched only after every value has passed, the frame's plan
-    runs once, and a lost executor re-reads the checkpoint. It also lets a frame
-    that was read from the destination replace it.
+    The destination is touched only after every value has passed, and a frame that
+    was read from the destination can replace it.
     """
-    shared_folder(df.sparkSession)
-    return typed(df).checkpoint(eager=True)
+    return materialized(typed(df))
 
 
 def replace(df: DataFrame, sink: Sink) -> None:
