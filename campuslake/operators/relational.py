@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from campuslake.session import materialized
+
 
 def spread_join(
     many: DataFrame, few: DataFrame, on: str | Sequence[str], how: str = "inner"
@@ -94,12 +96,12 @@ def pivot_count_total(
     """Row counts by two keys, the second spread into columns, with a row total.
 
     A combination that does not occur is null; rows with an unknown key are left
-    out. Without ``values`` the columns are found by a job over ``df`` first.
+    out. Without ``values`` the counts are written once and the columns read from them.
     """
     known = df.dropna(subset=[row, column])
-    # counted before the pivot, so that finding the columns reads counts, not rows
     counts = known.groupBy(row, column).agg(F.count(F.lit(1)).alias("_rows"))
     if values is None:
+        counts = materialized(counts)
         values = [r[0] for r in counts.select(column).distinct().orderBy(column).collect()]
     wide = counts.groupBy(row).pivot(column, list(values)).agg(F.sum("_rows"))
     return wide.withColumn(

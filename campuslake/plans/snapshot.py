@@ -78,16 +78,12 @@ def term_credits(
     The residency is the credits' career's row whose effective term is the latest
     one the career-term row had reached.
     """
-    reached = as_of_max(
-        version_at(residencies, on), CAREER_KEY, "effective_term", term
-    )
+    begun = residencies.filter(F.col("effective_term") <= term)
+    reached = as_of_max(version_at(begun, on), CAREER_KEY, "effective_term", term)
     careers = active_careers(career_terms, term, on).join(reached, CAREER_KEY)
-    credits = enrolled_credits(enrollments, term, on).withColumnRenamed(
-        "acad_career", "credit_career"
-    ).withColumnRenamed("institution", "credit_institution")
-    lived = residency_versions(residencies, on).withColumnsRenamed(
-        {"acad_career": "credit_career", "institution": "credit_institution"}
-    )
+    own = {"acad_career": "credit_career", "institution": "credit_institution"}
+    credits = enrolled_credits(enrollments, term, on).withColumnsRenamed(own)
+    lived = residency_versions(begun, on).withColumnsRenamed(own)
     matched = careers.join(credits, "emplid").join(
         lived, ["emplid", "credit_career", "credit_institution", "effective_term"]
     )

@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from campuslake.sources.relations import SCHEMAS
 
+TERM_CODES = {"strm", "effective_term"}
+
 
 @dataclass(frozen=True)
 class Warehouse:
@@ -22,7 +24,7 @@ class Warehouse:
         if relation not in SCHEMAS:
             raise KeyError(f"unknown relation {relation!r}")
         columns = SCHEMAS[relation].fieldNames()
-        return self.load(relation).select(*(F.col(c).alias(c) for c in columns))
+        return self.load(relation).select(*(_declared(c) for c in columns))
 
     @classmethod
     def from_frames(cls, spark: SparkSession, frames: Mapping[str, DataFrame]) -> Warehouse:
@@ -67,6 +69,15 @@ class Warehouse:
             self[name].createOrReplaceTempView(name)
 
 
+def _declared(column: str) -> Column:
+    """The column under its declared name; term codes as text, which they compare as.
+
+    Spark reads the codes in partition folder names as numbers.
+    """
+    value = F.col(column)
+    return (value.cast("string") if column in TERM_CODES else value).alias(column)
+
+
 def jdbc_options(
     url: str,
     schema: str,

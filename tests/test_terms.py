@@ -118,6 +118,18 @@ def test_sources_read_alike(spark, tmp_path):
     spark.sql(f"DROP TABLE {relation}")
 
 
+def test_a_term_prunes_partitions_and_stays_text(spark, tmp_path):
+    facts = warehouse(spark, FOLDER)["p_stdnt_enrl_av"]
+    facts.write.partitionBy("strm").parquet(f"{tmp_path}/p_stdnt_enrl_av")
+    stored = Warehouse.from_parquet(spark, str(tmp_path))["p_stdnt_enrl_av"]
+    chosen = stored.filter(F.col("strm") == F.lit(TERM))
+    assert dict(chosen.dtypes)["strm"] == "string"
+    plan = chosen._jdf.queryExecution().toString()
+    scan = plan[plan.index("PartitionFilters: ["):]
+    assert TERM in scan[: scan.index("]")]
+    assert chosen.count() == facts.filter(F.col("strm") == TERM).count() > 0
+
+
 def test_views_answer_parameterised_sql(spark):
     warehouse(spark, FOLDER).register_views()
     query = "SELECT count(*) AS n FROM r_studentterm_rv WHERE strm = :term"
