@@ -58,11 +58,19 @@ def earliest_row(
     return first_by(df, keys, [F.col(c).asc_nulls_last() for c in (effdt, *tiebreak)])
 
 
-def top_two(df: DataFrame, keys: Sequence[str], effdt: str) -> DataFrame:
-    """At most two rows per key, latest first: enough to tell whether the latest is alone."""
+def latest_row_peers(
+    df: DataFrame, keys: Sequence[str], effdt: str, count: str = "cnt"
+) -> DataFrame:
+    """One latest row per key, with the number of rows that share its date: 1, or 2 for more.
+
+    The first two rows of a key tell whether the latest is alone, so no more than
+    two per key and map task are shuffled.
+    """
     window = Window.partitionBy(*keys).orderBy(F.col(effdt).desc_nulls_first())
-    ranked = df.withColumn("_rank", F.row_number().over(window))
-    return ranked.filter(F.col("_rank") <= 2).drop("_rank")
+    first_two = df.withColumn("_rank", F.row_number().over(window)).filter("_rank <= 2")
+    # rows of equal date are counted together
+    counted = first_two.withColumn(count, F.count(F.lit(1)).over(window))
+    return counted.filter("_rank = 1").drop("_rank")
 
 
 def latest_row_strict(
@@ -70,12 +78,9 @@ def latest_row_strict(
 ) -> DataFrame:
     """The latest row of each key, or nothing for a key whose latest date is shared.
 
-    ``count`` is the running count by date, always 1 in the result. Rows of equal
-    date count together, so two rows per key decide it.
+    ``count`` is the running count by date, always 1 in the result.
     """
-    window = Window.partitionBy(*keys).orderBy(F.col(effdt).desc_nulls_first())
-    counted = top_two(df, keys, effdt).withColumn(count, F.count(F.lit(1)).over(window))
-    return counted.filter(F.col(count) == 1)
+    return latest_row_peers(df, keys, effdt, count).filter(F.col(count) == 1)
 
 
 def sole_row(df: DataFrame, keys: Sequence[str]) -> DataFrame:

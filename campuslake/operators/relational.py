@@ -10,8 +10,15 @@ from pyspark.sql import functions as F
 from campuslake.session import materialized
 
 
+SPREAD = "_spread"
+
+
 def spread_join(
-    many: DataFrame, few: DataFrame, on: str | Sequence[str], how: str = "inner"
+    many: DataFrame,
+    few: DataFrame,
+    on: str | Sequence[str],
+    how: str = "inner",
+    keep: bool = False,
 ) -> DataFrame:
     """Join many rows to few rows per key, where one key may hold much of ``many``.
 
@@ -20,15 +27,17 @@ def spread_join(
     key and would be joined in place, so a hash of the key is added to the key: it
     asks for a shuffle of the reduced ``few`` and changes no match. A small ``few``
     is still broadcast by its size.
+
+    With ``keep`` the result still has the added key, ``SPREAD``; a window over
+    these keys, it and more then needs no further shuffle.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if any(many.schema[k].dataType != few.schema[k].dataType for k in keys):
-        return many.join(few, keys, how)  # equal values of two types hash differently
-    spread = F.xxhash64(*keys)
-    joined = many.withColumn("_spread", spread).join(
-        few.withColumn("_spread", spread), [*keys, "_spread"], how
-    )
-    return joined.drop("_spread")
+    many = many.withColumn(SPREAD, F.xxhash64(*keys))
+    if all(many.schema[k].dataType == few.schema[k].dataType for k in keys):
+        joined = many.join(few.withColumn(SPREAD, F.xxhash64(*keys)), [*keys, SPREAD], how)
+    else:  # equal values of two types hash differently
+        joined = many.join(few, keys, how)
+    return joined if keep else joined.drop(SPREAD)
 
 
 def left_join_spread(

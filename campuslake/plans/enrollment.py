@@ -1,9 +1,10 @@
 """Term enrollment, course enrollment and the two joined.
 
 Both enrollments keep the latest row per student key only if nothing else shares
-its date. A side of the join that does not take part in the ordering multiplies
-every row of a key alike, so it must match exactly once; that is checked on that
-side alone, and no product of matching rows is ever built.
+its date. A joined side whose match is not unique repeats a student's row at the
+same date, so each side is reduced to one row per join key with its number of
+rows, and a kept row must have matched one row everywhere. No product of matching
+rows is ever built.
 """
 
 from __future__ import annotations
@@ -13,12 +14,12 @@ from pyspark.sql import functions as F
 
 from campuslake.functions.expressions import AsOf
 from campuslake.operators.effective import (
+    latest_row_peers,
     latest_row_strict,
     not_future,
     sole_row,
-    top_two,
 )
-from campuslake.operators.relational import left_join_suffixed, spread_join
+from campuslake.operators.relational import SPREAD, left_join_suffixed, spread_join
 from campuslake.plans.terms import next_term_begin
 from campuslake.session import materialized
 
@@ -45,7 +46,6 @@ COURSE_COLUMNS = (
 
 COURSE = ["crse_id", "subject", "crse_code"]
 SECTION = ["strm", "class_nbr", "subject", "crse_code", "class_section"]
-STUDENT_SECTION = ["emplid", *SECTION, "acad_career"]
 
 
 def enrolled_in_term(student_term: DataFrame, term: Column) -> DataFrame:
@@ -77,12 +77,17 @@ def term_enrollment(
 ) -> DataFrame:
     """Enrolled students of the term with plan, level description and home data."""
     plan_key, level_key = ["acad_plan", "institution"], ["acad_level_bot"]
-    levels = top_two(level_descriptions(translations, as_of), level_key, "effdt")
-    enrolled = enrolled_in_term(student_term, term)
-    planned = spread_join(enrolled, top_two(plans, plan_key, "acad_plan"), plan_key)
-    described = spread_join(planned, levels, level_key, "left")
-    latest = latest_row_strict(described, ["emplid", "acad_career", "institution"], "effdt")
-    return spread_join(latest, sole_row(biodemo, ["emplid"]), "emplid").select(*TERM_COLUMNS)
+    plan = latest_row_peers(plans, plan_key, "acad_plan", "plan_rows")
+    level = latest_row_peers(
+        level_descriptions(translations, as_of), level_key, "effdt", "level_rows"
+    )
+    planned = spread_join(enrolled_in_term(student_term, term), plan, plan_key)
+    described = spread_join(planned, level, level_key, "left")
+    person = sole_row(biodemo, ["emplid"])
+    joined = spread_join(described, person, "emplid", keep=True)
+    latest = latest_row_strict(joined, ["emplid", "acad_career", "institution", SPREAD], "effdt")
+    alone = (F.col("plan_rows") == 1) & (F.coalesce("level_rows", F.lit(1)) == 1)
+    return latest.filter(alone).select(*TERM_COLUMNS)
 
 
 def course_enrollment(
@@ -107,16 +112,19 @@ def course_enrollment(
         .drop("next_term_begin_dt1")
     )
     offer = [*COURSE, "acad_career"]
-    described = spread_join(taken, top_two(reached, offer, "crse_effdt"), offer)
-    latest = latest_row_strict(described, STUDENT_SECTION, "crse_effdt")
+    version = latest_row_peers(reached, offer, "crse_effdt", "version_rows")
     meetings = spread_join(
         schedule.filter((F.col("strm") == term) & (F.col("class_stat") == "A")),
         sessions.filter(F.col("strm") == term),
         ["strm", "session_code"],
     )
     section = [*SECTION, "acad_career"]
+    joined = spread_join(
+        spread_join(taken, version, offer), sole_row(meetings, section), section, keep=True
+    )
+    latest = latest_row_strict(joined, [*section, "emplid", SPREAD], "crse_effdt")
     return (
-        spread_join(latest, sole_row(meetings, section), section)
+        latest.filter(F.col("version_rows") == 1)
         .withColumnRenamed("unt_billing", "asessed_credit")
         .select(*COURSE_COLUMNS)
     )

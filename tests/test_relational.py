@@ -12,7 +12,7 @@ from campuslake.functions.expressions import (
     may_enroll,
     preferred_first_name,
 )
-from campuslake.operators.effective import top_two
+from campuslake.operators.effective import latest_row_peers
 from campuslake.operators.relational import (
     distinct_pair_count,
     group_max_known_keys,
@@ -193,7 +193,7 @@ def hot_rows(spark):
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
 def test_a_hot_key_is_split_against_a_ranked_side(spark, skew_settings, hot_rows, how):
-    few = top_two(
+    few = latest_row_peers(
         spark.range(4_000).selectExpr("id AS key", "DATE'2000-01-01' AS effdt", "id AS other"),
         ["key"], "effdt",
     )
@@ -210,9 +210,11 @@ def test_a_hot_right_side_of_a_left_join_is_split(spark, skew_settings, hot_rows
     assert "skew=true" in plan
 
 
-def test_a_hot_key_leaves_two_rows_per_map_task(spark, hot_rows):
-    ranked = top_two(hot_rows.withColumn("effdt", F.lit(dt.date(2000, 1, 1))), ["key"], "effdt")
-    plan = ranked._jdf.queryExecution().executedPlan().toString()
-    partial = [line for line in plan.splitlines() if "WindowGroupLimit" in line]
-    assert ["Partial" in partial[-1], "Final" in partial[0]] == [True, True]
-    assert ranked.groupBy("key").count().agg(F.max("count")).first()[0] == 2
+def test_a_hot_key_is_ranked_before_the_shuffle(spark, hot_rows):
+    same_date = hot_rows.withColumn("effdt", F.lit(dt.date(2000, 1, 1)))
+    latest = latest_row_peers(same_date, ["key"], "effdt")
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    limits = [line for line in plan.splitlines() if "WindowGroupLimit" in line]
+    assert "Final" in limits[0] and "Partial" in limits[-1]
+    counts = latest.groupBy("cnt").count().collect()
+    assert [(r.cnt, r["count"]) for r in counts] == [(2, 5_000)]
