@@ -19,7 +19,7 @@ from campuslake.operators.effective import (
     not_future,
     sole_row,
 )
-from campuslake.operators.relational import SPREAD, left_join_suffixed, spread_join
+from campuslake.operators.relational import left_join_suffixed, spread_join
 from campuslake.plans.terms import next_term_begin
 from campuslake.session import materialized
 
@@ -83,11 +83,10 @@ def term_enrollment(
     )
     planned = spread_join(enrolled_in_term(student_term, term), plan, plan_key)
     described = spread_join(planned, level, level_key, "left")
-    person = sole_row(biodemo, ["emplid"])
-    joined = spread_join(described, person, "emplid", keep=True)
-    latest = latest_row_strict(joined, ["emplid", "acad_career", "institution", SPREAD], "effdt")
+    latest = latest_row_strict(described, ["emplid", "acad_career", "institution"], "effdt")
     alone = (F.col("plan_rows") == 1) & (F.coalesce("level_rows", F.lit(1)) == 1)
-    return latest.filter(alone).select(*TERM_COLUMNS)
+    person = sole_row(biodemo, ["emplid"])
+    return spread_join(latest.filter(alone), person, "emplid").select(*TERM_COLUMNS)
 
 
 def course_enrollment(
@@ -119,12 +118,11 @@ def course_enrollment(
         ["strm", "session_code"],
     )
     section = [*SECTION, "acad_career"]
-    joined = spread_join(
-        spread_join(taken, version, offer), sole_row(meetings, section), section, keep=True
-    )
-    latest = latest_row_strict(joined, [*section, "emplid", SPREAD], "crse_effdt")
+    # ranked before the section join: copies of a class shrink to two rows per task
+    described = spread_join(taken, version, offer)
+    latest = latest_row_strict(described, ["emplid", *section], "crse_effdt")
     return (
-        latest.filter(F.col("version_rows") == 1)
+        spread_join(latest.filter("version_rows = 1"), sole_row(meetings, section), section)
         .withColumnRenamed("unt_billing", "asessed_credit")
         .select(*COURSE_COLUMNS)
     )
