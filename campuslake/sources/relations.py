@@ -13,7 +13,10 @@ _CURRENT_ACTIVE = ", edw_curr_ind STRING, edw_actv_ind STRING"
 _VERSIONED = ", edw_eff_start_date DATE, edw_eff_end_date DATE"
 
 _DDL: dict[str, str] = {
-    "r_term_rv": "strm STRING, acad_career STRING, institution STRING, term_begin_dt DATE, term_end_dt DATE",
+    "r_term_rv": (
+        "strm STRING, acad_career STRING, institution STRING, "
+        "term_begin_dt DATE, term_end_dt DATE"
+    ),
     "r_studentterm_rv": (
         "emplid STRING, strm STRING, term_descrshort STRING, acad_career STRING, "
         "degree_career STRING, institution STRING, enrollment_status STRING, "

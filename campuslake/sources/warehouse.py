@@ -69,13 +69,12 @@ class Warehouse:
             self[name].createOrReplaceTempView(name)
 
 
-def _declared(column: str) -> Column:
+def _declared(column: str) -> Column | str:
     """The column under its declared name; term codes as text, which they compare as.
 
     Spark reads the codes in partition folder names as numbers.
     """
-    value = F.col(column)
-    return (value.cast("string") if column in TERM_CODES else value).alias(column)
+    return F.col(column).cast("string").alias(column) if column in TERM_CODES else column
 
 
 def jdbc_options(

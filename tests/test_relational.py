@@ -33,8 +33,9 @@ def one(spark, column):
 
 
 def test_left_join_suffix(spark):
-    left = spark.createDataFrame([(1, "a", 5), (2, "b", 6), (3, "c", 7)], "k INT, x STRING, cnt INT")
-    right = spark.createDataFrame([(1, "p", 8), (1, "q", 9), (4, "r", 1)], "k INT, x STRING, cnt INT")
+    schema = "k INT, x STRING, cnt INT"
+    left = spark.createDataFrame([(1, "a", 5), (2, "b", 6), (3, "c", 7)], schema)
+    right = spark.createDataFrame([(1, "p", 8), (1, "q", 9), (4, "r", 1)], schema)
     joined = left_join_suffixed(left, right, ["k"], "_crs")
     assert joined.columns == ["k", "x", "cnt", "x_crs", "cnt_crs"]
     assert rows(joined) == [
@@ -175,7 +176,8 @@ def skew_settings(spark):
 
 
 def final_plan(df) -> tuple[int, str]:
-    counted = df.groupBy().agg(F.sum(F.hash(*df.columns).cast("long")), F.count(F.lit(1)).alias("n"))
+    read_all = F.sum(F.hash(*df.columns).cast("long"))
+    counted = df.agg(read_all, F.count(F.lit(1)).alias("n"))
     count = counted.collect()[0].n
     return count, counted._jdf.queryExecution().executedPlan().toString()
 

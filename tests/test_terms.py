@@ -42,7 +42,8 @@ def test_current_term(calendar, as_of, term):
 
 
 def test_the_last_known_term_has_no_successor(calendar):
-    found = {(r.acad_career, r.strm): r.next_term_begin_dt1 for r in next_term_begin(calendar).collect()}
+    terms = next_term_begin(calendar).collect()
+    found = {(r.acad_career, r.strm): r.next_term_begin_dt1 for r in terms}
     assert found == {
         ("U", "19981"): dt.date(1998, 3, 31), ("U", "19982"): None, ("G", "19982"): None,
     }
