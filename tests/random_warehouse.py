@@ -23,14 +23,14 @@ POOLS = {
     "strm": TERMS,
     "effective_term": [*TERMS, None],
     "acad_career": CAREERS,
-    "billing_career": [*CAREERS, "NONE", None],
+    "billing_career": [*CAREERS, *CAREERS, "NONE", None],
     "crse_career": CAREERS,
     "institution": ["I0", "I0", "I0", "I1"],
     "enrollment_status": ["C", "E", "W", "N", None],
     "primary_car_flag": YES,
     "edw_curr_ind": YES,
     "edw_actv_ind": YES,
-    "elig_to_enroll": ["Y", "N", None],
+    "elig_to_enroll": ["Y", "Y", "Y", "N", None],
     "withdraw_code": ["WDR", "NWD", None],
     "stdnt_enrl_status": ["E", "E", "D"],
     "country": ["USA", "USA", "CAN"],
@@ -56,7 +56,7 @@ POOLS = {
     "crse_code": ["K1", "K2"],
     "class_section": ["1", "2"],
     "session_code": ["1", "2"],
-    "tuition_res": ["RES", "NRES", None],
+    "tuition_res": ["RES", "RES", "NRES", None],
     "dt_of_death": [dt.date(1997, 3, 1), None, None],
 }
 DATES = [dt.date(y, m, 1) for y in (1996, 1997, 1998, 1999) for m in (1, 6)]

@@ -9,9 +9,13 @@ from fixtures import expected as e
 from fixtures.parameters import GENDER, ON, PROFILE_AS_OF, TERM, TRIBE, TUITION
 from random_warehouse import frames
 
+SCHEDULE = f"""WITH terms AS ({e.TERM_ENROLLMENT}), courses AS ({e.COURSE_ENROLLMENT})
+{e.ENROLLMENT_SCHEDULE}"""
+
 OPERATIONS = {
     "term_enrollment": (lambda q: q.term_enrollment(), e.TERM_ENROLLMENT),
     "course_enrollment": (lambda q: q.course_enrollment(), e.COURSE_ENROLLMENT),
+    "enrollment_schedule": (lambda q: q.enrollment_schedule(), SCHEDULE),
     "race_detail": (lambda q: q.race_detail(), e.RACE_DETAIL),
     "race_ethnicity_category": (
         lambda q: q.race_ethnicity_category(),
@@ -25,7 +29,7 @@ OPERATIONS = {
 }
 
 
-@pytest.fixture(scope="module", params=range(4))
+@pytest.fixture(scope="module", params=[101, 104, 107, 111])
 def sources(request, spark):
     con = duckdb.connect()
     return frames(configure(spark), con, request.param), con
