@@ -85,8 +85,8 @@ def term_enrollment(
     described = spread_join(planned, level, level_key, "left")
     latest = latest_row_strict(described, ["emplid", "acad_career", "institution"], "effdt")
     alone = (F.col("plan_rows") == 1) & (F.coalesce("level_rows", F.lit(1)) == 1)
-    person = sole_row(biodemo, ["emplid"])
-    return spread_join(latest.filter(alone), person, "emplid").select(*TERM_COLUMNS)
+    # one row per student, career and institution is left: no student is heavy here
+    return latest.filter(alone).join(sole_row(biodemo, ["emplid"]), "emplid").select(*TERM_COLUMNS)
 
 
 def course_enrollment(
