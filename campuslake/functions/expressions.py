@@ -25,6 +25,9 @@ def moment(as_of: AsOf) -> Column:
     """
     if as_of is None:
         return F.current_date()
+    if isinstance(as_of, dt.datetime) and as_of.tzinfo is None:
+        # wall-clock time, as the dates it is compared with
+        return F.lit(as_of.isoformat()).cast("timestamp_ntz")
     return as_of if isinstance(as_of, Column) else F.lit(as_of)
 
 

@@ -41,6 +41,17 @@ def test_current_term(calendar, as_of, term):
     assert current_term(calendar, as_of).first().term == term
 
 
+@pytest.mark.parametrize("zone", ["Asia/Tokyo", "America/Chicago"])
+def test_a_time_is_wall_clock_time_in_any_zone(spark, calendar, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        assert current_term(calendar, dt.datetime(1998, 6, 30)).first().term == "19982"
+        assert current_term(calendar, dt.datetime(1998, 6, 30, 0, 0, 1)).first().term is None
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_the_last_known_term_has_no_successor(calendar):
     terms = next_term_begin(calendar).collect()
     found = {(r.acad_career, r.strm): r.next_term_begin_dt1 for r in terms}
