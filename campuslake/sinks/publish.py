@@ -16,6 +16,7 @@ TEXT_LENGTH = 255
 TEXT, MOMENT, REAL, WHOLE = f"VARCHAR({TEXT_LENGTH})", "TIMESTAMP_NTZ", "DOUBLE", "INT"
 
 BATCH_ROWS = 10_000
+COLUMN_TYPES = "createTableColumnTypes"
 INT_RANGE = (-(2**31), 2**31 - 1)
 
 
@@ -97,15 +98,18 @@ class JdbcSink:
         columns = ", ".join(f"`{c}` {k}" for c, k in sink_columns(schema).items())
         return {
             "batchsize": str(BATCH_ROWS),
-            "createTableColumnTypes": columns,
+            **({COLUMN_TYPES: columns} if columns else {}),
             **self.options,
             "url": self.url,
             "dbtable": self.table,
         }
 
     def write(self, df: DataFrame, mode: str) -> None:
-        writer = df.write.format("jdbc").options(**self.writer_options(df.schema))
-        writer.mode(mode).save()
+        options = self.writer_options(df.schema)
+        if COLUMN_TYPES in options:
+            # a replace drops the table before Spark reads these types: read them now
+            T.StructType.fromDDL(options[COLUMN_TYPES])
+        df.write.format("jdbc").options(**options).mode(mode).save()
 
 
 Sink = TableSink | PathSink | JdbcSink

@@ -3,7 +3,7 @@
 import datetime as dt
 
 import pytest
-from pyspark.errors import PySparkException
+from pyspark.errors import ParseException, PySparkException
 
 from campuslake.sinks.publish import (
     JdbcSink,
@@ -90,3 +90,9 @@ def test_jdbc_options(frame):
         "`day` TIMESTAMP_NTZ",
         "user": "u", "numPartitions": "16", "url": "jdbc:x", "dbtable": "dbo.daily",
     }
+
+
+def test_unknown_column_types_are_refused_before_the_table_is_touched(frame):
+    sink = JdbcSink("jdbc:x", "t", {"createTableColumnTypes": "`text` NVARCHAR(255)"})
+    with pytest.raises(ParseException):
+        sink.write(frame, "overwrite")
