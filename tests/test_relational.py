@@ -21,7 +21,7 @@ from campuslake.operators.relational import (
     pivot_count_total,
     spread_join,
 )
-from campuslake.plans import people, snapshot
+from campuslake.plans import enrollment, people, snapshot
 
 
 def rows(df, *columns):
@@ -220,3 +220,51 @@ def test_a_hot_key_is_ranked_before_the_shuffle(spark, hot_rows):
     assert "Final" in limits[0] and "Partial" in limits[-1]
     counts = latest.groupBy("cnt").count().collect()
     assert [(r.cnt, r["count"]) for r in counts] == [(2, 5_000)]
+
+
+def test_copies_of_a_class_vanish_and_the_rest_stay(spark):
+    """A third of the class rows are copies of one class, which then has no single latest row."""
+    number, day = F.col("id"), F.lit(dt.date(1990, 1, 1))
+    section = F.when(number % 3 == 0, -1).otherwise(number).cast("string")
+    classes = spark.range(0, 60_000, 1, 8).select(
+        F.lit("p").alias("emplid"), F.lit("19983").alias("strm"), section.alias("class_nbr"),
+        *(F.lit("x").alias(c) for c in (
+            "subject", "acad_career", "crse_career", "crse_id", "crse_code", "class_section",
+            "crse_grade_off", "repeat_code",
+        )),
+        F.lit(3).alias("unt_billing"),
+    )
+    catalog = spark.range(2).select(
+        *(F.lit("x").alias(c) for c in ("crse_id", "subject", "crse_code")),
+        F.date_add(day, number.cast("int")).alias("crse_effdt"),
+        *(F.lit("d").alias(c) for c in (
+            "crse_effdt_end", "crse_eff_status", "course_title_long", "acad_org_mau",
+            "acad_org_mau_descrformal", "acad_org_u1", "acad_org_u1_descrformal",
+        )),
+    )
+    calendar = spark.createDataFrame(
+        [
+            ("I", "x", "19983", dt.date(1998, 7, 1), dt.date(1998, 9, 30)),
+            ("I", "x", "19984", dt.date(1998, 10, 1), dt.date(1998, 12, 31)),
+        ],
+        "institution STRING, acad_career STRING, strm STRING, term_begin_dt DATE, term_end_dt DATE",
+    )
+    schedule = classes.select(
+        "strm", "class_nbr", "subject", "crse_code", "class_section",
+        *(F.lit("1").alias(c) for c in (
+            "section_id", "session_code", "location", "class_type", "class_type_xlatlongname",
+        )),
+        F.lit("A").alias("class_stat"),
+    ).distinct()
+    sessions = spark.createDataFrame(
+        [("19983", "x", "1", dt.date(1998, 7, 1), dt.date(1998, 9, 1))],
+        "strm STRING, acad_career STRING, session_code STRING, "
+        "sess_begin_dt DATE, sess_end_dt DATE",
+    )
+    found = enrollment.course_enrollment(
+        classes, catalog, calendar, schedule, sessions, F.lit("19983")
+    )
+    kept = found.agg(
+        F.count(F.lit(1)), F.count_distinct("class_nbr"), F.min("crse_effdt"), F.max("cnt")
+    )
+    assert tuple(kept.first()) == (40_000, 40_000, dt.date(1990, 1, 2), 1)
