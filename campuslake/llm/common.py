@@ -49,13 +49,13 @@ def sized(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batch in slices of about SLICE_BYTES of text; one long text is a slice of its own."""
+def slices(batch: pa.RecordBatch, column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``size`` bytes of text; one long text is a slice of its own."""
     ends = np.cumsum(text_lengths(batch.column(column)))
     start = 0
     while start < batch.num_rows:
         before = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right")))
+        stop = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
         yield batch.slice(start, stop - start)
         start = stop
 

@@ -1,7 +1,9 @@
-"""Connected components by alternating large and small stars."""
+"""Links within buckets, and connected components by alternating large and small stars."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,3 +52,62 @@ def _small_star(edges: DataFrame) -> DataFrame:
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
     moved = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
+
+
+def shared_buckets(keyed: DataFrame) -> DataFrame:
+    """``(key, node, leader)`` of the buckets that hold two nodes or more; leader: the smallest.
+
+    Buckets are counted by grouped minima and maxima, so copies of a node and buckets of
+    one node go no further than that.
+    """
+    shared = (
+        keyed.groupBy("key")
+        .agg(F.min("node").alias("leader"), F.max("node").alias("last"))
+        .where("leader <> last")
+        .select("key", "leader")
+    )
+    return materialized(keyed.join(shared, "key").distinct())
+
+
+def bucket_links(buckets: DataFrame, compared: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Links ``(a, b)`` among nodes that share a bucket, as many as their components need.
+
+    ``compared`` keeps the pairs that link. Every node is compared with the leader it meets
+    most often, then with its other leaders unless they are in one component by then;
+    last, in buckets of several components, with the members of the other components.
+    """
+    led = materialized(
+        buckets.where("node <> leader")
+        .groupBy(F.col("node").alias("a"), F.col("leader").alias("b"))
+        .agg(F.count("*").alias("met"))
+    )
+    best = led.groupBy("a").agg(F.max_by("b", F.struct("met", "b")).alias("b"))
+    links = materialized(compared(best))
+    others = led.join(best, ["a", "b"], "left_anti").select("a", "b")
+    links = materialized(links.union(compared(_apart(others, materialized(components(links))))))
+    placed = components(links)
+    at = buckets.join(placed.toDF("node", "at"), "node", "left").select(
+        "key", "node", F.coalesce("at", "node").alias("at")
+    )
+    at = materialized(at)
+    mixed = at.groupBy("key").agg(F.min("at").alias("one"), F.max("at").alias("two")).where("one <> two")
+    rest = materialized(at.join(mixed.select("key"), "key"))
+    cross = (
+        rest.toDF("key", "a", "at_a")
+        .join(rest.toDF("key", "b", "at_b"), "key")
+        .where("a > b and at_a <> at_b")
+        .select("a", "b")
+        .distinct()
+        .join(led.select("a", "b"), ["a", "b"], "left_anti")
+    )
+    return materialized(links.union(compared(cross)))
+
+
+def _apart(pairs: DataFrame, placed: DataFrame) -> DataFrame:
+    """The pairs whose ends aren't in one component yet."""
+    return (
+        pairs.join(placed.toDF("a", "at_a"), "a", "left")
+        .join(placed.toDF("b", "at_b"), "b", "left")
+        .where(F.coalesce("at_a", "a") != F.coalesce("at_b", "b"))
+        .select("a", "b")
+    )

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from campuslake.llm.common import materialized, mix, shingle_sets, sized, slices
-from campuslake.llm.components import components
+from campuslake.llm.components import bucket_links, components, shared_buckets
 
 BAND_GROWTH = 1.4
 _LOW = np.uint64(0xFFFFFFFF)
@@ -154,20 +154,15 @@ def _indexed(n: int, percent: int):
 
 def _links(rows: DataFrame, classes: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
     """Verified links between classes, enough of them to join what belongs together."""
-    keyed = rows.where("size > 0").select(F.explode("keys").alias("key"), "class")
-    shared = (
-        keyed.groupBy("key")
-        .agg(F.min("class").alias("leader"), F.max("class").alias("other"))
-        .where("leader <> other")
-        .select("key", "leader")
-    )
-    # Only buckets of two classes or more go on; each class once.
-    buckets = materialized(keyed.join(shared, "key").distinct())
+    keyed = rows.where("size > 0").select(F.explode("keys").alias("key"), F.col("class").alias("node"))
+    buckets = shared_buckets(keyed)
     sizes = classes.select("class", "size")
-    involved = materialized(buckets.select("class").distinct().join(classes, "class").select("class", "first"))
-    wanted = sized(involved.select(F.col("first").alias("id"), "class"), 16)
+    involved = buckets.select(F.col("node").alias("class")).distinct().join(classes, "class")
+    involved = materialized(involved.select(F.col("first").alias("id"), "class"))
     sets = materialized(
-        texts.join(wanted, "id").mapInArrow(_hashed(n), "class long, hashes array<long>").dropDuplicates(["class"])
+        texts.join(sized(involved, 16), "id")
+        .mapInArrow(_hashed(n), "class long, hashes array<long>")
+        .dropDuplicates(["class"])
     )
 
     def compared(pairs: DataFrame) -> DataFrame:
@@ -180,42 +175,7 @@ def _links(rows: DataFrame, classes: DataFrame, texts: DataFrame, n: int, percen
         both = fitting.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
         return both.mapInArrow(_verified(percent), "a long, b long")
 
-    led = materialized(
-        buckets.where("class <> leader")
-        .groupBy(F.col("class").alias("a"), F.col("leader").alias("b"))
-        .agg(F.count("*").alias("met"))
-    )
-    best = led.groupBy("a").agg(F.max_by("b", "met").alias("b"))
-    links = materialized(compared(best))
-    placed = materialized(components(links))
-    links = materialized(links.union(compared(_apart(led.join(best, ["a", "b"], "left_anti"), placed))))
-    placed = materialized(components(links))
-    # What is left of a bucket: its members outside the leader's component against the others.
-    at = buckets.join(placed.toDF("class", "at"), "class", "left").select(
-        "key", "class", F.coalesce("at", "class").alias("at")
-    )
-    mixed = at.groupBy("key").agg(F.min("at").alias("one"), F.max("at").alias("two")).where("one <> two")
-    rest = materialized(at.join(mixed.select("key"), "key"))
-    others = rest.select("key", F.col("class").alias("b"), F.col("at").alias("at_b"))
-    cross = (
-        rest.withColumnRenamed("class", "a")
-        .join(others, "key")
-        .where("a > b and at <> at_b")
-        .select("a", "b")
-        .distinct()
-        .join(led.select("a", "b"), ["a", "b"], "left_anti")
-    )
-    return links.union(compared(cross))
-
-
-def _apart(pairs: DataFrame, placed: DataFrame) -> DataFrame:
-    """The pairs whose ends aren't in one component yet."""
-    return (
-        pairs.join(placed.toDF("a", "at_a"), "a", "left")
-        .join(placed.toDF("b", "at_b"), "b", "left")
-        .where(F.coalesce("at_a", "a") != F.coalesce("at_b", "b"))
-        .select("a", "b")
-    )
+    return bucket_links(buckets, compared)
 
 
 def _hashed(n: int):

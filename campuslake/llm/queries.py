@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 
 from campuslake.llm.chat import conversation_digests, format_conversations
 from campuslake.llm.common import table
+from campuslake.llm.decontamination import find_leaks
+from campuslake.llm.fingerprints import fingerprint_edits
 from campuslake.llm.language import identify_language
+from campuslake.llm.lines import repeated_lines
 from campuslake.llm.mixing import mix_sources
 from campuslake.llm.ngram_join import ngram_components
 from campuslake.llm.quality import score_quality
+from campuslake.llm.substrings import repeated_spans
 from campuslake.llm.token_output import read_token_files, write_token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +31,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents that lose lines, and the numbers of those."""
+    return repeated_lines(table(spark, folder, "documents"))
+
+
 def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return identify_language(table(spark, folder, "documents"))
 
@@ -35,10 +44,24 @@ def op3_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mix_sources(table(spark, folder, "documents"))
 
 
+def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents that hold a benchmark item, with the item."""
+    return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op5_token_output(spark: SparkSession, folder: str) -> DataFrame:
     return read_token_files(write_token_files(table(spark, folder, "documents"), tokenizer_path()))
 
 
+def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents that lose sentences, the numbers of those and the documents that keep them."""
+    return repeated_spans(table(spark, folder, "documents"))
+
+
+def op7_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint_edits(table(spark, folder, "documents"))
+
+
 def op8_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_components(table(spark, folder, "documents"), n=3, percent=90)
 
@@ -61,9 +84,13 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_line_dedup,
         op2_language_id,
         op3_mix_sources,
+        op4_decontaminate,
         op5_token_output,
+        op6_substring_dedup,
+        op7_fingerprints,
         op8_ngram_join,
         op9_quality,
         op10_chat_format,
