@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from campuslake.llm.common import materialized
@@ -57,57 +57,86 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def shared_buckets(keyed: DataFrame) -> DataFrame:
     """``(key, node, leader)`` of the buckets that hold two nodes or more; leader: the smallest.
 
-    Buckets are counted by grouped minima and maxima, so copies of a node and buckets of
-    one node go no further than that.
+    Keys that occur once, nearly all, drop out by a count, combined before its shuffle.
     """
-    shared = (
-        keyed.groupBy("key")
-        .agg(F.min("node").alias("leader"), F.max("node").alias("last"))
-        .where("leader <> last")
-        .select("key", "leader")
-    )
-    return materialized(keyed.join(shared, "key").distinct())
-
-
-def bucket_links(buckets: DataFrame, compared: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    often = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    nodes = materialized(keyed.join(often, "key").distinct())
+    shared = nodes.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
+    return materialized(nodes.join(shared.where("leader <> last").select("key", "leader"), "key"))
+
+
+def bucket_links(
+    buckets: DataFrame,
+    compared: Callable[[DataFrame], DataFrame],
+    features: Callable[[DataFrame], DataFrame],
+    percent: int,
+) -> DataFrame:
     """Links ``(a, b)`` among nodes that share a bucket, as many as their components need.
 
-    ``compared`` keeps the pairs that link. Every node is compared with the leader it meets
-    most often, then with its other leaders unless they are in one component by then;
-    last, in buckets of several components, with the members of the other components.
+    ``compared`` keeps the pairs of nodes whose sets reach ``percent`` of Jaccard
+    similarity; ``features`` gives rows ``(node, feature)`` of the sets of some nodes.
+
+    Every node is compared with the leader it meets most often. Where a bucket has several
+    components then, two counts of each node tell more: its features, and those that
+    another such node has too. Only the latter can be in an intersection, which bounds the
+    similarity of a node to any other and of a pair; what can't link goes (a node without
+    features stays). With ``features`` a sample, ``percent`` leaves a margin. The bucket's node with
+    the least of its own, the cleanest copy, is compared with the others; last those that
+    are in different components still and within the bound.
     """
     led = materialized(
         buckets.where("node <> leader")
         .groupBy(F.col("node").alias("a"), F.col("leader").alias("b"))
         .agg(F.count("*").alias("met"))
     )
-    best = led.groupBy("a").agg(F.max_by("b", F.struct("met", "b")).alias("b"))
+    best = materialized(led.groupBy("a").agg(F.max_by("b", F.struct("met", "b")).alias("b")))
     links = materialized(compared(best))
-    others = led.join(best, ["a", "b"], "left_anti").select("a", "b")
-    links = materialized(links.union(compared(_apart(others, materialized(components(links))))))
-    placed = components(links)
-    at = buckets.join(placed.toDF("node", "at"), "node", "left").select(
-        "key", "node", F.coalesce("at", "node").alias("at")
-    )
-    at = materialized(at)
-    mixed = at.groupBy("key").agg(F.min("at").alias("one"), F.max("at").alias("two")).where("one <> two")
-    rest = materialized(at.join(mixed.select("key"), "key"))
+    rest = _mixed(buckets.select("key", "node"), links)
+    nodes = materialized(rest.select("node").distinct())
+    able = materialized(_able(nodes, features(nodes), percent))
+    sides = materialized(rest.join(able, "node").select("node", "key", "at", "size", "shared"))
+    purity = F.struct((F.col("shared") + 1) / (F.col("size") + 1), "size", "node")
+    cleanest = sides.groupBy("key").agg(F.max_by(F.struct("node", "at", "size", "shared"), purity).alias("c"))
+    pure = sides.join(cleanest, "key").where("at <> c.at").select(
+        F.col("node").alias("a"), F.col("c.node").alias("b"),
+        _within(F.col("size"), F.col("shared"), F.col("c.size"), F.col("c.shared"), percent).alias("within"),
+    )
+    pure = materialized(pure.where("within").select("a", "b").distinct())
+    links = materialized(links.union(compared(pure)))
+    left = materialized(_mixed(sides.select("key", "node"), links).join(able, "node").select("node", "key", "at", "size", "shared"))
     cross = (
-        rest.toDF("key", "a", "at_a")
-        .join(rest.toDF("key", "b", "at_b"), "key")
+        left.toDF("a", "key", "at_a", "size_a", "shared_a")
+        .join(left.toDF("b", "key", "at_b", "size_b", "shared_b"), "key")
         .where("a > b and at_a <> at_b")
+        .where(_within(*[F.col(c) for c in ("size_a", "shared_a", "size_b", "shared_b")], percent))
         .select("a", "b")
         .distinct()
-        .join(led.select("a", "b"), ["a", "b"], "left_anti")
     )
-    return materialized(links.union(compared(cross)))
+    done = best.union(pure).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    return materialized(links.union(compared(cross.join(done, ["a", "b"], "left_anti"))))
 
 
-def _apart(pairs: DataFrame, placed: DataFrame) -> DataFrame:
-    """The pairs whose ends aren't in one component yet."""
-    return (
-        pairs.join(placed.toDF("a", "at_a"), "a", "left")
-        .join(placed.toDF("b", "at_b"), "b", "left")
-        .where(F.coalesce("at_a", "a") != F.coalesce("at_b", "b"))
-        .select("a", "b")
-    )
+def _mixed(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """``(key, node, at)`` of the buckets whose nodes are in several components so far."""
+    placed = components(links).toDF("node", "at")
+    at = rows.join(placed, "node", "left").select("key", "node", F.coalesce("at", "node").alias("at"))
+    at = materialized(at)
+    mixed = at.groupBy("key").agg(F.min("at").alias("one"), F.max("at").alias("two")).where("one <> two")
+    return materialized(at.join(mixed.select("key"), "key").select("key", "node", "at"))
+
+
+def _within(size_a: Column, shared_a: Column, size_b: Column, shared_b: Column, percent: int) -> Column:
+    """Whether the pair may reach the similarity by its counts."""
+    both = F.least(shared_a, shared_b)
+    return 100 * both >= percent * (size_a + size_b - both)
+
+
+def _able(nodes: DataFrame, features: DataFrame, percent: int) -> DataFrame:
+    """``(node, size, shared)`` of the nodes that may still link: features, and those another node has."""
+    own = materialized(features)
+    common = own.groupBy("feature").agg(F.count("*").alias("n")).where("n > 1").select("feature")
+    shared = own.join(common, "feature").groupBy("node").agg(F.count("*").alias("shared"))
+    sizes = own.groupBy("node").agg(F.count("*").alias("size"))
+    counted = nodes.join(sizes, "node", "left").join(shared, "node", "left")
+    counted = counted.select("node", F.coalesce("size", F.lit(0)).alias("size"), F.coalesce("shared", F.lit(0)).alias("shared"))
+    return counted.where(100 * F.col("shared") >= percent * F.col("size"))

@@ -7,12 +7,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from campuslake.llm.common import materialized, parallelism, slices
-from campuslake.llm.components import bucket_links, shared_buckets
+from campuslake.llm.components import shared_buckets
 
 # Characters fall into so many kinds, by their code; a last kind stands past the end.
 KINDS = 61
@@ -136,26 +137,23 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
 
 
 def near_documents(docs: DataFrame, likely: float = 0.8) -> DataFrame:
-    """Links ``(a, b)`` of ids whose fingerprints are alike: bands of sampled bits, then the whole fingerprint.
+    """Links ``(a, b, likeness)`` of ids whose fingerprints are alike: bit-sampled bands, then whole fingerprints.
 
-    Bands are runs of BAND_BITS samples of one octave. Documents of one text are one
-    node, its smallest id; ``compared`` pairs are those that components need.
+    Bands are runs of BAND_BITS samples. Every document is compared with the smallest of
+    each band it shares, so a group of copies has a star of links, not all its pairs.
+    Documents with one fingerprint are one node, the smallest id. Null text is empty; rows without an id
+    link with nothing; likeness of an empty text is 1 to another empty one.
     """
     rows = docs.where("doc_id is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
     )
     found = rows.mapInArrow(_fingerprinted, "doc_id long, fingerprint string, keys array<long>")
-    nodes = materialized(
-        found.groupBy("fingerprint", "keys").agg(F.min("doc_id").alias("node"))
-    )
+    nodes = materialized(found.groupBy("fingerprint", "keys").agg(F.min("doc_id").alias("node")))
     buckets = shared_buckets(nodes.select(F.explode("keys").alias("key"), "node"))
+    pairs = buckets.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
     prints = nodes.select("node", "fingerprint")
-
-    def compared(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(prints.toDF("a", "x"), "a").join(prints.toDF("b", "y"), "b")
-        return both.mapInArrow(_alike(likely), "a long, b long")
-
-    return bucket_links(buckets, compared)
+    both = pairs.join(prints.toDF("a", "x"), "a").join(prints.toDF("b", "y"), "b")
+    return both.mapInArrow(_likenesses, "a long, b long, likeness double").where(F.col("likeness") >= likely)
 
 
 def _row(text: str, own: str, doc_id: int | None, following: str, next_print: str, changed: str, changed_print: str):
@@ -228,17 +226,15 @@ def _fingerprinted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             for p in prints:
                 whole = range(4, len(p) - digits + 1, digits)
                 bands = [(k, p[k : k + digits]) for k in whole] or [(0, p)]
-                keys.append([int.from_bytes(hashlib.blake2b(f"{k} {b}".encode(), digest_size=8).digest(), "big", signed=True) for k, b in bands])
+                keys.append([xxhash.xxh3_64_intdigest(f"{k} {b}") - (1 << 63) for k, b in bands])
             yield pa.RecordBatch.from_arrays(
                 [piece.column("doc_id"), pa.array(prints), pa.array(keys, pa.list_(pa.int64()))],
                 names=["doc_id", "fingerprint", "keys"],
             )
 
 
-def _alike(likely: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = [likeness(x, y) >= likely for x, y in zip(*(batch.column(c).to_pylist() for c in "xy"), strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return run
+def _likenesses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        pairs = zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)
+        found = pa.array([likeness(x, y) for x, y in pairs], pa.float64())
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), found], names=["a", "b", "likeness"])

@@ -9,12 +9,17 @@ from campuslake.llm.common import materialized, sized
 from campuslake.llm.components import bucket_links, components, shared_buckets
 
 SHINGLE = 9
-BANDS, ROWS = 8, 3
+BANDS, ROWS = 8, 4
 PERCENT = 80
 
-# Writing without blanks between words.
-_UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
-_ANCHORED = rf"(?s)(?:(?<!\p{{L}})|(?=[{_UNSPACED}]))(?=(.{{{SHINGLE}}}))"
+# Which lines of a large bucket are worth a comparison is told by one shingle in SAMPLED,
+# with a margin below the threshold.
+SAMPLED, MARGIN = 8, 20
+
+# A shingle is anchored at the start and behind every character that is no letter, or one
+# of the scripts that have no blanks between words (Thai to Khmer, and Han with its neighbours).
+_BEHIND = r"[\P{L}฀-໿က-႟ក-៿⺀-鿿]"
+_ANCHORED = rf"(?s)(?:^|{_BEHIND})(?=(.{{{SHINGLE}}}))"
 _EVERY = rf"(?s)(?=(.{{{SHINGLE}}}))"
 
 
@@ -23,19 +28,38 @@ def _shingles(line: Column, pattern: str) -> Column:
     return F.when(F.length(line) >= SHINGLE, found).otherwise(F.array(line))
 
 
+def _hashes(line: Column) -> Column:
+    return F.array_distinct(F.transform(_shingles(line, _EVERY), lambda s: F.xxhash64(s)))
+
+
 def _similar(x: Column, y: Column) -> Column:
     """Whether the Jaccard similarity of all character shingles reaches PERCENT, exactly."""
 
-    def hashes(line: Column) -> Column:
-        return F.array_distinct(F.transform(_shingles(line, _EVERY), lambda s: F.xxhash64(s)))
-
-    both = F.array(F.struct(hashes(x).alias("x"), hashes(y).alias("y")))
+    both = F.array(F.struct(_hashes(x).alias("x"), _hashes(y).alias("y")))
     return F.transform(
         both,
         lambda s: (100 + PERCENT) * F.size(F.array_intersect(s["x"], s["y"])) >= PERCENT * (F.size(s["x"]) + F.size(s["y"])),
     )[0]
 
 
+def band_keys(line: Column) -> Column:
+    """BANDS keys of ROWS minima each, out of one sorted set of hashes.
+
+    A band's minima are the ROWS hashes that follow its threshold, on a circle: lines
+    of similarity J agree in all of them with a probability of about J to the power of ROWS.
+    """
+    hashed = F.sort_array(F.array_distinct(F.transform(_shingles(line, _ANCHORED), lambda s: F.xxhash64(s))))
+    thresholds = F.array(*[F.lit(-(1 << 63) + b * ((1 << 64) // BANDS)) for b in range(BANDS)])
+
+    def keys(h: Column) -> Column:
+        merged = F.array(F.sort_array(F.concat(h, thresholds)))
+        starts = F.transform(merged, lambda m: F.transform(thresholds, lambda t, b: F.array_position(m, t) - 1 - b))[0]
+        following = [lambda p, k=k: h[(p + k) % F.size(h)] for k in range(ROWS)]
+        return F.transform(starts, lambda p, b: F.xxhash64(b, *[f(p) for f in following]))
+
+    return F.transform(F.array(hashed), keys)[0]
+
+
 def lines_of(docs: DataFrame) -> DataFrame:
     """``(doc_id, line_no, id, line)`` of all lines that aren't blank; id: the line's 64-bit hash."""
     rows = docs.where("doc_id is not null").select(
@@ -49,8 +73,8 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
 
     Lines link when the sets of their character shingles have a Jaccard similarity of
     PERCENT or more; of each component the line first by id and place stays. Equal lines
-    are one node. Signatures are minima of ROWS times BANDS hashes over the shingles that
-    begin a word (or stand in a script without blanks), one in six of all; lines that
+    are one node, known by a 64-bit hash. Signatures are minima of hashes of the anchored
+    shingles, mostly those that begin a word, one in six of all; lines that
     agree in a band are compared by all their shingles, so every link is exact. A line
     shorter than a shingle is its own one shingle.
 
@@ -58,31 +82,30 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     Equal rows of one id share their places and keep the same lines. Other columns are ignored.
     """
     occurrences = lines_of(docs)
-    unique = occurrences.groupBy("id", "line").agg(
-        F.min(F.struct("doc_id", "line_no")).alias("first"), F.max(F.struct("doc_id", "line_no")).alias("last")
-    )
-    each = unique.select("id", "line", "first", "last", F.explode(_shingles(F.col("line"), _ANCHORED)).alias("s"))
-    minima = [F.min(F.xxhash64("s", F.lit(k))).alias(f"m{k}") for k in range(BANDS * ROWS)]
-    signed = each.groupBy("id", "line").agg(F.first("first").alias("first"), F.first("last").alias("last"), *minima)
-    bands = [F.xxhash64(F.lit(b), *[f"m{b * ROWS + r}" for r in range(ROWS)]) for b in range(BANDS)]
-    nodes = materialized(signed.select("id", "first", "last", F.array(*bands).alias("keys")))
-
-    buckets = shared_buckets(nodes.select(F.explode("keys").alias("key"), F.col("id").alias("node")))
+    signed = materialized(occurrences.select("doc_id", "line_no", "id", band_keys(F.col("line")).alias("keys")))
+    place = F.struct("doc_id", "line_no")
+    nodes = materialized(signed.groupBy("id").agg(F.min(place).alias("first"), F.max(place).alias("last")))
+    buckets = shared_buckets(signed.select(F.explode("keys").alias("key"), F.col("id").alias("node")))
     involved = materialized(buckets.select(F.col("node").alias("id")).distinct())
     wanted = occurrences.join(sized(involved, 8), "id", "left_semi").select("id", "line")
-    texts = materialized(wanted.groupBy("id").agg(F.min("line").alias("line")))
+    texts = materialized(wanted.groupBy("id", "line").agg(F.count("*").alias("n")).select("id", "line"))
 
     def compared(pairs: DataFrame) -> DataFrame:
         both = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
         return both.where(_similar(F.col("x"), F.col("y"))).select("a", "b")
 
-    placed = materialized(components(bucket_links(buckets, compared)))
-    known = nodes.select("id", "first", "last").join(placed.withColumnRenamed("node", "id"), "id", "left")
+    def features(found: DataFrame) -> DataFrame:
+        own = texts.join(found.withColumnRenamed("node", "id"), "id")
+        some = F.filter(_hashes(F.col("line")), lambda h: F.pmod(h, F.lit(SAMPLED)) == 0)
+        return own.select(F.col("id").alias("node"), F.explode(some).alias("feature"))
+
+    placed = materialized(components(bucket_links(buckets, compared, features, PERCENT - MARGIN)))
+    known = nodes.join(placed.withColumnRenamed("node", "id"), "id", "left")
     known = known.withColumn("group", F.coalesce("component", "id"))
     kept = known.groupBy("group").agg(F.min("first").alias("kept"), F.max("last").alias("end")).where("kept <> end")
     gone = materialized(known.join(kept, "group").select("id", "kept"))
-    places = occurrences.select("doc_id", "line_no", "id").join(gone, "id")
-    removed = places.where(F.struct("doc_id", "line_no") != F.col("kept"))
+    places = signed.select("doc_id", "line_no", "id").join(gone, "id")
+    removed = places.where(place != F.col("kept"))
     return removed.groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias("removed"))
 
 

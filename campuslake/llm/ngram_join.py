@@ -32,9 +32,10 @@ def ngram_components(
     probes its own band and those that its smaller partners may fall in.
 
     Documents with equal sets are one class. Within a bucket the classes are compared with
-    its smallest member first, those most often met first of all; afterwards only pairs that
-    are still in different components are compared, until every pair of a bucket is either
-    in one component or compared exactly. Sets are compared as 64-bit hashes.
+    its smallest member first, those most often met first of all; afterwards only pairs still in
+    different components, but for those whose shared shingles can't reach the threshold. So
+    every pair of a bucket is in one component, ruled out or compared. Sets are compared as
+    64-bit hashes.
 
     Null or blank text: no shingles, linked with nothing. A null id is no document. Rows
     that repeat an id count as copies: one row, the largest set. Other columns are ignored.
@@ -175,7 +176,11 @@ def _links(rows: DataFrame, classes: DataFrame, texts: DataFrame, n: int, percen
         both = fitting.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
         return both.mapInArrow(_verified(percent), "a long, b long")
 
-    return bucket_links(buckets, compared)
+    def features(nodes: DataFrame) -> DataFrame:
+        found = sets.join(nodes.withColumnRenamed("node", "class"), "class")
+        return found.select(F.col("class").alias("node"), F.explode("hashes").alias("feature"))
+
+    return bucket_links(buckets, compared, features, percent)
 
 
 def _hashed(n: int):
