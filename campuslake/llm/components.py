@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from campuslake.llm.common import materialized
 
+# 64-bit words of parities that stand for a set.
+PARITY_WORDS = 8
+
 
 def components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` for every node of the edges ``(a, b)``; component: smallest node.
@@ -94,24 +98,23 @@ def bucket_links(
     rest = _mixed(buckets.select("key", "node"), links)
     nodes = materialized(rest.select("node").distinct())
     able = materialized(_able(nodes, features(nodes), percent))
-    sides = materialized(rest.join(able, "node").select("node", "key", "at", "size", "shared"))
+    sides = rest.join(able, "node")
     purity = F.struct((F.col("shared") + 1) / (F.col("size") + 1), "size", "node")
-    cleanest = sides.groupBy("key").agg(F.max_by(F.struct("node", "at", "size", "shared"), purity).alias("c"))
-    pure = sides.join(cleanest, "key").where("at <> c.at").select(
-        F.col("node").alias("a"), F.col("c.node").alias("b"),
-        _within(F.col("size"), F.col("shared"), F.col("c.size"), F.col("c.shared"), percent).alias("within"),
-    )
-    pure = materialized(pure.where("within").select("a", "b").distinct())
+    cleanest = sides.groupBy("key").agg(F.max_by("node", purity).alias("hub"))
+    # A bucket is known by its cleanest node from here on: far fewer groups hold the same pairs.
+    hubs = materialized(sides.join(cleanest, "key").select(F.col("hub").alias("key"), "node").distinct())
+
+    def told(rows: DataFrame, side: str) -> DataFrame:
+        counts = F.struct("size", "shared", "bits").alias(side)
+        return rows.join(able, "node").select(F.col("node").alias(side + "_node"), "key", F.col("at").alias(side + "_at"), counts)
+
+    now = _mixed(hubs, links)
+    pure = told(now, "a").join(told(now.where("node = key"), "b"), "key").where("a_at <> b_at")
+    pure = materialized(pure.where(_within(percent)).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")))
     links = materialized(links.union(compared(pure)))
-    left = materialized(_mixed(sides.select("key", "node"), links).join(able, "node").select("node", "key", "at", "size", "shared"))
-    cross = (
-        left.toDF("a", "key", "at_a", "size_a", "shared_a")
-        .join(left.toDF("b", "key", "at_b", "size_b", "shared_b"), "key")
-        .where("a > b and at_a <> at_b")
-        .where(_within(*[F.col(c) for c in ("size_a", "shared_a", "size_b", "shared_b")], percent))
-        .select("a", "b")
-        .distinct()
-    )
+    now = _mixed(hubs, links)
+    cross = told(now, "a").join(told(now, "b"), "key").where("a_node > b_node and a_at <> b_at")
+    cross = cross.where(_within(percent)).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
     done = best.union(pure).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     return materialized(links.union(compared(cross.join(done, ["a", "b"], "left_anti"))))
 
@@ -125,18 +128,31 @@ def _mixed(rows: DataFrame, links: DataFrame) -> DataFrame:
     return materialized(at.join(mixed.select("key"), "key").select("key", "node", "at"))
 
 
-def _within(size_a: Column, shared_a: Column, size_b: Column, shared_b: Column, percent: int) -> Column:
-    """Whether the pair may reach the similarity by its counts."""
-    both = F.least(shared_a, shared_b)
-    return 100 * both >= percent * (size_a + size_b - both)
+def _within(percent: int) -> Column:
+    """Whether the pair ``(a, b)`` may reach the similarity: by its counts, and by its parities.
+
+    Each feature that one of two sets has alone turns one parity bit, so the bits that
+    differ are at most the features that differ.
+    """
+    size_a, size_b = F.col("a.size"), F.col("b.size")
+    both = F.least("a.shared", "b.shared")
+    turned = [F.bit_count(F.col("a.bits")[k].bitwiseXOR(F.col("b.bits")[k])) for k in range(PARITY_WORDS)]
+    differ = reduce(lambda x, y: x + y, turned)
+    enough = 100 * both >= percent * (size_a + size_b - both)
+    return enough & ((100 + percent) * differ <= (100 - percent) * (size_a + size_b))
 
 
 def _able(nodes: DataFrame, features: DataFrame, percent: int) -> DataFrame:
-    """``(node, size, shared)`` of the nodes that may still link: features, and those another node has."""
+    """``(node, size, shared, bits)`` of the nodes that may still link: features, those
+    another node has, and parities of the features by hash."""
     own = materialized(features)
     common = own.groupBy("feature").agg(F.count("*").alias("n")).where("n > 1").select("feature")
     shared = own.join(common, "feature").groupBy("node").agg(F.count("*").alias("shared"))
-    sizes = own.groupBy("node").agg(F.count("*").alias("size"))
-    counted = nodes.join(sizes, "node", "left").join(shared, "node", "left")
-    counted = counted.select("node", F.coalesce("size", F.lit(0)).alias("size"), F.coalesce("shared", F.lit(0)).alias("shared"))
+    place = F.pmod(F.xxhash64("feature"), F.lit(64 * PARITY_WORDS)).cast("int")
+    placed = own.select("node", place.alias("p"))
+    placed = placed.select("node", F.floor(F.col("p") / 64).alias("word"), F.expr("shiftleft(1L, p % 64)").alias("bit"))
+    words = [F.bit_xor(F.when(F.col("word") == k, F.col("bit")).otherwise(F.lit(0).cast("long"))) for k in range(PARITY_WORDS)]
+    sizes = placed.groupBy("node").agg(F.count("*").alias("size"), *[w.alias(f"w{k}") for k, w in enumerate(words)])
+    counted = nodes.join(sizes, "node", "left").join(shared, "node", "left").na.fill(0)
+    counted = counted.select("node", "size", "shared", F.array(*[f"w{k}" for k in range(PARITY_WORDS)]).alias("bits"))
     return counted.where(100 * F.col("shared") >= percent * F.col("size"))

@@ -14,7 +14,7 @@ PERCENT = 80
 
 # Which lines of a large bucket are worth a comparison is told by one shingle in SAMPLED,
 # with a margin below the threshold.
-SAMPLED, MARGIN = 8, 20
+SAMPLED, MARGIN = 4, 10
 
 # A shingle is anchored at the start and behind every character that is no letter, or one
 # of the scripts that have no blanks between words (Thai to Khmer, and Han with its neighbours).
