@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 import zlib
 from collections.abc import Iterator
 
@@ -21,7 +22,7 @@ COUNTS = [0, 240, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1]
 BITS = [0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60]
 
 BLOCK = 1024
-CACHED_PIECES = 300_000
+CACHED_PIECES = 400_000
 _SEPARATOR = "\n"
 
 
@@ -175,8 +176,6 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         pieces = [self._pieces(t) for t in texts]
-        if len(self._known) > CACHED_PIECES:
-            self._known = {}
         known = self._known
         new = list({p: None for own in pieces for p in own if p not in known})
         plain = [p for p in new if _SEPARATOR not in p and p[0] == " " and not p[1:2].isspace()]
@@ -189,7 +188,11 @@ class Encoder:
         other = [p for p in new if p not in known]
         known.update(zip(other, self._whole(other), strict=True))
         none = np.zeros(0, np.uint32)
-        return [np.concatenate([known[p] for p in own]) if own else none for own in pieces]
+        found = [np.concatenate([known[p] for p in own]) if own else none for own in pieces]
+        if len(known) > CACHED_PIECES:  # the pieces met first, which are the common ones, stay
+            for p in new:
+                del known[p]
+        return found
 
 
 def write_token_files(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:
@@ -231,9 +234,17 @@ def read_token_files(files: DataFrame) -> DataFrame:
     )
 
 
+def _encoder(tokenizer: str) -> Encoder:
+    """The worker's encoder, kept for its next tasks."""
+    kept = sys.__dict__.setdefault("_encoders", {})
+    if tokenizer not in kept:
+        kept[tokenizer] = Encoder(tokenizer)
+    return kept[tokenizer]
+
+
 def _written(tokenizer: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, number = Encoder(tokenizer), TaskContext.get().partitionId(), 0
+        encoder, part, number = _encoder(tokenizer), TaskContext.get().partitionId(), 0
         end = np.array([end_id], np.uint32)
         for batch in batches:
             for piece in slices(batch):
