@@ -66,6 +66,10 @@ def left_join_suffixed(
     )
 
 
+# A pivot of more columns than this is a mistaken column.
+MOST_COLUMNS = 1000
+
+
 def group_max_known_keys(
     df: DataFrame, keys: Sequence[str], columns: Sequence[str]
 ) -> DataFrame:
@@ -96,14 +100,26 @@ def pivot_count_total(
     """Row counts by two keys, the second spread into columns, with a row total.
 
     A combination that does not occur is null; rows with an unknown key are left
-    out. Without ``values`` the counts are written once and the columns read from them.
+    out. The total is that of all known codes: with ``values``, a code that is not
+    listed fails the query. Without ``values`` the counts are written once and the
+    columns read from them; more than MOST_COLUMNS codes are refused.
     """
     known = df.dropna(subset=[row, column])
     counts = known.groupBy(row, column).agg(F.count(F.lit(1)).alias("_rows"))
     if values is None:
         counts = materialized(counts)
-        values = [r[0] for r in counts.select(column).distinct().orderBy(column).collect()]
-    wide = counts.groupBy(row).pivot(column, list(values)).agg(F.sum("_rows"))
-    return wide.withColumn(
-        total, sum((F.coalesce(F.col(f"`{v}`"), F.lit(0)) for v in values), F.lit(0).cast("long"))
+        codes = counts.select(column).distinct().orderBy(column).limit(MOST_COLUMNS + 1)
+        values = [r[0] for r in codes.collect()]
+        if len(values) > MOST_COLUMNS:
+            raise ValueError(f"{column} has more than {MOST_COLUMNS} codes")
+    taken = {row, total} & set(map(str, values))
+    if taken:
+        raise ValueError(f"a code has the name of another column: {sorted(taken)}")
+    code = F.col(column)
+    listed = code.isin(*values) if values else F.lit(False)
+    unlisted = F.raise_error(F.concat(F.lit(f"{column} has a code that is not listed: "), code.cast("string")))
+    checked = F.when(listed, F.col("_rows")).otherwise(unlisted.cast("long"))
+    return counts.groupBy(row).agg(
+        *(F.sum(F.when(code == v, F.col("_rows"))).alias(str(v)) for v in values),
+        F.sum(checked).alias(total),
     )

@@ -38,7 +38,6 @@ from fixtures.parameters import (
     PROFILE_AS_OF,
     TERM,
     TRIBE,
-    TUITION,
 )
 from fixtures.relations import warehouse
 
@@ -52,7 +51,7 @@ def bound(spark: SparkSession, folder: str, as_of: date = ON) -> TermQueries:
 
 
 def headcount(spark: SparkSession, folder: str, on: date = ON) -> DataFrame:
-    return bound(spark, folder).enrollment_snapshot_agg(on, TUITION)
+    return bound(spark, folder).enrollment_snapshot_agg(on)
 
 
 def profile(spark: SparkSession, folder: str) -> DataFrame:
