@@ -7,10 +7,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StringType, StructField
 
 from campuslake.sources.relations import SCHEMAS
 
 TERM_CODES = {"strm", "effective_term"}
+INFERENCE = "spark.sql.sources.partitionColumnTypeInference.enabled"
 
 
 @dataclass(frozen=True)
@@ -23,8 +25,12 @@ class Warehouse:
     def __getitem__(self, relation: str) -> DataFrame:
         if relation not in SCHEMAS:
             raise KeyError(f"unknown relation {relation!r}")
-        columns = SCHEMAS[relation].fieldNames()
-        return self.load(relation).select(*(_declared(c) for c in columns))
+        found = self.load(relation)
+        kinds = {f.name.lower(): f.dataType for f in found.schema}
+        lacking = [f.name for f in SCHEMAS[relation] if f.name not in kinds]
+        if lacking:
+            raise ValueError(f"{relation} lacks the columns {lacking}")
+        return found.select(*(_declared(f, kinds[f.name]) for f in SCHEMAS[relation]))
 
     @classmethod
     def from_frames(cls, spark: SparkSession, frames: Mapping[str, DataFrame]) -> Warehouse:
@@ -33,7 +39,7 @@ class Warehouse:
     @classmethod
     def from_parquet(cls, spark: SparkSession, folder: str) -> Warehouse:
         """One Parquet dataset per relation; partition the term facts by ``strm``."""
-        return cls(spark, lambda name: spark.read.parquet(f"{folder}/{name}"))
+        return cls(spark, lambda name: _with_text_partitions(spark, f"{folder}/{name}"))
 
     @classmethod
     def from_tables(cls, spark: SparkSession, database: str) -> Warehouse:
@@ -69,12 +75,27 @@ class Warehouse:
             self[name].createOrReplaceTempView(name)
 
 
-def _declared(column: str) -> Column | str:
+def _declared(field: StructField, kind: DataType) -> Column | str:
     """The column under its declared name; term codes as text, which they compare as.
 
-    Spark reads the codes in partition folder names as numbers.
+    A partition value, read as text, gets its declared type.
     """
-    return F.col(column).cast("string").alias(column) if column in TERM_CODES else column
+    name = field.name
+    if name in TERM_CODES:
+        return F.col(name).cast("string").alias(name)
+    if isinstance(kind, StringType) and not isinstance(field.dataType, StringType):
+        return F.col(name).cast(field.dataType).alias(name)
+    return name
+
+
+def _with_text_partitions(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet dataset whose partition folder names stay text: ``0998`` is no number."""
+    before = spark.conf.get(INFERENCE)
+    spark.conf.set(INFERENCE, "false")
+    try:
+        return spark.read.parquet(path)
+    finally:
+        spark.conf.set(INFERENCE, before)
 
 
 def jdbc_options(
