@@ -16,7 +16,8 @@ from campuslake.sources.warehouse import Warehouse
 
 @dataclass(frozen=True)
 class TermQueries:
-    """Every operation for one term; each method returns a lazy DataFrame.
+    """Every operation for one term; most return lazy DataFrames; the
+    schedule, the profile and the headcount without codes run jobs when called.
 
     ``term`` is a term code, or a column that yields it. ``as_of`` stands for
     "now": a date, a time, or today when left out.

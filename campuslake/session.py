@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,6 +43,20 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+@contextmanager
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """The frame written to the shared folder for the time of the block; its files go afterwards."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.delete(target, True)
+
+
 def materialized(df: DataFrame) -> DataFrame:
     """The frame written once to the shared folder and read back.
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from campuslake.session import materialized
+from campuslake.session import kept
 
 # Fixed values
 TEXT_LENGTH = 255
@@ -115,20 +115,21 @@ class JdbcSink:
 Sink = TableSink | PathSink | JdbcSink
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """The typed frame, computed and checked once, kept in the shared folder.
-
-    The destination is touched only after every value has passed, and a frame that
-    was read from the destination can replace it.
-    """
-    return materialized(typed(df))
-
-
 def replace(df: DataFrame, sink: Sink) -> None:
     """Make the frame the whole content of the destination."""
-    sink.write(staged(df), "overwrite")
+    _publish(df, sink, "overwrite")
 
 
 def append(df: DataFrame, sink: Sink) -> None:
     """Add the frame's rows to the destination."""
-    sink.write(staged(df), "append")
+    _publish(df, sink, "append")
+
+
+def _publish(df: DataFrame, sink: Sink, mode: str) -> None:
+    """Compute and check the typed frame once in the shared folder, then write it.
+
+    The destination is touched only after every value has passed, and a frame that
+    was read from the destination can replace it. The staged files go when it is written.
+    """
+    with kept(typed(df)) as staged:
+        sink.write(staged, mode)
