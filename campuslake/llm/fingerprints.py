@@ -141,19 +141,21 @@ def near_documents(docs: DataFrame, likely: float = 0.8) -> DataFrame:
 
     Bands are runs of BAND_BITS samples. Every document is compared with the smallest of
     each band it shares, so a group of copies has a star of links, not all its pairs.
-    Documents with one fingerprint are one node, the smallest id. Null text is empty; rows without an id
+    Documents with one fingerprint are one node, the smallest id, and link with it. Null text is empty; rows without an id
     link with nothing; likeness of an empty text is 1 to another empty one.
     """
     rows = docs.where("doc_id is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
     )
-    found = rows.mapInArrow(_fingerprinted, "doc_id long, fingerprint string, keys array<long>")
+    found = materialized(rows.mapInArrow(_fingerprinted, "doc_id long, fingerprint string, keys array<long>"))
     nodes = materialized(found.groupBy("fingerprint", "keys").agg(F.min("doc_id").alias("node")))
     buckets = shared_buckets(nodes.select(F.explode("keys").alias("key"), "node"))
     pairs = buckets.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
     prints = nodes.select("node", "fingerprint")
     both = pairs.join(prints.toDF("a", "x"), "a").join(prints.toDF("b", "y"), "b")
-    return both.mapInArrow(_likenesses, "a long, b long, likeness double").where(F.col("likeness") >= likely)
+    linked = both.mapInArrow(_likenesses, "a long, b long, likeness double").where(F.col("likeness") >= likely)
+    copies = found.select(F.col("doc_id").alias("a"), "fingerprint").join(prints, "fingerprint").where("a <> node")
+    return linked.union(copies.select("a", F.col("node").alias("b"), F.lit(1.0).alias("likeness")).distinct())
 
 
 def _row(text: str, own: str, doc_id: int | None, following: str, next_print: str, changed: str, changed_print: str):

@@ -1,0 +1,266 @@
+"""The operators on small data: against brute force, and on badly behaved rows."""
+
+import hashlib
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from campuslake.llm import chat, fingerprints, mixing, substrings, token_output
+from campuslake.llm.components import components
+from campuslake.llm.decontamination import drop_leaks, find_leaks
+from campuslake.llm.language import identify_language
+from campuslake.llm.lines import dedup_lines, repeated_lines
+from campuslake.llm.ngram_join import keep_one, ngram_components, segments
+from campuslake.llm.quality import keep_good, score_quality
+from campuslake.llm.queries import QUERIES, tokenizer_path
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def rows(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def documents(spark):
+    found = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()
+    return {r[0]: r[1] for r in found}
+
+
+class Groups:
+    def __init__(self, items):
+        self.of = {i: i for i in items}
+
+    def find(self, a):
+        while self.of[a] != a:
+            a = self.of[a]
+        return a
+
+    def join(self, a, b):
+        a, b = sorted((self.find(a), self.find(b)))
+        self.of[b] = a
+
+
+def word_sets(docs, n):
+    sets = {}
+    for i, text in docs.items():
+        words = (text or "").encode().decode().split()
+        words = ["".join(c.lower() if "A" <= c <= "Z" else c for c in w) for w in words]
+        grams = {tuple(words[k : k + n]) for k in range(len(words) - n + 1)}
+        sets[i] = grams or ({tuple(words)} if words else set())
+    return sets
+
+
+@pytest.mark.parametrize(("n", "percent"), [(3, 90), (5, 80)])
+def test_ngram_join_is_brute_force(spark, n, percent):
+    docs = documents(spark)
+    sets, groups = word_sets(docs, n), Groups(docs)
+    for a in docs:
+        for b in docs:
+            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                groups.join(a, b)
+    found = ngram_components(spark.read.parquet(f"{FOLDER}/documents.parquet"), n, percent)
+    assert sorted(rows(found)) == [(i, len(sets[i]), groups.find(i)) for i in sorted(docs)]
+
+
+def test_ngram_join_finds_links_of_small_and_large_sets(spark):
+    words = [f"w{i}" for i in range(400)]
+    texts = {1: words, 2: words[:-40], 3: words[:10], 4: words[:9], 5: words[20:26], 6: words[20:25], 7: ["w1"], 8: ["w1"]}
+    docs = {i: " ".join(w) for i, w in texts.items()}
+    sets, groups = word_sets(docs, 1), Groups(docs)
+    for a in docs:
+        for b in docs:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                groups.join(a, b)
+    found = ngram_components(spark.createDataFrame(list(docs.items()), "doc_id long, text string"), 1, 80)
+    assert sorted(rows(found)) == [(i, len(sets[i]), groups.find(i)) for i in sorted(docs)]
+    assert segments(9, 90) % 2 == 0
+
+
+def test_components_of_a_chain_and_a_star(spark):
+    edges = [(i, i + 1) for i in range(1, 30)] + [(100, i) for i in range(101, 160)] + [(5, 5), (None, 3)]
+    found = dict(rows(components(spark.createDataFrame(edges, "a long, b long"))))
+    assert found == {**dict.fromkeys(range(1, 31), 1), **dict.fromkeys(range(100, 160), 100)}
+    assert rows(components(spark.createDataFrame([], "a long, b long"))) == []
+
+
+def test_lines_keep_the_first_of_each_group(spark):
+    line = "The quick brown fox jumps over the lazy dog while the band plays on and the people of the town walk home."
+    docs = [(1, f"{line}\n\nother words here"), (2, f"new\n{line}\n"), (3, line.replace("lazy", "hazy") + "\nnew")]
+    found = spark.createDataFrame(docs, "doc_id long, text string")
+    assert sorted(rows(repeated_lines(found))) == [(2, [1]), (3, [0, 1])]
+    assert sorted(rows(dedup_lines(found))) == [(1, docs[0][1]), (2, "new\n"), (3, "")]
+
+
+def test_line_links_are_brute_force(spark):
+    docs, q = documents(spark), 9
+    lines = [(i, k, s) for i in sorted(docs) for k, s in enumerate(docs[i].split("\n")) if s.strip(" ")]
+    first = {}
+    for i, k, s in lines:
+        first.setdefault(s, (i, k))
+    sets = {s: {s[j : j + q] for j in range(len(s) - q + 1)} or {s} for s in first}
+    groups, known = Groups(first.values()), {}
+    for s, place in first.items():
+        near = {t for g in sets[s] for t in known.get(g, ())}
+        for t in near:
+            if 100 * len(sets[s] & sets[t]) >= 80 * len(sets[s] | sets[t]):
+                groups.join(place, first[t])
+        for g in sets[s]:
+            known.setdefault(g, []).append(s)
+    expected = {(i, k) for i, k, s in lines if groups.find(first[s]) != (i, k)}
+    got = {(i, k) for i, ks in rows(repeated_lines(spark.read.parquet(f"{FOLDER}/documents.parquet"))) for k in ks}
+    assert got <= expected and len(got) >= 0.98 * len(expected)
+
+
+def test_spans_cover_a_repeated_passage(spark):
+    passage = " ".join(f"Sentence number {i} says that thing {i * 7} happened on day {i}." for i in range(6))
+    docs = [(1, f"A start of its own. {passage} The end."), (2, f"Another start.\n{passage}\nNo end"), (3, "Quite other words.")]
+    found = spark.createDataFrame(docs, "doc_id long, text string")
+    assert rows(substrings.repeated_spans(found)) == [(2, [1, 2, 3, 4, 5, 6], [1])]
+    assert dict(rows(substrings.remove_repeated_spans(found)))[2] == "Another start.\nNo end"
+
+
+def test_leaks_with_new_numbers_names_and_units(spark):
+    item = "A train leaves at noon and travels 60 km in 2 hours before Anna gets off, so how fast did the train with Anna go at first?"
+    other = item.replace("60 km", "75 miles").replace("2 hours", "3 hours").replace("Anna", "Boris")
+    mixed = item.replace("before Anna", "before Carl")
+    bench = spark.createDataFrame([(1, item), (2, "short one"), (3, None)], "item_id long, text string")
+    docs = [(1, f"Before. {item} After."), (2, other), (3, "Something else with 60 km in 2 hours."), (4, mixed), (5, "it is a short one")]
+    found = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["literal"] for r in find_leaks(found, bench).collect()}
+    assert got == {(1, 1): True, (2, 1): False, (5, 2): True}
+    assert sorted(r[0] for r in rows(drop_leaks(found, bench))) == [3, 4]
+
+
+def test_mix_shares_and_epochs(spark):
+    assert mixing.shares([10, 10, 10], [5, 2, 1]) == pytest.approx([18.75, 7.5, 3.75])
+    assert mixing.shares([1, 10, 10], [5, 2, 1]) == pytest.approx([3, 12, 6])
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    got = mixing.mix_sources(docs)
+    again = rows(got)
+    assert sorted(again) == sorted(rows(mixing.mix_sources(docs)))
+    size = {i: len(t.split()) for i, t in documents(spark).items()}
+    assert all(r[1] == size[r[0]] and r[4] % max(r[1], 1) == 0 and r[4] <= 3 * r[1] for r in again)
+    source = dict(rows(docs.select("doc_id", "source")))
+    for s in set(source.values()):
+        own = [r for r in again if source[r[0]] == s]
+        assert abs(sum(r[4] for r in own) - own[0][3]) <= max(r[1] for r in own)
+
+
+@pytest.mark.parametrize("high", [1, 2, 300, 60_000, 2**31, 2**60, 2**64 - 1])
+def test_simple8b_round_trip(high):
+    rng = np.random.default_rng(high % 97)
+    for n in (0, 1, 2, 239, 240, 241, 1023, 1024, 1025, 5000):
+        ids = rng.integers(0, high, n, dtype=np.uint64, endpoint=True)
+        ids[rng.random(n) < 0.4] = 0
+        words, starts = token_output.encode_blocks(ids)
+        assert (token_output.decode_blocks(words, starts, n) == ids).all()
+
+
+def test_token_files_hold_the_tokenizers_ids(spark, odd_docs):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokenizer_path())
+    plain.encode_special_tokens = True
+    docs = {r[0]: r[1] for r in rows(odd_docs.where("doc_id is not null").dropDuplicates(["doc_id"]).select("doc_id", "text"))}
+    docs |= {20: "a  b \n c\td", 21: " lead and trail ", 22: "it's <|endoftext|> 12 34", 23: "　x \x85 y\n\n z"}
+    found = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    start, expected = 0, []
+    for i in sorted(docs):
+        ids = [*plain.encode(docs[i] or "", add_special_tokens=False).ids, 0]
+        expected.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert sorted(rows(token_output.read_token_files(token_output.write_token_files(found, tokenizer_path())))) == expected
+
+
+def test_chat_round_trip(spark):
+    for text in ("", "plain", "</s>[INST] ok [/INST]", r"\</s> \\<s>", "<|role-x|> <|end|>", "<<SYS>>", " </s> ", "\\"):
+        for role in ("user", "assistant", "system", "tool use|x", ""):
+            assert [t[:2] for t in chat.parse(chat.render(role, text) * 2)] == [(role, text)] * 2
+    turns = [(1, 1, "assistant", "</s>", 0), (1, 0, "user", None, 0), (1, None, None, "x", 0), (None, 0, "user", "y", 0)]
+    found = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string, loss_spans int")
+    got = {r["conv_id"]: r for r in chat.conversation_digests(chat.format_conversations(found)).collect()}
+    assert got[1]["turns_sha256"] == hashlib.sha256("\nx\nuser\n\nassistant\n</s>\n".encode()).hexdigest()
+    assert (got[1]["n_turns"], got[1]["loss_chars"], got[None]["n_turns"]) == (3, 4, 1)
+    assert got[1]["loss_sha256"] == hashlib.sha256(b"</s>").hexdigest()
+    assert chat.conversation_digests(chat.format_conversations(found.where("false"))).count() == 0
+
+
+def test_fingerprints_follow_edits(spark):
+    docs = documents(spark)
+    texts = [docs[i] for i in sorted(docs)]
+    got = {r["doc_id"]: r for r in QUERIES["op7_fingerprints"](spark, FOLDER).collect()}
+    for k, i in enumerate(sorted(docs)):
+        changed = fingerprints.edited(texts[k], texts[(k + 1) % len(texts)])
+        assert got[i]["edited_sha256"] == hashlib.sha256(changed.encode()).hexdigest()
+        assert got[i]["n_chars"] == len(texts[k])
+    assert np.mean([r["near_edited"] > r["near_next"] for r in got.values()]) > 0.98
+    a = texts[5]
+    one, two = fingerprints.fingerprints([a, a[:50] + "zz" + a[50:]])
+    assert fingerprints.likeness(one, one) == 1 and fingerprints.likeness(one, two) > 0.8
+    near = {tuple(r)[:2] for r in fingerprints.near_documents(
+        spark.createDataFrame([(1, a), (2, a[:-9]), (3, texts[9]), (4, None)], "doc_id long, text string")).collect()}
+    assert near == {(2, 1)}
+
+
+def test_models_on_held_out_rows(spark):
+    folder = FOLDER.replace("0.001", "0.01")
+    lang = {r[0]: r[1] for r in rows(spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang"))}
+    got = [r for r in QUERIES["op2_language_id"](spark, folder).collect() if r["held_out"]]
+    assert np.mean([r["lang_pred"] == lang[r["doc_id"]] for r in got]) > 0.97
+    label = dict(rows(spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality")))
+    got = [r for r in QUERIES["op9_quality"](spark, folder).collect() if r["held_out"] and r["doc_id"] in label]
+    assert np.mean([r["predicted"] == label[r["doc_id"]] for r in got]) > 0.95
+
+
+def test_odd_rows(spark, odd_docs, no_docs):
+    labels = spark.createDataFrame([(1, 1, "q"), (8, 0, None), (None, 1, None), (3, None, None)], "doc_id long, quality int, text string")
+    bench = spark.createDataFrame([(1, None, "x"), (None, "q", None)], "item_id long, text string, doc_id string")
+    n = odd_docs.count()
+    assert ngram_components(odd_docs).count() == 8
+    assert dict((r[0], r[2]) for r in rows(ngram_components(odd_docs, 3, 50)))[6] == 1
+    assert identify_language(odd_docs).where("doc_id in (2, 3, 4)").select("lang_pred").distinct().collect()[0][0] == "und"
+    assert score_quality(odd_docs, labels).where("score between 0 and 1").count() == n
+    assert mixing.mix_sources(odd_docs).count() == n
+    assert fingerprints.fingerprint_edits(odd_docs).count() == n
+    assert token_output.read_token_files(token_output.write_token_files(odd_docs, tokenizer_path())).count() == n
+    assert find_leaks(odd_docs, bench).count() == 0
+    for whole in (dedup_lines, substrings.remove_repeated_spans):
+        assert whole(odd_docs).columns == odd_docs.columns and whole(odd_docs).count() == n
+        assert whole(no_docs).count() == 0
+    for kept in (keep_one(odd_docs), keep_good(odd_docs, labels), drop_leaks(odd_docs, bench), mixing.repeat_documents(odd_docs)):
+        assert kept.columns == odd_docs.columns and kept.where("doc_id is null").count() == 1
+    for empty in (
+        ngram_components(no_docs), identify_language(no_docs), score_quality(no_docs, labels.where("false")),
+        mixing.mix_sources(no_docs), fingerprints.fingerprint_edits(no_docs), find_leaks(no_docs, bench),
+        repeated_lines(no_docs), substrings.repeated_spans(no_docs),
+        token_output.read_token_files(token_output.write_token_files(no_docs, tokenizer_path())),
+    ):
+        assert empty.count() == 0
+
+
+def test_pipeline_stages(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    columns, kept, leaks = docs.columns, docs, None
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = corpus_pipeline.materialized(stage(spark, kept, FOLDER))
+        assert out.columns == columns
+        if name == "quality":
+            good = score_quality(kept, spark.read.parquet(f"{FOLDER}/labels.parquet")).where("predicted = 1")
+            assert {r[0] for r in rows(out.select("doc_id"))} == {r[0] for r in rows(good.select("doc_id"))}
+        if name == "near_duplicates":
+            sets = word_sets(dict(rows(kept.select("doc_id", "text"))), 5)
+            left = {r[0] for r in rows(out.select("doc_id"))}
+            near = lambda a, b: 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+            assert not any(near(a, b) for a in left for b in left if a < b and sets[a])
+            assert all(any(near(a, b) for b in sets if a != b) for a in set(sets) - left)
+        if name == "decontamination":
+            leaks = find_leaks(kept, spark.read.parquet(f"{FOLDER}/benchmark.parquet"))
+            assert out.count() == kept.count() - leaks.select("doc_id").distinct().count()
+        if name == "mixing":
+            most = out.groupBy("doc_id").count().agg(F.max("count")).first()[0]
+            assert most <= 3
+        kept = out
+    assert corpus_pipeline.run(spark, FOLDER).count() == kept.count()
