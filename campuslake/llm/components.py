@@ -72,13 +72,14 @@ def shared_buckets(keyed: DataFrame) -> DataFrame:
 def bucket_links(
     buckets: DataFrame,
     compared: Callable[[DataFrame], DataFrame],
-    features: Callable[[DataFrame], DataFrame],
+    features: Callable[[DataFrame, int], DataFrame],
     percent: int,
 ) -> DataFrame:
     """Links ``(a, b)`` among nodes that share a bucket, as many as their components need.
 
     ``compared`` keeps the pairs of nodes whose sets reach ``percent`` of Jaccard
-    similarity; ``features`` gives rows ``(node, feature)`` of the sets of some nodes.
+    similarity; ``features`` gives rows ``(node, size, feature)`` of the sets of some nodes, one
+    feature in so many by its hash.
 
     Every node is compared with the leader it meets most often. Where a bucket has several
     components then, two counts of each node tell more: its features, and those that
@@ -97,7 +98,10 @@ def bucket_links(
     links = materialized(compared(best))
     rest = _mixed(buckets.select("key", "node"), links)
     nodes = materialized(rest.select("node").distinct())
-    able = materialized(_able(nodes, features(nodes), percent))
+    # A share of the features tells most nodes apart; all features only of those left.
+    coarse = max(1, int(100 / (1.6 * (100 - percent))))
+    nodes = materialized(_able(nodes, features(nodes, coarse), percent).select("node"))
+    able = materialized(_able(nodes, features(nodes, 1), percent))
     sides = rest.join(able, "node")
     purity = F.struct((F.col("shared") + 1) / (F.col("size") + 1), "size", "node")
     cleanest = sides.groupBy("key").agg(F.max_by("node", purity).alias("hub"))
@@ -144,15 +148,16 @@ def _within(percent: int) -> Column:
 
 def _able(nodes: DataFrame, features: DataFrame, percent: int) -> DataFrame:
     """``(node, size, shared, bits)`` of the nodes that may still link: features, those
-    another node has, and parities of the features by hash."""
+    another node may have, and parities of the features by hash."""
     own = materialized(features)
     common = own.groupBy("feature").agg(F.count("*").alias("n")).where("n > 1").select("feature")
-    shared = own.join(common, "feature").groupBy("node").agg(F.count("*").alias("shared"))
+    shared = own.join(common, "feature").groupBy("node").agg(F.count("*").alias("met"))
     place = F.pmod(F.xxhash64("feature"), F.lit(64 * PARITY_WORDS)).cast("int")
-    placed = own.select("node", place.alias("p"))
-    placed = placed.select("node", F.floor(F.col("p") / 64).alias("word"), F.expr("shiftleft(1L, p % 64)").alias("bit"))
+    placed = own.select("node", "size", place.alias("p"))
+    placed = placed.select("node", "size", F.floor(F.col("p") / 64).alias("word"), F.expr("shiftleft(1L, p % 64)").alias("bit"))
     words = [F.bit_xor(F.when(F.col("word") == k, F.col("bit")).otherwise(F.lit(0).cast("long"))) for k in range(PARITY_WORDS)]
-    sizes = placed.groupBy("node").agg(F.count("*").alias("size"), *[w.alias(f"w{k}") for k, w in enumerate(words)])
+    sizes = placed.groupBy("node").agg(F.max("size").alias("size"), F.count("*").alias("told"), *[w.alias(f"w{k}") for k, w in enumerate(words)])
     counted = nodes.join(sizes, "node", "left").join(shared, "node", "left").na.fill(0)
-    counted = counted.select("node", "size", "shared", F.array(*[f"w{k}" for k in range(PARITY_WORDS)]).alias("bits"))
+    shared_most = (F.col("size") - F.col("told") + F.col("met")).alias("shared")
+    counted = counted.select("node", "size", shared_most, F.array(*[f"w{k}" for k in range(PARITY_WORDS)]).alias("bits"))
     return counted.where(100 * F.col("shared") >= percent * F.col("size"))

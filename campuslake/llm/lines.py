@@ -94,10 +94,12 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
         both = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
         return both.where(_similar(F.col("x"), F.col("y"))).select("a", "b")
 
-    def features(found: DataFrame) -> DataFrame:
+    def features(found: DataFrame, every: int) -> DataFrame:
         own = texts.join(found.withColumnRenamed("node", "id"), "id")
         some = F.filter(_hashes(F.col("line")), lambda h: F.pmod(h, F.lit(SAMPLED)) == 0)
-        return own.select(F.col("id").alias("node"), F.explode(some).alias("feature"))
+        own = own.select(F.col("id").alias("node"), F.explode(F.array(some)).alias("some"))
+        told = F.filter("some", lambda h: F.pmod(h, F.lit(SAMPLED * every)) == 0)
+        return own.select("node", F.size("some").alias("size"), F.explode(told).alias("feature"))
 
     placed = materialized(components(bucket_links(buckets, compared, features, PERCENT - MARGIN)))
     known = nodes.join(placed.withColumnRenamed("node", "id"), "id", "left")

@@ -176,9 +176,11 @@ def _links(rows: DataFrame, classes: DataFrame, texts: DataFrame, n: int, percen
         both = fitting.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
         return both.mapInArrow(_verified(percent), "a long, b long")
 
-    def features(nodes: DataFrame) -> DataFrame:
+    def features(nodes: DataFrame, every: int) -> DataFrame:
         found = sets.join(nodes.withColumnRenamed("node", "class"), "class")
-        return found.select(F.col("class").alias("node"), F.explode("hashes").alias("feature"))
+        some = F.filter("hashes", lambda h: F.pmod(h, F.lit(every)) == 0) if every > 1 else F.col("hashes")
+        size = F.size("hashes").alias("size")
+        return found.select(F.col("class").alias("node"), size, F.explode(some).alias("feature"))
 
     return bucket_links(buckets, compared, features, percent)
 
