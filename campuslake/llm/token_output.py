@@ -22,7 +22,10 @@ COUNTS = [0, 240, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1]
 BITS = [0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60]
 
 BLOCK = 1024
-CACHED_PIECES = 400_000
+CACHED_PIECES = 300_000
+LEARNED_TOGETHER = 10_000
+# A run of documents in a file holds about so many bytes of text.
+RUN_BYTES = 1 << 20
 _SEPARATOR = "\n"
 
 
@@ -148,9 +151,11 @@ def decode_blocks(words: np.ndarray, block_starts: np.ndarray, n: int) -> np.nda
 class Encoder:
     """Ids of texts; equal pieces of a text are encoded once.
 
-    A single space between two visible characters always separates two units of the
-    vocabulary's own splitting, so the pieces between such spaces have their ids each for
-    itself. New pieces are encoded together, line by line, and split at the line breaks.
+    The vocabulary's own splitting starts a new unit at every white space behind a visible
+    character, and gives the word behind a run of white space its last blank at most; a
+    letter and ASCII punctuation behind it are never of one unit. So a run's rest, each word
+    with its blank and the punctuation behind it have their ids each for itself. New words are
+    encoded together, line by line, and split at the line breaks.
     """
 
     def __init__(self, path: str):
@@ -159,36 +164,43 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
-        self._known: dict[str, np.ndarray] = {}
-        self._cut = re.compile(r"(?<=\S)(?= \S)")
-        self._odd = re.compile(r"\s\s|\s\Z|\A\s|[^\S ]")
-        (self._break,) = self._whole([_SEPARATOR])[0].tolist()
-
-    def _whole(self, texts: list[str]) -> list[np.ndarray]:
-        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, np.uint32) for x in found]
-
-    def _pieces(self, text: str) -> list[str]:
-        if self._odd.search(text):
-            return [x for x in self._cut.split(text) if x]
-        first, *rest = text.split(" ")
-        return ([first] if first else []) + [" " + x for x in rest]
+        self._known: dict[str, bytes] = {}
+        visible = r"[\S\x1c-\x1f]"  # 1C to 1F are white space to Python, not to the vocabulary
+        space = r"[^\S\x1c-\x1f]"
+        word = r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[!-/:-@\[-`{-~])"
+        self._piece = re.compile(rf"{word}| ?{visible}+|{space}+(?!{visible})|{space}")
+        (self._break,) = self._whole(_SEPARATOR).tolist()
+
+    def _whole(self, text: str) -> np.ndarray:
+        (found,) = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found.ids, np.uint32)
+
+    def _learn(self, words: list[str]) -> None:
+        """Encode new pieces, the words among them together."""
+        ids = self._whole(_SEPARATOR.join(words))
+        cuts = np.flatnonzero(ids == self._break)
+        if len(cuts) != len(words) - 1:
+            self._known.update((w, self._whole(w).tobytes()) for w in words)
+            return
+        raw = ids.tobytes()
+        starts, ends = np.append(0, 4 * (cuts + 1)).tolist(), np.append(4 * cuts, len(raw)).tolist()
+        self._known.update((w, raw[a:b]) for w, a, b in zip(words, starts, ends, strict=True))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        pieces = [self._pieces(t) for t in texts]
         known = self._known
-        new = list({p: None for own in pieces for p in own if p not in known})
-        plain = [p for p in new if _SEPARATOR not in p and p[0] == " " and not p[1:2].isspace()]
-        if plain:
-            ids = self._whole([_SEPARATOR.join(plain)])[0]
-            cuts = np.flatnonzero(ids == self._break)
-            if len(cuts) == len(plain) - 1:
-                starts, ends = np.append(0, cuts + 1).tolist(), np.append(cuts, len(ids)).tolist()
-                known.update({p: ids[a:b] for p, a, b in zip(plain, starts, ends, strict=True)})
-        other = [p for p in new if p not in known]
-        known.update(zip(other, self._whole(other), strict=True))
-        none = np.zeros(0, np.uint32)
-        found = [np.concatenate([known[p] for p in own]) if own else none for own in pieces]
+        pieces = [self._piece.findall(t) for t in texts]
+        ids = [list(map(known.get, own)) for own in pieces]
+        new = list({p: None for own, got in zip(pieces, ids, strict=True) if None in got for p, x in zip(own, got) if x is None})
+        blank = [p for p in new if p.isspace()]
+        known.update((p, self._whole(p).tobytes()) for p in blank)
+        words = [p for p in new if not p.isspace()]
+        for k in range(0, len(words), LEARNED_TOGETHER):
+            self._learn(words[k : k + LEARNED_TOGETHER])
+        found = []
+        for own, got in zip(pieces, ids, strict=True):
+            if None in got:
+                got = map(known.__getitem__, own)
+            found.append(np.frombuffer(b"".join(got), np.uint32))
         if len(known) > CACHED_PIECES:  # the pieces met first, which are the common ones, stay
             for p in new:
                 del known[p]
@@ -247,7 +259,7 @@ def _written(tokenizer: str, end_id: int):
         encoder, part, number = _encoder(tokenizer), TaskContext.get().partitionId(), 0
         end = np.array([end_id], np.uint32)
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, size=RUN_BYTES):
                 ids = encoder.encode([t or "" for t in piece.column("text").to_pylist()])
                 lengths = [len(x) + 1 for x in ids]
                 words, starts = encode_blocks(np.concatenate([x for own in ids for x in (own, end)]))
@@ -269,7 +281,8 @@ def _written(tokenizer: str, end_id: int):
 
 def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row in batch.to_pylist():
+        for k in range(batch.num_rows):
+            (row,) = batch.slice(k, 1).to_pylist()
             lengths = np.array(row["lengths"], np.int64)
             ids = decode_blocks(np.frombuffer(row["words"], "<u8"), np.array(row["block_starts"]), int(lengths.sum()))
             ends = np.cumsum(lengths)
