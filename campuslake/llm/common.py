@@ -19,7 +19,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 BROADCAST_BYTES = 16 << 20
 
 # Python tasks work on slices of about so many bytes of text.
-SLICE_BYTES = 3 << 20
+SLICE_BYTES = 1 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32

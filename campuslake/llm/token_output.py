@@ -22,10 +22,8 @@ COUNTS = [0, 240, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1]
 BITS = [0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60]
 
 BLOCK = 1024
-CACHED_PIECES = 300_000
+CACHED_PIECES = 200_000
 LEARNED_TOGETHER = 10_000
-# A run of documents in a file holds about so many bytes of text.
-RUN_BYTES = 1 << 20
 _SEPARATOR = "\n"
 
 
@@ -259,7 +257,7 @@ def _written(tokenizer: str, end_id: int):
         encoder, part, number = _encoder(tokenizer), TaskContext.get().partitionId(), 0
         end = np.array([end_id], np.uint32)
         for batch in batches:
-            for piece in slices(batch, size=RUN_BYTES):
+            for piece in slices(batch):
                 ids = encoder.encode([t or "" for t in piece.column("text").to_pylist()])
                 lengths = [len(x) + 1 for x in ids]
                 words, starts = encode_blocks(np.concatenate([x for own in ids for x in (own, end)]))
