@@ -101,13 +101,13 @@ def race_detail(
 
     One row per person and ethnic group code: the latest definition of the code,
     ties going to the lowest status, set, group, name and Hispanic flag. Each of
-    these belongs to one side, so each side picks its own row before they meet.
+    these belongs to one side, so each side picks its own row before they meet, and
+    reads only the persons of the term before it ranks.
     """
-    home = home_citizenships(citizenship, statuses).join(
-        enrolled_persons(career_terms, term), "emplid", "left_semi"
-    )
+    enrolled = enrolled_persons(career_terms, term)
+    home = home_citizenships(spread_join(citizenship, enrolled, "emplid", "left_semi"), statuses)
     details = first_by(
-        current_active(ethnicities),
+        current_active(spread_join(ethnicities, enrolled, "emplid", "left_semi")),
         ["emplid", "ethnic_grp_cd"],
         [F.col("hisp_latino").asc_nulls_last()],
     ).select("emplid", "ethnic_grp_cd", "hisp_latino")
