@@ -85,9 +85,9 @@ def bucket_links(
     components then, two counts of each node tell more: its features, and those that
     another such node has too. Only the latter can be in an intersection, which bounds the
     similarity of a node to any other and of a pair; what can't link goes (a node without
-    features stays). With ``features`` a sample, ``percent`` leaves a margin. The bucket's node with
-    the least of its own, the cleanest copy, is compared with the others; last those that
-    are in different components still and within the bound.
+    features stays). The bounds are exact: no pair that links is ruled out. The bucket's node
+    with the least of its own, the cleanest copy, is compared with the others; last those
+    that are in different components still and within the bound.
     """
     led = materialized(
         buckets.where("node <> leader")

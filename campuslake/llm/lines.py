@@ -12,10 +12,6 @@ SHINGLE = 9
 BANDS, ROWS = 8, 4
 PERCENT = 80
 
-# Which lines of a large bucket are worth a comparison is told by one shingle in SAMPLED,
-# with a margin below the threshold.
-SAMPLED, MARGIN = 4, 10
-
 # A shingle is anchored at the start and behind every character that is no letter, or one
 # of the scripts that have no blanks between words (Thai to Khmer, and Han with its neighbours).
 _BEHIND = r"[\P{L}฀-໿က-႟ក-៿⺀-鿿]"
@@ -96,12 +92,11 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
 
     def features(found: DataFrame, every: int) -> DataFrame:
         own = texts.join(found.withColumnRenamed("node", "id"), "id")
-        some = F.filter(_hashes(F.col("line")), lambda h: F.pmod(h, F.lit(SAMPLED)) == 0)
-        own = own.select(F.col("id").alias("node"), F.explode(F.array(some)).alias("some"))
-        told = F.filter("some", lambda h: F.pmod(h, F.lit(SAMPLED * every)) == 0)
-        return own.select("node", F.size("some").alias("size"), F.explode(told).alias("feature"))
+        own = own.select(F.col("id").alias("node"), F.explode(F.array(_hashes(F.col("line")))).alias("all"))
+        told = F.filter("all", lambda h: F.pmod(h, F.lit(every)) == 0) if every > 1 else F.col("all")
+        return own.select("node", F.size("all").alias("size"), F.explode(told).alias("feature"))
 
-    placed = materialized(components(bucket_links(buckets, compared, features, PERCENT - MARGIN)))
+    placed = materialized(components(bucket_links(buckets, compared, features, PERCENT)))
     known = nodes.join(placed.withColumnRenamed("node", "id"), "id", "left")
     known = known.withColumn("group", F.coalesce("component", "id"))
     kept = known.groupBy("group").agg(F.min("first").alias("kept"), F.max("last").alias("end")).where("kept <> end")

@@ -12,7 +12,7 @@ from campuslake.llm import chat, fingerprints, mixing, substrings, token_output
 from campuslake.llm.components import components
 from campuslake.llm.decontamination import drop_leaks, find_leaks
 from campuslake.llm.language import identify_language
-from campuslake.llm.lines import dedup_lines, repeated_lines
+from campuslake.llm.lines import band_keys, dedup_lines, repeated_lines
 from campuslake.llm.ngram_join import keep_one, ngram_components, segments
 from campuslake.llm.quality import keep_good, score_quality
 from campuslake.llm.queries import QUERIES, tokenizer_path
@@ -114,6 +114,30 @@ def test_line_links_are_brute_force(spark):
     assert got <= expected and len(got) >= 0.98 * len(expected)
 
 
+def test_no_link_within_a_large_bucket_is_lost(spark):
+    rng = np.random.default_rng(3)
+    base = [f"{w}{k}" for k, w in enumerate("river stone meadow castle winter journey lantern harbour".split() * 4)]
+    lines = []
+    for _ in range(150):
+        own = list(base)
+        for k in rng.choice(len(base), rng.integers(1, 6), replace=False):
+            own[k] = f"other{rng.integers(10**6)}"
+        lines.append(" ".join(own))
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    keys = dict(rows(docs.select("doc_id", band_keys(F.col("text")))))
+    sets = [{s[j : j + 9] for j in range(len(s) - 8)} for s in lines]
+    groups, links = Groups(range(len(lines))), 0
+    for a in range(len(lines)):
+        for b in range(a):
+            near = 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+            if near and set(keys[a]) & set(keys[b]):
+                groups.join(a, b)
+                links += 1
+    expected = {a for a in range(len(lines)) if groups.find(a) != a}
+    assert links > 50 and len(expected) < len(lines) - 1
+    assert {i for i, _ in rows(repeated_lines(docs))} == expected
+
+
 def test_spans_cover_a_repeated_passage(spark):
     passage = " ".join(f"Sentence number {i} says that thing {i * 7} happened on day {i}." for i in range(6))
     docs = [(1, f"A start of its own. {passage} The end."), (2, f"Another start.\n{passage}\nNo end"), (3, "Quite other words.")]
