@@ -88,18 +88,26 @@ class PathSink:
 
 @dataclass(frozen=True)
 class JdbcSink:
-    """A database table; executors insert their partitions in batches."""
+    """A database table; executors insert their partitions in batches.
+
+    ``connections`` bounds the partitions written at once. Text columns get the type of the
+    database's dialect, which keeps national characters, unless ``text`` names another.
+    """
 
     url: str
     table: str
+    connections: int
     options: Mapping[str, str] = field(default_factory=dict)
+    text: str | None = None
 
     def writer_options(self, schema: T.StructType) -> dict[str, str]:
-        columns = ", ".join(f"`{c}` {k}" for c, k in sink_columns(schema).items())
+        kinds = {c: self.text if k == TEXT else k for c, k in sink_columns(schema).items()}
+        columns = ", ".join(f"`{c}` {k}" for c, k in kinds.items() if k)
         return {
             "batchsize": str(BATCH_ROWS),
             **({COLUMN_TYPES: columns} if columns else {}),
             **self.options,
+            "numPartitions": str(self.connections),
             "url": self.url,
             "dbtable": self.table,
         }

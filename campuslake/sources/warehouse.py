@@ -12,6 +12,11 @@ from pyspark.sql.types import DataType, StringType, StructField
 from campuslake.sources.relations import SCHEMAS
 
 TERM_CODES = {"strm", "effective_term"}
+# Calendars and code lists: one task may read them.
+SMALL = {
+    "r_term_rv", "r_termsession_rv", "r_acadplan_rv", "t_xlatitem_v", "t_xlattable_vw_av",
+    "s_citizen_sts_tbl_av", "s_ethnic_grp_tbl_av", "s_acad_car_tbl_v",
+}
 INFERENCE = "spark.sql.sources.partitionColumnTypeInference.enabled"
 
 
@@ -57,7 +62,8 @@ class Warehouse:
         """Read a live database; filters and columns are pushed to it.
 
         ``partitioning`` names, per relation, the ``partitionColumn``,
-        ``lowerBound``, ``upperBound`` and ``numPartitions`` that split its read.
+        ``lowerBound``, ``upperBound`` and ``numPartitions`` that split its read. Relations
+        that grow with students or classes need it.
         """
 
         def load(name: str) -> DataFrame:
@@ -105,10 +111,13 @@ def jdbc_options(
     options: Mapping[str, str] | None = None,
     partitioning: Mapping[str, Mapping[str, str]] | None = None,
 ) -> dict[str, str]:
+    split = (partitioning or {}).get(relation)
+    if split is None and relation not in SMALL:
+        raise ValueError(f"{relation}: give its partitioning; numPartitions 1 reads it in one task")
     return {
         "fetchsize": "10000",
         **(options or {}),
-        **(partitioning or {}).get(relation, {}),
+        **(split or {}),
         "url": url,
         "dbtable": f"{schema}.{relation}",
     }

@@ -14,6 +14,7 @@ from campuslake.sinks.publish import (
     sink_columns,
     typed,
 )
+from campuslake.sources.warehouse import jdbc_options
 
 
 @pytest.fixture(scope="module")
@@ -83,16 +84,26 @@ def test_a_value_that_does_not_fit_leaves_the_sink_alone(spark, sink, publish, v
 
 
 def test_jdbc_options(frame):
-    sink = JdbcSink("jdbc:x", "dbo.daily", {"user": "u", "numPartitions": "16"})
+    sink = JdbcSink("jdbc:x", "dbo.daily", 16, {"user": "u"})
     assert sink.writer_options(frame.schema) == {
         "batchsize": "10000",
-        "createTableColumnTypes": "`text` VARCHAR(255), `number` INT, `share` DOUBLE, "
-        "`day` TIMESTAMP_NTZ",
+        "createTableColumnTypes": "`number` INT, `share` DOUBLE, `day` TIMESTAMP_NTZ",
         "user": "u", "numPartitions": "16", "url": "jdbc:x", "dbtable": "dbo.daily",
     }
+    chosen = JdbcSink("jdbc:x", "dbo.daily", 16, text="VARCHAR(255)").writer_options(frame.schema)
+    assert chosen["createTableColumnTypes"].startswith("`text` VARCHAR(255), `number` INT")
+
+
+def test_jdbc_reads_of_growing_relations_name_their_split():
+    split = {"partitionColumn": "emplid", "lowerBound": "0", "upperBound": "9", "numPartitions": "9"}
+    found = jdbc_options("jdbc:x", "s", "p_names_av", None, {"p_names_av": split})
+    assert split.items() <= found.items()
+    assert "numPartitions" not in jdbc_options("jdbc:x", "s", "r_term_rv")
+    with pytest.raises(ValueError, match="p_names_av: give its partitioning"):
+        jdbc_options("jdbc:x", "s", "p_names_av")
 
 
 def test_unknown_column_types_are_refused_before_the_table_is_touched(frame):
-    sink = JdbcSink("jdbc:x", "t", {"createTableColumnTypes": "`text` NVARCHAR(255)"})
+    sink = JdbcSink("jdbc:x", "t", 1, {"createTableColumnTypes": "`text` NVARCHAR(255)"})
     with pytest.raises(ParseException):
         sink.write(frame, "overwrite")
