@@ -50,6 +50,10 @@ def bound(spark: SparkSession, folder: str, as_of: date = ON) -> TermQueries:
     return TermQueries.with_select_term(warehouse(configure(spark), folder), TERM, as_of)
 
 
+def in_session(spark: SparkSession, folder: str, as_of: date = ON) -> TermQueries:
+    return TermQueries.with_current_term(warehouse(configure(spark), folder), as_of)
+
+
 def headcount(spark: SparkSession, folder: str, on: date = ON) -> DataFrame:
     return bound(spark, folder).enrollment_snapshot_agg(on)
 
@@ -129,6 +133,8 @@ REGISTERED: dict[str, Query] = {
     "bio_demographics": profile,
     "enrollment_snapshot_base": lambda s, d: bound(s, d).enrollment_snapshot_base(ON),
     "enrollment_snapshot_agg": headcount,
+    "current_term_race": lambda s, d: in_session(s, d).race_detail(),
+    "current_term_headcount": lambda s, d: in_session(s, d).enrollment_snapshot_agg(ON),
     "sink_type_mapping": lambda s, d: typed(configure(s).read.parquet(f"{d}/orders.parquet")),
     "sink_replace": sink_replace,
     "sink_append": sink_append,
