@@ -11,6 +11,11 @@ from campuslake.llm.components import bucket_links, components, shared_buckets
 SHINGLE = 9
 BANDS, ROWS = 8, 4
 PERCENT = 80
+# Lines up to SHORT characters, and those of fewer than FEW anchored shingles, are signed over all shingles.
+SHORT, FEW = 72, 12
+SHORT_BANDS = 16
+# Sets so small get a key from each hash on.
+EVERY_RUN = 32
 
 # A shingle is anchored at the start and behind every character that is no letter, or one
 # of the scripts that have no blanks between words (Thai to Khmer, and Han with its neighbours).
@@ -38,24 +43,47 @@ def _similar(x: Column, y: Column) -> Column:
     )[0]
 
 
-def band_keys(line: Column) -> Column:
-    """BANDS keys of ROWS minima each, out of one sorted set of hashes.
+def _runs(hashed: Column, bands: int) -> Column:
+    """The hashes of runs of ROWS successive hashes of a sorted set, on a circle.
 
-    A band's minima are the ROWS hashes that follow its threshold, on a circle: lines
-    of similarity J agree in all of them with a probability of about J to the power of ROWS.
+    The runs are those that follow ``bands`` thresholds; of a set of up to EVERY_RUN, all.
     """
-    hashed = F.sort_array(F.array_distinct(F.transform(_shingles(line, _ANCHORED), lambda s: F.xxhash64(s))))
-    thresholds = F.array(*[F.lit(-(1 << 63) + b * ((1 << 64) // BANDS)) for b in range(BANDS)])
+    thresholds = F.array(*[F.lit(-(1 << 63) + b * ((1 << 64) // bands)) for b in range(bands)])
 
     def keys(h: Column) -> Column:
         merged = F.array(F.sort_array(F.concat(h, thresholds)))
-        starts = F.transform(merged, lambda m: F.transform(thresholds, lambda t, b: F.array_position(m, t) - 1 - b))[0]
-        following = [lambda p, k=k: h[(p + k) % F.size(h)] for k in range(ROWS)]
-        return F.transform(starts, lambda p, b: F.xxhash64(b, *[f(p) for f in following]))
+        found = F.transform(merged, lambda m: F.transform(thresholds, lambda t, b: F.array_position(m, t) - 1 - b))[0]
+        if bands == SHORT_BANDS:
+            found = F.when(F.size(h) <= EVERY_RUN, F.sequence(F.lit(0), F.size(h) - 1).cast("array<long>")).otherwise(found)
+        following = [lambda p, k=k: h[((p + k) % F.size(h)).cast("int")] for k in range(ROWS)]
+        return F.array_distinct(F.transform(found, lambda p: F.xxhash64(*[f(p) for f in following])))
 
     return F.transform(F.array(hashed), keys)[0]
 
 
+def band_keys(line: Column) -> Column:
+    """Keys of ROWS minima each, out of sorted sets of hashes.
+
+    A band's minima are the ROWS hashes that follow its threshold, on a circle: lines
+    of similarity J agree in all of them with a probability of about J to the power of ROWS.
+
+    Short lines, and those of few anchored shingles, have too few of these and are signed over all
+    shingles. A set of up to EVERY_RUN has every run as a key: of two such sets with c shingles in common
+    and d others, c >= 4 d at PERCENT, so ROWS of the c follow each other on the circle and no link is lost.
+    Lines that may link with one beyond SHORT are signed both ways.
+    """
+    shortest = PERCENT * (SHORT - SHINGLE + 2) // 100 + SHINGLE - 1
+    none = F.array().cast("array<long>")
+
+    def keys(anchored: Column) -> Column:
+        whole = (F.length(line) <= SHORT) | (F.size(anchored) < FEW)
+        every = F.when(whole, _runs(F.sort_array(_hashes(line)), SHORT_BANDS)).otherwise(none)
+        return F.array_distinct(F.concat(F.when(F.length(line) >= shortest, _runs(anchored, BANDS)).otherwise(none), every))
+
+    anchored = F.sort_array(F.array_distinct(F.transform(_shingles(line, _ANCHORED), lambda s: F.xxhash64(s))))
+    return F.transform(F.array(anchored), keys)[0]
+
+
 def lines_of(docs: DataFrame) -> DataFrame:
     """``(doc_id, line_no, id, line)`` of all lines that aren't blank; id: the line's 64-bit hash."""
     rows = docs.where("doc_id is not null").select(
@@ -70,7 +98,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     Lines link when the sets of their character shingles have a Jaccard similarity of
     PERCENT or more; of each component the line first by id and place stays. Equal lines
     are one node, known by a 64-bit hash. Signatures are minima of hashes of the anchored
-    shingles, mostly those that begin a word, one in six of all; lines that
+    shingles, mostly those that begin a word, one in six of all, and of all shingles of short lines; lines that
     agree in a band are compared by all their shingles, so every link is exact. A line
     shorter than a shingle is its own one shingle.
 

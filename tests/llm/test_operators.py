@@ -138,6 +138,33 @@ def test_no_link_within_a_large_bucket_is_lost(spark):
     assert {i for i, _ in rows(repeated_lines(docs))} == expected
 
 
+def test_short_lines_with_an_edit_share_a_key(spark):
+    rng = np.random.default_rng(5)
+    letters = list("etaoinshrdlucmfw")
+    pairs = [("Subscribe to our newsletter", "subscribe to our newsletter"),
+             ("Share this article on Facebook", "share this article on Facebook")]
+    for size in range(12, 130):
+        for _ in range(6):
+            text = ""
+            while len(text) < size:
+                text += " " * bool(text) + "".join(rng.choice(letters, rng.integers(2, 9 if size % 5 else 60)))
+            text = text[: size - 1] + "."
+            cut, most = int(rng.integers(1, 4)), max(1, (size - 8) // 9)
+            pairs += [(text, text.upper()[0] + text[1:]), (text, text[cut:]), (text, text[:-cut]), (text, "x" + text)]
+            pairs += [(text, text[: size - most] + "Q" * most)]
+            at = int(rng.integers(0, size))
+            pairs += [(text, text[:at] + "q" + text[at + 1 :])]
+    sets = lambda s: {s[j : j + 9] for j in range(len(s) - 8)} or {s}
+    near = [(a, b) for a, b in pairs if a != b and 100 * len(sets(a) & sets(b)) >= 80 * len(sets(a) | sets(b))]
+    found = spark.createDataFrame(near, "a string, b string").select("a", "b", F.arrays_overlap(band_keys(F.col("a")), band_keys(F.col("b"))))
+    got = rows(found)
+    for low, high, least in ((0, 40, 1), (41, 72, 0.99), (73, 200, 0.95)):
+        own = [ok for a, b, ok in got if low <= max(len(a), len(b)) <= high]
+        assert len(own) > 100 and np.mean(own) >= least, (low, len(own), np.mean(own))
+    docs = [(k, s) for k, s in enumerate(s for pair in pairs[:2] for s in pair)]
+    assert sorted(rows(repeated_lines(spark.createDataFrame(docs, "doc_id long, text string")))) == [(1, [0]), (3, [0])]
+
+
 def test_spans_cover_a_repeated_passage(spark):
     passage = " ".join(f"Sentence number {i} says that thing {i * 7} happened on day {i}." for i in range(6))
     docs = [(1, f"A start of its own. {passage} The end."), (2, f"Another start.\n{passage}\nNo end"), (3, "Quite other words.")]
