@@ -19,39 +19,57 @@ UNITS = (
     "euros cent cents percent degree degrees usd eur gbp"
 ).split()
 
-# Marks that stand before a name and a unit; numbers show themselves.
-_NAME, _UNIT = "\u0001", "\u0002"
+# Marks that stand before a name, a unit and a word that may be a name; numbers show themselves.
+_NAME, _UNIT, _MAYBE = "\u0001", "\u0002", "\u0003"
 _WORD = r"[\p{L}\p{M}\p{N}]+(?:[.,'’][\p{L}\p{M}\p{N}]+)*"
-_TOKEN = rf"({_NAME}{_WORD}(?:\s+{_NAME}{_WORD})*|{_UNIT}?{_WORD})"
-# A capitalised word within a sentence; the first of a sentence is no name.
-_NAME_START = r"(?<=[\p{L}\p{M}\p{N},;]\s)(?=\p{Lu}\p{Ll})"
+_TOKEN = rf"({_NAME}{_WORD}(?:\s+{_NAME}{_WORD})*|[{_UNIT}{_MAYBE}]?{_WORD})"
+# A capitalised word is a name within a sentence; the first of a sentence may be one.
+_CAPITAL = r"(?=\p{Lu}\p{Ll})(?<![\p{L}\p{M}\p{N}]|[\p{L}\p{M}\p{N}][.,'’])"
+_FIRST = rf"{_NAME}(?<![\p{{L}}\p{{M}}\p{{N}},;]\s{_NAME})"
 _MEASURE = rf"(?<=\p{{N}}\s?)({'|'.join(sorted(UNITS, key=len, reverse=True))})(?![\p{{L}}\p{{N}}])"
 
 
 def tokens(text: Column) -> Column:
-    """The words of a text, lower case, punctuation aside; names and units carry a mark."""
-    clean = F.translate(F.coalesce(text, F.lit("")), _NAME + _UNIT, "  ")
-    named = F.lower(F.regexp_replace(clean, _NAME_START, _NAME))
+    """The words of a text, lower case, punctuation aside; names, units and capitalised first words carry a mark."""
+    clean = F.translate(F.coalesce(text, F.lit("")), _NAME + _UNIT + _MAYBE, "   ")
+    named = F.lower(F.regexp_replace(F.regexp_replace(clean, _CAPITAL, _NAME), _FIRST, _MAYBE))
     measured = F.when(named.rlike(r"\p{N}"), F.regexp_replace(named, _MEASURE, f" {_UNIT}$1")).otherwise(named)
     return F.regexp_extract_all(measured, F.lit(_TOKEN), F.lit(1))
 
 
-def is_slot(token: Column) -> Column:
+def is_slot(token: Column, first_too: bool = True) -> Column:
+    """Whether the token is a slot; a capitalised first word only with ``first_too``."""
     code = F.ascii(token)
-    return (code <= 2) | code.between(48, 57)
+    return (code <= (3 if first_too else 2)) | code.between(48, 57)
 
 
-def template(words: Column) -> Column:
-    """A number for each word: the type of a slot, the hash of any other word."""
+def plain(token: Column) -> Column:
+    """The token without a mark of a name."""
+    return F.when(F.ascii(token).isin(1, 3), F.substring(token, 2, 1 << 30)).otherwise(token)
+
+
+def template(words: Column, first_too: bool = False) -> Column:
+    """A number for each word: the type of a slot, the hash of any other word.
+
+    A capitalised first word is a literal, or with ``first_too`` a name.
+    """
 
     def one(t: Column) -> Column:
         code = F.ascii(t)
+        first = F.lit(1).cast("long") if first_too else F.xxhash64(F.substring(t, 2, 1 << 30))
         digit = F.when(code.between(48, 57), F.lit(3).cast("long"))
-        return F.when(code > 57, F.xxhash64(t)).when(code <= 2, code.cast("long")).otherwise(F.coalesce(digit, F.xxhash64(t)))
+        return (
+            F.when(code > 57, F.xxhash64(t)).when(code <= 2, code.cast("long")).when(code == 3, first)
+            .otherwise(F.coalesce(digit, F.xxhash64(t)))
+        )
 
     return F.transform(words, one)
 
 
+def literals(words: Column) -> Column:
+    return F.transform(words, lambda t: F.xxhash64(F.when(F.ascii(t) == 3, F.substring(t, 2, 1 << 30)).otherwise(t)))
+
+
 def windows(values: Column, length: int) -> Column:
     """The hash of each run of ``length`` values."""
 
@@ -68,104 +86,136 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``(doc_id, item_id, matched, windows, literal)``: documents that hold a benchmark item.
 
     Words become a template: numbers, names and units of measure are typed slots. Windows
-    of WINDOW template words (an item of fewer words: all of them) are joined by hash. Windows that
+    of WINDOW template words (an item of fewer words: all of them) are joined by hash. A
+    capitalised first word of a sentence is a literal in one variant of a window and a name in
+    the other; either may meet. An item is also looked for in lower case, where the document has no names. Windows that
     line up at one distance belong together if their slots agree: a value of the item
     always meets the same value of the document, and the other way round. An item is in a
     document if consistent windows reach COVERAGE of its windows. ``literal`` tells that
     every slot has the item's own value.
 
     Windows of fewer than MIN_LITERAL words beside slots say too little; an item that has
-    no other window is compared word by word. Null, empty or wordless texts and rows
+    no other window is looked for whole: by its template at one distance, if it has so many words beside slots
+    altogether, else word by word. Null, empty or wordless texts and rows
     without an id match nothing. Repeated items and documents count once. Other columns
     are ignored.
     """
-    items = benchmark.where("item_id is not null").select("item_id", tokens(F.col("text")).alias("words"))
-    items = materialized(items.where("size(words) > 0").distinct().withColumn("length", F.least(F.lit(WINDOW), F.size("words"))))
+    items = benchmark.where("item_id is not null").select(
+        "item_id", F.posexplode(F.array_distinct(F.array(tokens(F.col("text")), tokens(F.lower("text"))))).alias("form", "words")
+    )
+    items = items.where("size(words) > 0").distinct()
+    items = materialized(items.withColumn("length", F.least(F.lit(WINDOW), F.size("words"))))
     lengths = sorted(r["length"] for r in items.select("length").distinct().collect())  # at most WINDOW values
     texts = docs.where("doc_id is not null").select("doc_id", "text")
-    read = texts.select("doc_id", tokens(F.col("text")).alias("words"))
+    if not lengths:
+        return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, matched long, windows long, literal boolean")
 
     indexed = materialized(_index(items, lengths))
-    literal_too = [r["length"] for r in indexed.where("exact").select("length").distinct().collect()]
-    kinds = [(n, False) for n in lengths] + [(n, True) for n in sorted(literal_too)]
-    index = sized(indexed.select("key", "item_id", "at", "length"), 32)
-    keys = [
-        windows(F.transform("words", lambda t: F.xxhash64(t)) if exact else template(F.col("words")), n)
-        for n, exact in kinds
-    ]
-    hits = None
-    for (n, exact), own in zip(kinds, keys, strict=True):
-        found = read.select("doc_id", F.posexplode(own).alias("place", "key"))
-        salted = found.select("doc_id", "place", F.xxhash64("key", F.lit(n), F.lit(exact)).alias("key"))
-        part = salted.join(index, "key").select("doc_id", "place", "item_id", "at", "length")
-        hits = part if hits is None else hits.union(part)
-    if hits is None:
-        return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, matched long, windows long, literal boolean")
-    hits = materialized(hits)
+    literal_too = {r["length"] for r in indexed.where("exact").select("length").distinct().collect()}
+    index = sized(indexed.select("key", "item_id", "form", "at", "length"), 36)
+
+    def keys(words: Column) -> Column:
+        found = []
+        for n in lengths:
+            one, two = windows(template(words), n), windows(template(words, True), n)
+            found.append(_placed(one, n, False))
+            found.append(F.filter(_placed(F.zip_with(one, two, lambda x, y: F.when(x != y, y)), n, False), lambda k: k["key"].isNotNull()))
+            if n in literal_too:
+                found.append(_placed(windows(literals(words), n), n, True))
+        return F.concat(*[F.coalesce(f, F.array().cast("array<struct<place:int,key:bigint>>")) for f in found])
+
+    read = texts.select("doc_id", F.array(tokens(F.col("text"))).alias("words"))
+    found = read.select("doc_id", F.explode(F.transform("words", keys)[0]).alias("k")).select("doc_id", "k.place", "k.key")
+    hits = materialized(found.join(index, "key").select("doc_id", "place", "item_id", "form", "at", "length"))
     return _consistent(hits, indexed, items, texts)
 
 
+def _placed(keys: Column, n: int, exact: bool) -> Column:
+    """The windows' places and keys by kind of window."""
+    own = lambda k: F.when(k.isNotNull(), F.xxhash64(k, F.lit(n), F.lit(exact)))
+    return F.transform(keys, lambda k, i: F.struct(i.cast("int").alias("place"), own(k).alias("key")))
+
+
 def _index(items: DataFrame, lengths: list[int]) -> DataFrame:
-    """``(key, item_id, at, length, exact)`` for the windows by which each item is known."""
+    """``(key, item_id, form, at, length, exact, whole)`` for the windows by which each item is known.
+
+    ``whole``: all windows must meet.
+    """
     out = None
     for n in lengths:
+        words = F.col("words")
         own = items.where(F.col("length") == n).select(
-            "item_id", "words", windows(template(F.col("words")), n).alias("keys"),
-            windows(F.transform("words", lambda t: F.xxhash64(t)), n).alias("exact_keys"),
+            "item_id", "form", "words",
+            F.arrays_zip(
+                windows(template(words), n).alias("one"), windows(template(words, True), n).alias("two"),
+                windows(literals(words), n).alias("three"),
+            ).alias("keys"),
         )
-        each = own.select("item_id", "words", "exact_keys", F.posexplode("keys").alias("at", "key"))
-        literal = F.size(F.filter(F.slice("words", F.col("at") + 1, n), lambda t: ~is_slot(t)))
-        told = each.withColumn("telling", literal >= min(MIN_LITERAL, n))
-        best = told.groupBy("item_id").agg(F.max("telling").alias("any"))
-        told = told.join(best, "item_id").where("telling or not any")
-        key = F.when(F.col("any"), F.col("key")).otherwise(F.col("exact_keys")[F.col("at")])
-        part = told.select(
-            F.xxhash64(key, F.lit(n), ~F.col("any")).alias("key"), "item_id", "at", F.lit(n).alias("length"),
-            (~F.col("any")).alias("exact"),
+        each = own.select("item_id", "form", "words", F.posexplode("keys").alias("at", "k"))
+        run = F.slice("words", F.col("at") + 1, n)
+        beside = lambda w, first: F.size(F.filter(w, lambda t: ~is_slot(t, first)))
+        least = min(MIN_LITERAL, n)
+        told = each.select(
+            "item_id", "form", "at", "k", (beside(run, False) >= least).alias("telling"), (beside(run, True) >= least).alias("first_telling"),
+            (beside(F.col("words"), False) >= MIN_LITERAL).alias("enough"), (beside(F.col("words"), True) >= MIN_LITERAL).alias("first_enough"),
+        )
+        best = told.groupBy("item_id", "form").agg(F.max("telling").alias("any"))
+        told = told.join(best, ["item_id", "form"]).where("telling or not any")
+        none = F.lit(None).cast("long")
+        kinds = F.array(
+            F.struct(F.when(F.col("any") | F.col("enough"), F.col("k.one")).otherwise(none).alias("key"), F.lit(False).alias("exact")),
+            F.struct(F.when(F.expr("case when any then first_telling else first_enough end"), F.col("k.two")).otherwise(none).alias("key"), F.lit(False).alias("exact")),
+            F.struct(F.when(F.expr("not any and not enough"), F.col("k.three")).otherwise(none).alias("key"), F.lit(True).alias("exact")),
+        )
+        part = told.select("item_id", "form", "at", F.expr("not any and enough").alias("whole"), F.explode(kinds).alias("x"))
+        part = part.where("x.key is not null").select(
+            F.xxhash64("x.key", F.lit(n), "x.exact").alias("key"), "item_id", "form", "at", F.lit(n).alias("length"), "x.exact", "whole"
         ).distinct()
         out = part if out is None else out.union(part)
-    if out is None:
-        return items.selectExpr("0L key", "item_id", "0 at", "length", "false exact").limit(0)
     return out
 
 
 def _consistent(hits: DataFrame, indexed: DataFrame, items: DataFrame, texts: DataFrame) -> DataFrame:
+    known = ["doc_id", "item_id", "form"]
     aligned = hits.withColumn("distance", F.col("place") - F.col("at")).distinct()
-    totals = indexed.groupBy("item_id").agg(F.countDistinct("at").alias("windows"))
-    enough = F.col("matched") >= F.greatest(F.lit(1.0), F.ceil(F.col("windows") * F.lit(COVERAGE)))
+    totals = indexed.groupBy("item_id", "form").agg(F.countDistinct("at").alias("windows"), F.max("whole").alias("whole"))
+    needed = F.when(F.col("whole"), F.col("windows")).otherwise(F.ceil(F.col("windows") * F.lit(COVERAGE)))
+    enough = F.col("matched") >= F.greatest(F.lit(1.0), needed)
 
     def covered(rows: DataFrame) -> DataFrame:
-        by_item = rows.groupBy("doc_id", "item_id").agg(F.countDistinct("at").alias("matched"))
-        return by_item.join(totals, "item_id").where(enough)
+        at_one = rows.join(F.broadcast(totals), ["item_id", "form"])
+        at_one = at_one.withColumn("line", F.when(F.col("whole"), F.col("distance")))
+        by_item = at_one.groupBy(*known, "line", "windows", "whole").agg(F.countDistinct("at").alias("matched"))
+        return by_item.where(enough).groupBy(*known).agg(F.max("matched").alias("matched"), F.max("windows").alias("windows"))
 
-    likely = materialized(aligned.join(covered(aligned).select("doc_id", "item_id"), ["doc_id", "item_id"], "left_semi"))
+    likely = materialized(aligned.join(covered(aligned).select(known), known, "left_semi"))
     wanted = sized(materialized(likely.select("doc_id").distinct()), 8)
     words = texts.join(wanted, "doc_id", "left_semi").select("doc_id", tokens(F.col("text")).alias("doc_words"))
-    side = items.select("item_id", F.col("words").alias("item_words"))
-    both = likely.join(words, "doc_id").join(side, "item_id")
+    side = items.select("item_id", "form", F.col("words").alias("item_words"))
+    both = likely.join(words, "doc_id").join(side, ["item_id", "form"])
+    # The item in lower case is that of a passage without names only.
+    span = F.slice("doc_words", F.greatest(F.col("distance"), F.lit(0)) + 1, F.size("item_words"))
+    both = both.where((F.col("form") == 0) | ~F.exists(span, lambda t: F.ascii(t).isin(1, 3)))
     slots = both.select(
-        "doc_id", "item_id", "distance", "at", "place",
+        *known, "distance", "at", "place",
         F.slice("doc_words", F.col("place") + 1, F.col("length")).alias("x"),
         F.slice("item_words", F.col("at") + 1, F.col("length")).alias("y"),
     )
     pairs = F.filter(F.arrays_zip("x", "y"), lambda p: is_slot(p["y"]))
-    valued = slots.where(F.size("x") == F.size("y")).select("doc_id", "item_id", "distance", F.explode(pairs).alias("p"))
-    checked = valued.groupBy("doc_id", "item_id", "distance").agg(
+    pairs = F.transform(pairs, lambda p: F.struct(plain(p["x"]).alias("x"), plain(p["y"]).alias("y")))
+    valued = slots.where(F.size("x") == F.size("y")).select(*known, "distance", F.explode_outer(pairs).alias("p"))
+    checked = valued.groupBy(*known, "distance").agg(
         F.countDistinct("p").alias("pairs"),
         F.countDistinct("p.x").alias("own"),
         F.countDistinct("p.y").alias("theirs"),
         F.min((F.col("p.x") == F.col("p.y")).cast("int")).alias("same"),
     )
-    judged = aligned.join(likely.select("doc_id", "item_id").distinct(), ["doc_id", "item_id"], "left_semi").join(
-        checked, ["doc_id", "item_id", "distance"], "left"
-    )
-    agreed = materialized(judged.where("pairs is null or (pairs = own and pairs = theirs)"))
-    literal = agreed.groupBy("doc_id", "item_id").agg((F.min(F.coalesce("same", F.lit(1))) == 1).alias("literal"))
-    return (
-        covered(agreed)
-        .join(literal, ["doc_id", "item_id"])
-        .select("doc_id", "item_id", "matched", "windows", "literal")
-    )
+    judged = likely.join(checked, [*known, "distance"])
+    agreed = materialized(judged.where("pairs = own and pairs = theirs"))
+    literal = agreed.groupBy(*known).agg((F.min(F.coalesce("same", F.lit(1))) == 1).alias("literal"))
+    found = covered(agreed).join(literal, known)
+    best = found.groupBy("doc_id", "item_id").agg(F.max(F.struct("matched", "literal", "windows")).alias("best"))
+    return best.select("doc_id", "item_id", "best.matched", "best.windows", "best.literal")
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

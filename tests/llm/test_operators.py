@@ -185,6 +185,20 @@ def test_leaks_with_new_numbers_names_and_units(spark):
     assert sorted(r[0] for r in rows(drop_leaks(found, bench))) == [3, 4]
 
 
+def test_leaks_with_names_that_start_sentences(spark):
+    item = "Tom has 3 red apples in his bag. Ann has 5 green pears in her box. Tom gives Ann 2 apples before lunch."
+    other = item.replace("Tom", "Bob").replace("Ann", "Eve").replace("3", "4").replace("5", "7")
+    swapped = other.replace("Bob gives Eve", "Eve gives Bob").replace("Bob has", "Ron has").replace("Eve has", "Kim has")
+    dense = "At 7 Anna and Boris saw 12 and 15 and Carl 18 of 99 birds."
+    bench = spark.createDataFrame([(1, item), (2, dense)], "item_id long, text string")
+    docs = [(1, f"So. {other} Yes."), (2, item.lower()), (3, item), (4, swapped), (5, dense.replace("Anna", "Eva").replace("7", "8")),
+            (6, "At 8 Eva and Otto saw 13."), (7, "Nothing of the kind stands here, and nobody gives anything to anyone before lunch.")]
+    found = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r for r in find_leaks(found, bench).collect()}
+    assert {k: r["literal"] for k, r in got.items()} == {(1, 1): False, (2, 1): True, (3, 1): True, (5, 2): False}
+    assert got[1, 1]["matched"] == got[1, 1]["windows"] == 16
+
+
 def test_mix_shares_and_epochs(spark):
     assert mixing.shares([10, 10, 10], [5, 2, 1]) == pytest.approx([18.75, 7.5, 3.75])
     assert mixing.shares([1, 10, 10], [5, 2, 1]) == pytest.approx([3, 12, 6])
