@@ -48,40 +48,56 @@ def plain(token: Column) -> Column:
     return F.when(F.ascii(token).isin(1, 3), F.substring(token, 2, 1 << 30)).otherwise(token)
 
 
-def template(words: Column, first_too: bool = False) -> Column:
-    """A number for each word: the type of a slot, the hash of any other word.
-
-    A capitalised first word is a literal, or with ``first_too`` a name.
-    """
+def template(words: Column) -> Column:
+    """A number for each word: the type of a slot, the hash of any other word."""
 
     def one(t: Column) -> Column:
         code = F.ascii(t)
-        first = F.lit(1).cast("long") if first_too else F.xxhash64(F.substring(t, 2, 1 << 30))
         digit = F.when(code.between(48, 57), F.lit(3).cast("long"))
+        first = F.when(code == 3, F.xxhash64(F.substring(t, 2, 1 << 30)))
         return (
-            F.when(code > 57, F.xxhash64(t)).when(code <= 2, code.cast("long")).when(code == 3, first)
-            .otherwise(F.coalesce(digit, F.xxhash64(t)))
+            F.when(code > 57, F.xxhash64(t)).when(code <= 2, code.cast("long"))
+            .otherwise(F.coalesce(digit, first, F.xxhash64(t)))
         )
 
     return F.transform(words, one)
 
 
+def named_first(words: Column, values: Column) -> Column:
+    """The template with the capitalised first words as names."""
+    return F.zip_with(words, values, lambda t, v: F.when(F.ascii(t) == 3, F.lit(1).cast("long")).otherwise(v))
+
+
 def literals(words: Column) -> Column:
     return F.transform(words, lambda t: F.xxhash64(F.when(F.ascii(t) == 3, F.substring(t, 2, 1 << 30)).otherwise(t)))
 
 
-def windows(values: Column, length: int) -> Column:
-    """The hash of each run of ``length`` values."""
+def windows(values: Column, length: int, exact: bool = False) -> Column:
+    """The hash of each run of ``length`` values, by kind of window."""
 
     def of(h: Column) -> Column:
         runs = F.transform(
-            F.sequence(F.lit(0), F.size(h) - length), lambda i: F.xxhash64(*[h[i + k] for k in range(length)])
+            F.sequence(F.lit(0), F.size(h) - length),
+            lambda i: F.xxhash64(*[h[i + k] for k in range(length)], F.lit(2 * length + exact)),
         )
         return F.when(F.size(h) >= length, runs)
 
     return F.transform(F.array(values), of)[0]
 
 
+def both_windows(words: Column, length: int) -> Column:
+    """The two variants of each window, one behind the other; a second one that is like the first is null."""
+
+    def of(pair: Column) -> Column:
+        return F.concat(pair[0], F.zip_with(pair[0], pair[1], lambda x, y: F.when(x != y, y)))
+
+    def told(values: Column) -> Column:
+        two = F.array(windows(values, length), windows(named_first(words, values), length))
+        return F.transform(F.array(two), of)[0]
+
+    return F.transform(F.array(template(words)), told)[0]
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``(doc_id, item_id, matched, windows, literal)``: documents that hold a benchmark item.
 
@@ -90,9 +106,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     capitalised first word of a sentence is a literal in one variant of a window and a name in
     the other; either may meet. An item is also looked for in lower case, where the document has no names. Windows that
     line up at one distance belong together if their slots agree: a value of the item
-    always meets the same value of the document, and the other way round. An item is in a
+    meets the same value of the document wherever it stands; two values may become one.
+    Where it meets several, the one met at most places counts (at a tie none), and the windows that hold
+    another don't. A distance of which no more windows agree than disagree is no copy. An item is in a
     document if consistent windows reach COVERAGE of its windows. ``literal`` tells that
-    every slot has the item's own value.
+    every slot of these has the item's own value.
 
     Windows of fewer than MIN_LITERAL words beside slots say too little; an item that has
     no other window is looked for whole: by its template at one distance, if it has so many words beside slots
@@ -114,26 +132,26 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     literal_too = {r["length"] for r in indexed.where("exact").select("length").distinct().collect()}
     index = sized(indexed.select("key", "item_id", "form", "at", "length"), 36)
 
-    def keys(words: Column) -> Column:
-        found = []
-        for n in lengths:
-            one, two = windows(template(words), n), windows(template(words, True), n)
-            found.append(_placed(one, n, False))
-            found.append(F.filter(_placed(F.zip_with(one, two, lambda x, y: F.when(x != y, y)), n, False), lambda k: k["key"].isNotNull()))
-            if n in literal_too:
-                found.append(_placed(windows(literals(words), n), n, True))
-        return F.concat(*[F.coalesce(f, F.array().cast("array<struct<place:int,key:bigint>>")) for f in found])
-
     read = texts.select("doc_id", F.array(tokens(F.col("text"))).alias("words"))
-    found = read.select("doc_id", F.explode(F.transform("words", keys)[0]).alias("k")).select("doc_id", "k.place", "k.key")
-    hits = materialized(found.join(index, "key").select("doc_id", "place", "item_id", "form", "at", "length"))
+    hits = None
+    for n in lengths:
+        own = read.select("doc_id", _probes(n, n in literal_too).alias("k"))
+        found = own.select("doc_id", "k.n", F.posexplode("k.keys").alias("at_key", "key"))
+        found = found.select("doc_id", (F.col("at_key") % F.col("n")).alias("place"), "key")
+        part = found.join(index, "key").select("doc_id", "place", "item_id", "form", "at", "length")
+        hits = part if hits is None else hits.union(part)
+    hits = materialized(hits)
     return _consistent(hits, indexed, items, texts)
 
 
-def _placed(keys: Column, n: int, exact: bool) -> Column:
-    """The windows' places and keys by kind of window."""
-    own = lambda k: F.when(k.isNotNull(), F.xxhash64(k, F.lit(n), F.lit(exact)))
-    return F.transform(keys, lambda k, i: F.struct(i.cast("int").alias("place"), own(k).alias("key")))
+def _probes(n: int, exact: bool) -> Column:
+    """The keys of all windows of a text, and how many windows it has."""
+
+    def of(words: Column) -> Column:
+        literal = [windows(literals(words), n, True)] if exact else []
+        return F.struct(F.concat(both_windows(words, n), *literal).alias("keys"), (F.size(words) - n + 1).alias("n"))
+
+    return F.transform("words", of)[0]
 
 
 def _index(items: DataFrame, lengths: list[int]) -> DataFrame:
@@ -147,8 +165,8 @@ def _index(items: DataFrame, lengths: list[int]) -> DataFrame:
         own = items.where(F.col("length") == n).select(
             "item_id", "form", "words",
             F.arrays_zip(
-                windows(template(words), n).alias("one"), windows(template(words, True), n).alias("two"),
-                windows(literals(words), n).alias("three"),
+                windows(template(words), n).alias("one"), windows(named_first(words, template(words)), n).alias("two"),
+                windows(literals(words), n, True).alias("three"),
             ).alias("keys"),
         )
         each = own.select("item_id", "form", "words", F.posexplode("keys").alias("at", "k"))
@@ -169,7 +187,7 @@ def _index(items: DataFrame, lengths: list[int]) -> DataFrame:
         )
         part = told.select("item_id", "form", "at", F.expr("not any and enough").alias("whole"), F.explode(kinds).alias("x"))
         part = part.where("x.key is not null").select(
-            F.xxhash64("x.key", F.lit(n), "x.exact").alias("key"), "item_id", "form", "at", F.lit(n).alias("length"), "x.exact", "whole"
+            "x.key", "item_id", "form", "at", F.lit(n).alias("length"), "x.exact", "whole"
         ).distinct()
         out = part if out is None else out.union(part)
     return out
@@ -201,18 +219,23 @@ def _consistent(hits: DataFrame, indexed: DataFrame, items: DataFrame, texts: Da
         F.slice("doc_words", F.col("place") + 1, F.col("length")).alias("x"),
         F.slice("item_words", F.col("at") + 1, F.col("length")).alias("y"),
     )
-    pairs = F.filter(F.arrays_zip("x", "y"), lambda p: is_slot(p["y"]))
-    pairs = F.transform(pairs, lambda p: F.struct(plain(p["x"]).alias("x"), plain(p["y"]).alias("y")))
-    valued = slots.where(F.size("x") == F.size("y")).select(*known, "distance", F.explode_outer(pairs).alias("p"))
-    checked = valued.groupBy(*known, "distance").agg(
-        F.countDistinct("p").alias("pairs"),
-        F.countDistinct("p.x").alias("own"),
-        F.countDistinct("p.y").alias("theirs"),
-        F.min((F.col("p.x") == F.col("p.y")).cast("int")).alias("same"),
+    at = F.col("at")
+    pairs = F.transform(F.arrays_zip("x", "y"), lambda p, i: F.struct((at + i).alias("i"), p["x"].alias("x"), p["y"].alias("y")))
+    pairs = F.filter(pairs, lambda p: is_slot(p["y"]))
+    pairs = F.transform(pairs, lambda p: F.struct(p["i"].alias("i"), plain(p["x"]).alias("x"), plain(p["y"]).alias("y")))
+    line = [*known, "distance"]
+    valued = materialized(slots.where(F.size("x") == F.size("y")).select(*line, "at", F.explode_outer(pairs).alias("p")).select(*line, "at", "p.*"))
+    met = valued.where("y is not null").groupBy(*line, "y", "x").agg(F.countDistinct("i").alias("n"))
+    most = met.groupBy(*line, "y").agg(F.max(F.struct("n", "x")).alias("one"), F.min(F.struct(-F.col("n"), "x")).alias("two"))
+    # The greatest and the smallest of the values met most often are one unless there is a tie.
+    told = most.select(*line, "y", F.when(F.col("one.x") == F.col("two.x"), F.col("one.x")).alias("only"))
+    judged = valued.join(told, [*line, "y"], "left").groupBy(*line, "at").agg(
+        F.min(F.expr("int(y is null or coalesce(x = only, false))")).alias("agrees"),
+        F.min(F.expr("int(y is null or x = y)")).alias("same"),
     )
-    judged = likely.join(checked, [*known, "distance"])
-    agreed = materialized(judged.where("pairs = own and pairs = theirs"))
-    literal = agreed.groupBy(*known).agg((F.min(F.coalesce("same", F.lit(1))) == 1).alias("literal"))
+    fair = judged.groupBy(*line).agg(F.sum("agrees").alias("for"), F.count("*").alias("of")).where("2 * `for` > of")
+    agreed = materialized(judged.where("agrees = 1").join(fair.select(line), line, "left_semi"))
+    literal = agreed.groupBy(*known).agg((F.min("same") == 1).alias("literal"))
     found = covered(agreed).join(literal, known)
     best = found.groupBy("doc_id", "item_id").agg(F.max(F.struct("matched", "literal", "windows")).alias("best"))
     return best.select("doc_id", "item_id", "best.matched", "best.windows", "best.literal")

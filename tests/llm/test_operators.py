@@ -199,6 +199,21 @@ def test_leaks_with_names_that_start_sentences(spark):
     assert got[1, 1]["matched"] == got[1, 1]["windows"] == 16
 
 
+def test_a_changed_slot_costs_only_its_windows(spark):
+    item = ("A farmer brought 3 red and 5 green apples to the market where old Miller bought two of them for his wife "
+            "and asked the boy behind the stall how much the whole basket would cost if nobody else came to buy any of it, "
+            "whereupon the boy looked up at Miller and said that it was far too early in the day to tell.")
+    typo = item.replace("at Miller", "at Muller")
+    merged = item.replace("3 red and 5 green", "4 red and 4 green").replace("Miller", "Baker")
+    short = "The boy gave 3 nuts to Miller while Miller gave 3 figs to Otto."
+    bench = spark.createDataFrame([(1, item), (2, short)], "item_id long, text string")
+    docs = [(1, typo), (2, merged), (3, short.replace("to Miller", "to Kurt").replace("3 figs", "9 figs"))]
+    found = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r for r in find_leaks(found, bench).collect()}
+    assert {k: r["literal"] for k, r in got.items()} == {(1, 1): True, (2, 1): False}
+    assert got[1, 1]["windows"] == got[2, 1]["matched"] > got[1, 1]["matched"] > 20
+
+
 def test_mix_shares_and_epochs(spark):
     assert mixing.shares([10, 10, 10], [5, 2, 1]) == pytest.approx([18.75, 7.5, 3.75])
     assert mixing.shares([1, 10, 10], [5, 2, 1]) == pytest.approx([3, 12, 6])
