@@ -108,11 +108,13 @@ def _epochs(target: float, size: int) -> tuple[int, float]:
 def repeat_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int = 17) -> DataFrame:
     """The documents as often as the mix takes them, with their columns.
 
-    A document of size 0 has no words to take and is kept once. Expects one row per id;
-    a row without an id is kept once.
+    A document of size 0 has no words to take and is kept once. Expects one row per id; of
+    rows that repeat an id, each is taken as often as the one taken most.
+    A row without an id is kept once.
     """
     mixed = mix_sources(docs, weights, seed).where("size > 0 and doc_id is not null")
-    times = materialized(mixed.select("doc_id", (F.col("taken") / F.col("size")).cast("int").alias("times")))
+    taken = mixed.select("doc_id", (F.col("taken") / F.col("size")).cast("int").alias("times"))
+    times = materialized(taken.groupBy("doc_id").agg(F.max("times").alias("times")))
     counted = docs.withColumnRenamed("doc_id", "doc_id").join(
         times.toDF("doc_id", "_times"), "doc_id", "left"
     )

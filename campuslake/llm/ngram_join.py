@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from campuslake.llm.common import materialized, mix, shingle_sets, sized, slices
@@ -68,10 +68,21 @@ def ngram_components(
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The documents without those whose component has a smaller id; columns unchanged."""
+    """One row of each component: of its smallest id, the first row; columns unchanged.
+
+    Of rows that repeat an id, the one with the longest text stays, of equally long ones
+    the first by text, then by a hash of the other columns. Rows without an id all stay.
+    """
     found = ngram_components(docs, n, percent)
     gone = materialized(found.where("doc_id <> component_id").select("doc_id"))
-    return docs.join(sized(gone, 8), "doc_id", "left_anti").select(docs.columns)
+    left = docs.join(sized(gone, 8), "doc_id", "left_anti").select(docs.columns)
+    ids = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("_rows"))
+    repeated = materialized(ids.where("_rows > 1").select("doc_id"))
+    many = sized(repeated, 8)
+    others = [F.col(f"`{f.name}`") for f in docs.schema if f.name not in ("doc_id", "text") and "map<" not in f.dataType.simpleString()]
+    order = Window.partitionBy("doc_id").orderBy(F.length("text").desc_nulls_last(), "text", F.xxhash64(F.lit(0), *others))
+    first = left.join(many, "doc_id", "left_semi").withColumn("_row", F.row_number().over(order)).where("_row = 1")
+    return left.join(many, "doc_id", "left_anti").select(docs.columns).union(first.select(docs.columns))
 
 
 def band_starts(largest: int) -> list[int]:
@@ -186,17 +197,20 @@ def _links(rows: DataFrame, classes: DataFrame, texts: DataFrame, n: int, percen
 
 
 def _hashed(n: int):
+    """The sets of the rows whose class is the wanted one; another row of the id may have another."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 sets = shingle_sets(part.column("text"), n)
-                ends = np.cumsum([0, *map(len, sets)])
+                wanted = part.column("class").to_pylist()
+                own = [(c, s) for c, s in zip(wanted, sets, strict=True) if _class(s) == c]
+                ends = np.cumsum([0, *(len(s) for _, s in own)])
+                hashes = np.concatenate([np.zeros(0, np.uint64), *(s for _, s in own)])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("class"),
-                        pa.ListArray.from_arrays(
-                            pa.array(ends, pa.int32()), pa.array(np.concatenate(sets).view(np.int64))
-                        ),
+                        pa.array([c for c, _ in own], pa.int64()),
+                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(hashes.view(np.int64))),
                     ],
                     names=["class", "hashes"],
                 )

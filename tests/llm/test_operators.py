@@ -79,6 +79,21 @@ def test_ngram_join_finds_links_of_small_and_large_sets(spark):
     assert segments(9, 90) % 2 == 0
 
 
+def test_repeated_rows_of_an_id(spark):
+    one = " ".join(f"alpha{i}" for i in range(60))
+    two = " ".join(f"beta{i}" for i in range(50))
+    texts = [(1, one), (1, one), (1, two), (2, f"{two} end"), (3, " ".join(f"gamma{i}" for i in range(40))), (None, one), (None, one)]
+    docs = spark.createDataFrame([(i, t, "a") for i, t in texts], "doc_id long, text string, source string")
+    found = {r[0]: r[2] for r in rows(ngram_components(docs))}
+    assert found == {1: 1, 2: 1, 3: 3}
+    kept = rows(keep_one(docs))
+    assert sorted(r[:2] for r in kept if r[0]) == [(1, one), texts[4]] and sum(r[0] is None for r in kept) == 2
+    three = spark.createDataFrame([(1, one, "a")] * 3 + [(2, two, "b")], docs.schema)
+    most = mixing.mix_sources(three).selectExpr("doc_id", "taken / size t").groupBy("doc_id").agg(F.max("t"))
+    got = dict(rows(mixing.repeat_documents(three).groupBy("doc_id").count()))
+    assert got == {i: int(t) * (3 if i == 1 else 1) for i, t in rows(most) if t}
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(1, 30)] + [(100, i) for i in range(101, 160)] + [(5, 5), (None, 3)]
     found = dict(rows(components(spark.createDataFrame(edges, "a long, b long"))))
