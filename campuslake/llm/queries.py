@@ -16,8 +16,10 @@ from campuslake.llm.lines import repeated_lines
 from campuslake.llm.mixing import mix_sources
 from campuslake.llm.ngram_join import ngram_components
 from campuslake.llm.quality import score_quality
+from campuslake.llm.repair import repair_digests
 from campuslake.llm.substrings import repeated_spans
 from campuslake.llm.token_output import read_token_files, write_token_files
+from campuslake.llm.topk import search
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,6 +83,16 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_digests(format_conversations(rows.union(added)))
 
 
+def op12_topk_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten highest inner products of every hundredth vector with all others."""
+    return search(table(spark, folder, "embeddings"), k=10, every=100)
+
+
+def op13_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation's faults after damage, and the letters and checksum of its cheapest repair."""
+    return repair_digests(table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -94,6 +106,8 @@ QUERIES: dict[str, Query] = {
         op8_ngram_join,
         op9_quality,
         op10_chat_format,
+        op12_topk_search,
+        op13_repair,
     )
 }
 
