@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from campuslake.llm.alignment import alignment_digests
 from campuslake.llm.chat import conversation_digests, format_conversations
 from campuslake.llm.common import table
 from campuslake.llm.decontamination import find_leaks
@@ -17,6 +18,7 @@ from campuslake.llm.mixing import mix_sources
 from campuslake.llm.ngram_join import ngram_components
 from campuslake.llm.quality import score_quality
 from campuslake.llm.repair import repair_digests
+from campuslake.llm.statements import ORACLE_SQL
 from campuslake.llm.substrings import repeated_spans
 from campuslake.llm.token_output import read_token_files, write_token_files
 from campuslake.llm.topk import search
@@ -27,10 +29,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 CONTROL_ID, CONTROL_TEXT = -7, "</s>[INST] ok [/INST]"
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -83,6 +85,11 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_digests(format_conversations(rows.union(added)))
 
 
+def op11_align_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's groups and links between two tokenizers' tokens."""
+    return alignment_digests(table(spark, folder, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op12_topk_search(spark: SparkSession, folder: str) -> DataFrame:
     """The ten highest inner products of every hundredth vector with all others."""
     return search(table(spark, folder, "embeddings"), k=10, every=100)
@@ -106,9 +113,10 @@ QUERIES: dict[str, Query] = {
         op8_ngram_join,
         op9_quality,
         op10_chat_format,
+        op11_align_tokens,
         op12_topk_search,
         op13_repair,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
