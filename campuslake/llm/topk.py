@@ -63,13 +63,18 @@ def _exactly(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a.astype(object), b.astype(object)
 
 
+def _clipped(x: np.ndarray) -> np.ndarray:
+    """What is beyond a long's range as its end; floats here are far within."""
+    return np.minimum(np.maximum(x, _LONG[0]), _LONG[1]) if x.dtype == object else x
+
+
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """All inner products of two sets of rows, over the components that both have."""
     n = min(a.shape[1], b.shape[1])
     if not n:
         return np.zeros((len(a), len(b)))
     x, y = _exactly(a[:, :n], b[:, :n])
-    return x @ y.T
+    return _clipped(x @ y.T)
 
 
 def _bounds(queries: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -79,7 +84,7 @@ def _bounds(queries: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarra
         return np.zeros((len(queries), len(low)))
     q, _ = _exactly(queries[:, :n], np.concatenate([low[:, :n], high[:, :n]]))
     lo, hi = low[:, :n].astype(q.dtype), high[:, :n].astype(q.dtype)
-    return np.maximum(q, 0) @ hi.T + np.minimum(q, 0) @ lo.T
+    return _clipped(np.maximum(q, 0) @ hi.T + np.minimum(q, 0) @ lo.T)
 
 
 def _nearest(pivots: np.ndarray):
@@ -111,8 +116,7 @@ def _blocks(k: int, every: int):
         floors = []
         for i in queries:
             met = np.delete(_products(whole[i : i + 1], whole)[0], i)
-            floor = int(np.sort(met)[-k]) if len(met) >= k else None
-            floors.append(None if floor is None or floor < _LONG[0] else min(_LONG[1], floor))
+            floors.append(int(np.sort(met)[-k]) if len(met) >= k else None)
         width = 4 if _magnitude(whole) < 1 << 31 else 8
         return pa.RecordBatch.from_arrays(
             [
@@ -209,7 +213,7 @@ class _Cell:
             {
                 "query_block": int(home[r["q"], 0]), "query_at": int(home[r["q"], 1]), "query_id": self.queries[r["q"]][2],
                 "vec_id": self.blocks[r["b"]]["ids"][r["at"]], "block": int(numbers[r["b"]]), "at": int(r["at"]),
-                "score": max(_LONG[0], min(_LONG[1], int(s))),
+                "score": int(s),
             }
             for r, s in zip(found, scores, strict=True)
         ]
@@ -260,7 +264,7 @@ def search(vectors: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: for each row whose id is divisible by ``every`` the k other rows of highest inner product.
 
     Products are of whole numbers (see ``integers``), exact, over the components that both vectors have; one beyond
-    a long's range is given as its end. Ties go to the smaller ``vec_id``, rows without an id come after
+    a long's range counts as its end. Ties go to the smaller ``vec_id``, rows without an id come after
     those with one, equal ids by their place in the index. Every row is a candidate but the query's own: repeated rows of an id
     are candidates of each other, and each is a query. Fewer rows than k: all. Other columns are ignored. No rows: none.
 
