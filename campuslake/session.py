@@ -1,11 +1,11 @@
-"""Session settings the plans rely on, and frames kept in the shared folder."""
+"""Session settings the plans rely on, and frames written to the shared folder."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +19,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Folders written within the innermost open block of ``scratch``.
+_WRITTEN: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Turn on the run-time skew handling; sizes and parallelism stay the cluster's."""
@@ -28,42 +31,76 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that every executor can reach, named by ``spark.checkpoint.dir``.
-
-    A machine-local folder is made only in local mode, where driver and executors
-    are one process.
-    """
-    context = spark.sparkContext
-    folder = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
+    """The folder that every executor can reach, named by ``spark.checkpoint.dir``."""
+    folder = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by the cluster")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="campuslake-"))
-        folder = context.getCheckpointDir()
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
     return folder
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 @contextmanager
 def kept(df: DataFrame) -> Iterator[DataFrame]:
     """The frame written to the shared folder for the time of the block; its files go afterwards."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
     try:
         df.write.parquet(path)
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        files = target.getFileSystem(spark._jsc.hadoopConfiguration())
-        files.delete(target, True)
+        _delete(spark, path)
 
 
 def materialized(df: DataFrame) -> DataFrame:
     """The frame written once to the shared folder and read back.
 
     For a frame that is read several times: the plan runs once, a lost executor
-    re-reads files, and joins know the frame's true size. The files stay until the
-    folder is cleaned.
+    re-reads files, and joins know the frame's true size. The files go with the
+    ``scratch`` block around the call, or by ``discard``; without either they stay
+    until the folder is cleaned.
     """
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    written = _WRITTEN.get()
+    if written is not None:
+        written.append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found._written_to = path
+    return found
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the files of materialized frames that nothing reads any more."""
+    for df in frames:
+        path = df.__dict__.pop("_written_to", None)
+        if path is not None:
+            _delete(df.sparkSession, path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Frames materialized in the block go at its end, also when it fails.
+
+    The block's ``keep`` writes a frame that outlasts it: the frame belongs to the
+    block around this one, if there is one.
+    """
+    outer, token = _WRITTEN.get(), _WRITTEN.set([])
+
+    def keep(df: DataFrame) -> DataFrame:
+        own = _WRITTEN.set(outer)
+        try:
+            return materialized(df)
+        finally:
+            _WRITTEN.reset(own)
+
+    try:
+        yield keep
+    finally:
+        written = _WRITTEN.get() or []
+        _WRITTEN.reset(token)
+        for path in written:
+            _delete(spark, path)

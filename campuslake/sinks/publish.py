@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from campuslake.session import kept
+from campuslake.sinks.versions import VersionedSink
 
 # Fixed values
 TEXT_LENGTH = 255
@@ -66,24 +68,48 @@ def typed(df: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class TableSink:
-    """A catalog table."""
+    """A catalog table. A replace writes a table beside it, which then takes its name:
+    a job that dies before leaves the old rows."""
 
     name: str
     format: str = "parquet"
 
     def write(self, df: DataFrame, mode: str) -> None:
-        df.write.format(self.format).mode(mode).saveAsTable(self.name)
+        spark = df.sparkSession
+        if mode != "overwrite" or not spark.catalog.tableExists(self.name):
+            df.write.format(self.format).mode(mode).saveAsTable(self.name)
+            return
+        following, before = (f"{self.name}_{uuid.uuid4().hex}" for _ in range(2))
+        df.write.format(self.format).saveAsTable(following)
+        spark.sql(f"ALTER TABLE {self.name} RENAME TO {before}")
+        spark.sql(f"ALTER TABLE {following} RENAME TO {self.name}")
+        spark.sql(f"DROP TABLE {before}")
 
 
 @dataclass(frozen=True)
 class PathSink:
-    """A folder of files."""
+    """A folder of files, which another writer reads as it is.
+
+    A replace writes a folder beside it, which then takes its name. Between the two
+    renames the name is free; ``VersionedSink`` has no such moment.
+    """
 
     path: str
     format: str = "parquet"
 
     def write(self, df: DataFrame, mode: str) -> None:
-        df.write.format(self.format).mode(mode).save(self.path)
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if mode != "overwrite" or not files.exists(path):
+            df.write.format(self.format).mode(mode).save(self.path)
+            return
+        following, before = (path.suffix(f"_{uuid.uuid4().hex}") for _ in range(2))
+        df.write.format(self.format).save(following.toString())
+        for source, target in ((path, before), (following, path)):
+            if not files.rename(source, target):
+                raise OSError(f"{source.toString()} can't be renamed to {target.toString()}")
+        files.delete(before, True)
 
 
 @dataclass(frozen=True)
@@ -120,7 +146,7 @@ class JdbcSink:
         df.write.format("jdbc").options(**options).mode(mode).save()
 
 
-Sink = TableSink | PathSink | JdbcSink
+Sink = TableSink | PathSink | VersionedSink | JdbcSink
 
 
 def replace(df: DataFrame, sink: Sink) -> None:

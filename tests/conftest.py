@@ -17,6 +17,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="shared-"))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tables-"))
         .getOrCreate()
     )
