@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, StructField
 
 from campuslake.sources.relations import SCHEMAS
+from campuslake.sources.splits import cut_query, predicates
 
 TERM_CODES = {"strm", "effective_term"}
 # Calendars and code lists: one task may read them.
@@ -58,20 +59,28 @@ class Warehouse:
         schema: str,
         options: Mapping[str, str] | None = None,
         partitioning: Mapping[str, Mapping[str, str]] | None = None,
+        splits: Mapping[str, tuple[str, int]] | None = None,
     ) -> Warehouse:
         """Read a live database; filters and columns are pushed to it.
 
-        ``partitioning`` names, per relation, the ``partitionColumn``,
-        ``lowerBound``, ``upperBound`` and ``numPartitions`` that split its read. Relations
-        that grow with students or classes need it.
+        ``splits`` names, per relation, a key and a number of parts: the database tells the key's
+        quantiles, and each task reads one run of keys, text or not. ``partitioning`` gives the
+        ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions`` by hand
+        instead. Relations that grow with students or classes need one of the two.
         """
 
         def load(name: str) -> DataFrame:
-            return (
-                spark.read.format("jdbc")
-                .options(**jdbc_options(url, schema, name, options, partitioning))
-                .load()
-            )
+            if name not in (splits or {}):
+                found = jdbc_options(url, schema, name, options, partitioning)
+                return spark.read.format("jdbc").options(**found).load()
+            key, parts = splits[name]
+            asked = {**jdbc_options(url, schema, name, options, {name: {}})}
+            table = asked.pop("dbtable")
+            query = f"({cut_query(table, key, parts)}) cuts"
+            cuts = spark.read.format("jdbc").options(**asked, dbtable=query).load()
+            read = predicates(key, [row[0] for row in cuts.collect()])  # one row a part
+            del asked["url"]
+            return spark.read.jdbc(url, table, predicates=read, properties=asked)
 
         return cls(spark, load)
 
