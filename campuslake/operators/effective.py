@@ -59,9 +59,9 @@ def earliest_row(
 
 
 def latest_row_peers(
-    df: DataFrame, keys: Sequence[str], effdt: str, count: str = "cnt"
+    df: DataFrame, keys: Sequence[str], effdt: str, alone: str = "alone"
 ) -> DataFrame:
-    """One latest row per key, with the number of rows that share its date: 1, or 2 for more.
+    """One latest row per key, and whether no other row shares its date.
 
     The first two rows of a key tell whether the latest is alone, so no more than
     two per key and map task are shuffled.
@@ -69,7 +69,7 @@ def latest_row_peers(
     window = Window.partitionBy(*keys).orderBy(F.col(effdt).desc_nulls_first())
     first_two = df.withColumn("_rank", F.row_number().over(window)).filter("_rank <= 2")
     # rows of equal date are counted together
-    counted = first_two.withColumn(count, F.count(F.lit(1)).over(window))
+    counted = first_two.withColumn(alone, F.count(F.lit(1)).over(window) == 1)
     return counted.filter("_rank = 1").drop("_rank")
 
 
@@ -78,14 +78,35 @@ def latest_row_strict(
 ) -> DataFrame:
     """The latest row of each key, or nothing for a key whose latest date is shared.
 
-    ``count`` is the running count by date, always 1 in the result.
+    ``count`` is the running count by date, which is 1 for such a row.
+    ``running_count`` gives every row's.
     """
-    return latest_row_peers(df, keys, effdt, count).filter(F.col(count) == 1)
+    sole = latest_row_peers(df, keys, effdt, "_alone").filter("_alone").drop("_alone")
+    return sole.withColumn(count, F.lit(1).cast("long"))
 
 
 def sole_row(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The rows of those keys that occur once."""
-    return latest_row_strict(df, keys, keys[0], "_peers").drop("_peers")
+    return latest_row_peers(df, keys, keys[0], "_alone").filter("_alone").drop("_alone")
+
+
+def version_intervals(
+    versions: DataFrame, keys: Sequence[str], effdt: str, until: str, alone: str = "alone"
+) -> DataFrame:
+    """One row per key and date, valid from its date to the day before the key's next date.
+
+    ``until`` is the last day, null for the newest version; ``alone`` tells that no other
+    row has the key and date. Rows without a date are no versions. A key has no more
+    rows here than there are days.
+    """
+    dated = latest_row_peers(versions.filter(F.col(effdt).isNotNull()), [*keys, effdt], effdt, alone)
+    following = Window.partitionBy(*keys).orderBy(effdt)
+    return dated.withColumn(until, F.lead(F.date_sub(effdt, 1)).over(following))
+
+
+def in_force_on(day_of: str, effdt: str, until: str) -> Column:
+    """Whether the closed interval holds the day; an unknown end is no end."""
+    return (F.col(effdt) <= F.col(day_of)) & F.coalesce(F.col(day_of) <= F.col(until), F.col(until).isNull())
 
 
 def as_of_max(

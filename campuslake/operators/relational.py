@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from campuslake.session import materialized
 
 
 def spread_join(
-    many: DataFrame, few: DataFrame, on: str | Sequence[str], how: str = "inner"
+    many: DataFrame, few: DataFrame, on: str | Sequence[str], how: str = "inner", nulls: bool = False
 ) -> DataFrame:
     """Join many rows to few rows per key, where one key may hold much of ``many``.
 
@@ -19,16 +19,20 @@ def spread_join(
     come straight from a shuffle. ``few`` is usually grouped or ranked by the join
     key and would be joined in place, so a hash of the key is added to the key: it
     asks for a shuffle of the reduced ``few`` and changes no match. A small ``few``
-    is still broadcast by its size.
+    is still broadcast by its size. Keys of two types are hashed as the type both
+    widen to, as they are compared. With ``nulls`` an unknown key meets an unknown one.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if any(many.schema[k].dataType != few.schema[k].dataType for k in keys):
-        return many.join(few, keys, how)  # equal values of two types hash differently
-    spread = F.xxhash64(*keys)
-    joined = many.withColumn("_spread", spread).join(
-        few.withColumn("_spread", spread), [*keys, "_spread"], how
-    )
-    return joined.drop("_spread")
+    wide = many.select(*keys).union(few.select(*keys)).schema.fields
+    spread = F.xxhash64(*(F.col(k).cast(f.dataType) for k, f in zip(keys, wide, strict=True)))
+    left, right = many.withColumn("_spread", spread), few.withColumn("_spread", spread)
+    if not nulls:
+        return left.join(right, [*keys, "_spread"], how).drop("_spread")
+    named = right.withColumnsRenamed({k: f"_few_{k}" for k in [*keys, "_spread"]})
+    same = F.col("_spread") == F.col("_few__spread")
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"_few_{k}"))
+    return left.join(named, same, how).drop("_spread", *(f"_few_{k}" for k in [*keys, "_spread"]))
 
 
 def left_join_spread(
@@ -55,7 +59,10 @@ def left_join_suffixed(
 ) -> DataFrame:
     """Left join that renames the right side's overlapping columns.
 
-    The right side may be skewed; both sides are read twice.
+    The right side may be skewed, and Spark splits no right side of a left join: the
+    matches are an inner join, and the left rows that have none are told by the right
+    side's grouped keys, of which nothing but the keys is read. Both joins deal out the
+    left side alike, so its shuffle is read twice and run once.
     """
     overlap = (set(left.columns) & set(right.columns)) - set(on)
     renamed = right.withColumnsRenamed({c: c + suffix for c in overlap})
@@ -85,9 +92,16 @@ def distinct_pair_count(df: DataFrame, key: str, value: str, name: str) -> DataF
     return pairs.groupBy(key).agg(F.count(F.lit(1)).alias(name))
 
 
-def over_keys(aggregate: Column, keys: Sequence[str]) -> Column:
-    """An aggregate given back to every row of its key."""
-    return aggregate.over(Window.partitionBy(*keys))
+def given_back(df: DataFrame, keys: Sequence[str], **aggregates: Column) -> DataFrame:
+    """Aggregates of each key, given back to every one of its rows.
+
+    The key is aggregated before its shuffle and joined back, so that a key with very many rows
+    is split. A row with an unknown key gets nulls. Both uses ask for the same
+    columns: then what they rest on is shuffled once and read twice.
+    """
+    whole = F.bit_xor(F.xxhash64(*df.columns)).alias("_whole")
+    totals = df.groupBy(*keys).agg(*(c.alias(n) for n, c in aggregates.items()), whole)
+    return spread_join(df, totals.filter("_whole is not null").drop("_whole"), keys, "left")
 
 
 def pivot_count_total(

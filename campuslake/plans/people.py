@@ -12,19 +12,11 @@ from campuslake.functions.expressions import (
     display_name,
     federal_category,
     is_international,
+    moment,
     preferred_first_name,
 )
-from campuslake.operators.effective import (
-    attach_in_force,
-    current_active,
-    first_by,
-    latest_row,
-    not_future,
-    role_dates,
-    rows_in_force,
-    without_expired,
-)
-from campuslake.operators.relational import left_join_spread, spread_join
+from campuslake.operators.effective import current_active, first_by, latest_row, not_future
+from campuslake.operators.relational import join_completed, left_join_spread, spread_join
 from campuslake.session import materialized
 
 # Fixed values
@@ -41,6 +33,18 @@ CATEGORY_COLUMNS = (
     "xlatlongname ipeds_race_ethnicity"
 ).split()
 
+NAME_PARTS = ("last_name", "first_name", "middle_name", "name_suffix")
+
+# What makes a profile, and the columns each role brings to it.
+ROLES = {
+    "personal": {"sex": "sex"},
+    "preferred": {c: f"preferred_{c}" for c in NAME_PARTS},
+    "legal": {c: f"legal_{c}" for c in NAME_PARTS},
+    "gender": {"scc_caf_attr_tval": "gender_pref"},
+    "tribe": {"scc_caf_attr_tval": "tribal_affiliation"},
+}
+ATTRIBUTES = ("gender", "tribe", "attribute")
+
 PROFILE_COLUMNS = (
     "emplid university_name university_first_name university_middle_name "
     "university_last_name name_suffix birthdate sex gender_pref dt_of_death "
@@ -178,11 +182,10 @@ def official_residency(residencies: DataFrame, all_residencies: DataFrame) -> Da
 
 
 def names_of_type(names: DataFrame, name_type: str, prefix: str) -> DataFrame:
-    parts = ("last_name", "first_name", "middle_name", "name_suffix")
     return names.filter(F.col("name_type") == name_type).select(
         "emplid",
         F.col("effdt").alias("name_effdt"),
-        *(F.col(c).alias(f"{prefix}_{c}") for c in parts),
+        *(F.col(c).alias(f"{prefix}_{c}") for c in NAME_PARTS),
     )
 
 
@@ -195,38 +198,102 @@ def attribute(attributes: DataFrame, attribute_name: str, alias: str) -> DataFra
     )
 
 
-def profile_dates(
+def profile_rows(
     personal: DataFrame,
     names: DataFrame,
     attributes: DataFrame,
     roster: DataFrame,
     gender_attribute: str,
     tribe_attribute: str,
-    as_of: AsOf,
 ) -> DataFrame:
-    """One row per student that has a profile: the dates of the rows that make it.
+    """The active rows that make the profiles of the roster's students, each under its role.
 
-    An attribute holds if it is dated at the person's latest attribute date,
-    whichever attribute that date belongs to.
+    Attributes of other names are there for their dates only.
     """
-    name_type, attribute_name = F.col("name_type"), F.col("scc_caf_attrib_nm")
-    parts = [
-        (personal, {"personal": F.lit(True)}, False),
-        (names, {"preferred": name_type == PREFERRED, "legal": name_type == LEGAL}, False),
-        (
-            attributes,
-            {
-                "gender": attribute_name == gender_attribute,
-                "tribe": attribute_name == tribe_attribute,
-            },
-            True,
+    kind, name = F.col("name_type"), F.col("scc_caf_attrib_nm")
+    picked = F.array_compact(
+        F.array(F.when(name == gender_attribute, "gender"), F.when(name == tribe_attribute, "tribe"))
+    )
+    roles = F.when(F.size(picked) > 0, picked).otherwise(F.array(F.lit("attribute")))
+    parts = (
+        current_active(personal).select("emplid", F.lit("personal").alias("role"), "effdt", "sex"),
+        current_active(names)
+        .filter(kind.isin(PREFERRED, LEGAL))
+        .select(
+            "emplid", F.when(kind == PREFERRED, "preferred").otherwise("legal").alias("role"),
+            "effdt", *NAME_PARTS,
+        ),
+        current_active(attributes).select(
+            "emplid", F.explode(roles).alias("role"), "effdt", "scc_caf_attr_tval"
         ),
-    ]
-    dates = roster
-    for rows, roles, together in parts:
-        found = role_dates(rows, "emplid", "effdt", as_of, roles, together)
-        dates = without_expired(dates, found, "emplid", roles)
-    return dates.filter("personal_known")
+    )
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part, allowMissingColumns=True)
+    return spread_join(every, roster, "emplid", "left_semi")
+
+
+def profile_dates(rows: DataFrame, as_of: AsOf) -> DataFrame:
+    """One row per student that has a profile: each role's date in force.
+
+    A role holds by its latest date that is not in the future, or by an undated row; an
+    attribute only if that date is the latest of all attributes. A student with rows of a role of
+    which nothing holds has no profile, nor has one without a personal row.
+    """
+    date = F.col("effdt")
+    reached = F.when(date <= moment(as_of), date)
+    facts = [F.max(F.when(F.col("role").isin(*ATTRIBUTES), reached)).alias("_attribute_date")]
+    for role in ROLES:
+        own = F.col("role") == role
+        facts += [
+            F.max(F.when(own, reached)).alias(f"{role}_date"),
+            F.bool_or(own).alias(f"{role}_known"),
+            F.bool_or(own & date.isNull()).alias(f"{role}_undated"),
+        ]
+    dates = rows.groupBy("emplid").agg(*facts).filter("personal_known")
+    for role in ROLES:
+        own = F.col(f"{role}_date")
+        if role in ATTRIBUTES:
+            dates = dates.withColumn(f"{role}_date", F.when(own == F.col("_attribute_date"), own))
+        held = F.col(f"{role}_date").isNotNull() | F.col(f"{role}_undated")
+        dates = dates.filter(~F.col(f"{role}_known") | held)
+    return dates.select("emplid", *(f"{role}_date" for role in ROLES))
+
+
+def profile_parts(rows: DataFrame, dates: DataFrame) -> DataFrame:
+    """The rows in force of all roles: at their role's date, or undated. Ties stay."""
+    due = F.coalesce(*(F.when(F.col("role") == r, F.col(f"{r}_date")) for r in ROLES))
+    wanted = rows.filter(F.col("role").isin(*ROLES))
+    met = spread_join(wanted, dates, "emplid")
+    return met.filter(F.col("effdt").isNull() | (F.col("effdt") == due)).select(*rows.columns).drop("effdt")
+
+
+def profiles(parts: DataFrame) -> DataFrame:
+    """One row per student; a student with several rows of a role has their products.
+
+    Most students have one row of a role at most, and are put together by an aggregate
+    without a join. Those with ties, known by their counts, are joined role by role.
+    """
+    role = F.col("role")
+    facts = []
+    for name, columns in ROLES.items():
+        facts.append(F.count(F.when(role == name, 1)).alias(f"{name}_rows"))
+        facts.append(F.max(F.when(role == name, F.struct(*columns))).alias(name))
+    whole = parts.groupBy("emplid").agg(*facts)
+    most = F.greatest(*(f"{name}_rows" for name in ROLES))
+    brought = [F.col(name)[c].alias(a) for name, columns in ROLES.items() for c, a in columns.items()]
+    sole = whole.filter(most == 1).select("emplid", *brought)
+    tied = whole.filter(most > 1).select("emplid", *(f"{name}_rows" for name in ROLES))
+    apart = spread_join(parts, tied.select("emplid"), "emplid", "left_semi")
+    product = None
+    for name, columns in ROLES.items():
+        own = apart.filter(role == name).select("emplid", *(F.col(c).alias(a) for c, a in columns.items()))
+        if product is None:
+            product = own
+        else:
+            absent = tied.filter(f"{name}_rows = 0").select("emplid")
+            product = join_completed(product, own, absent, "emplid")
+    return sole.unionByName(product)
 
 
 def bio_demographics(
@@ -244,39 +311,22 @@ def bio_demographics(
 ) -> DataFrame:
     """The profile of every active student of the term.
 
-    The dates in force are a narrow table, one row per student, and every part of
-    the profile reads it; it is written once when this is called.
+    All histories are cut down to the term's students before anything is grouped. Names, attributes and
+    personal rows go through one pass for the dates in force and one for the rows of
+    all roles at these dates. The students and the rows in force are written once when this is called.
     """
-    personal, names, attributes = map(current_active, (personal, names, attributes))
-    dates = materialized(
-        profile_dates(
-            personal, names, attributes, enrolled_persons(career_terms, term),
-            gender_attribute, tribe_attribute, as_of,
-        )
-    )
-
-    profile = rows_in_force(
-        personal.select("emplid", "sex", "effdt"), dates, "emplid", "effdt", "personal"
-    )
-    for role, name_type in (("preferred", PREFERRED), ("legal", LEGAL)):
-        versions = names_of_type(names, name_type, role)
-        profile = attach_in_force(profile, versions, dates, "emplid", "name_effdt", role)
-    for role, name, alias in (
-        ("gender", gender_attribute, "gender_pref"),
-        ("tribe", tribe_attribute, "tribal_affiliation"),
-    ):
-        versions = attribute(attributes, name, alias)
-        profile = attach_in_force(profile, versions, dates, "emplid", "attribute_effdt", role)
-
-    roster = dates.select("emplid")
+    roster = materialized(enrolled_persons(career_terms, term))
+    rows = profile_rows(personal, names, attributes, roster, gender_attribute, tribe_attribute)
+    parts = materialized(profile_parts(rows, profile_dates(rows, as_of)))
     life = current_active(persons).select("emplid", "birthdate", "dt_of_death")
     home = official_residency(
-        spread_join(residencies, roster, "emplid", "left_semi"), all_residencies
+        spread_join(residencies, roster, "emplid", "left_semi"),
+        spread_join(all_residencies, roster, "emplid", "left_semi"),
     ).select(
         "emplid", *(F.col(c).alias(f"res_{c}") for c in ("city", "country", "county", "state"))
     )
     first = preferred_first_name(F.col("preferred_first_name"), F.col("legal_first_name"))
-    lived = left_join_spread(profile, roster, life, "emplid")
+    lived = left_join_spread(profiles(parts), roster, life, "emplid")
     return (
         spread_join(lived, home, "emplid", "left")
         .withColumn("university_first_name", first)

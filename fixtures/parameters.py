@@ -10,3 +10,4 @@ PROFILE_AS_OF = dt.date(2024, 1, 4)
 GENDER, TRIBE = "ATTR_GENDER", "ATTR_TRIBE"
 TUITION = ("NRES", "RES")
 CAREERS = ("GRAD", "PROF", "UGRD")
+SPLIT_KEY, SPLITS = "last_name", 12

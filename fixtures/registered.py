@@ -19,27 +19,36 @@ from campuslake.operators.effective import (
     latest_row,
     latest_row_strict,
     version_at,
+    version_intervals,
 )
 from campuslake.operators.relational import (
     distinct_pair_count,
+    given_back,
     group_max_known_keys,
     left_join_spread,
     pivot_count_total,
     spread_join,
 )
+from campuslake.operators.running import as_of_join, running_count
 from campuslake.plans import enrollment, people, snapshot, terms
 from campuslake.session import shared_folder
+from campuslake.sinks.bulk import batch_of, bulk_insert
 from campuslake.sinks.publish import PathSink, append, replace, typed
+from campuslake.sinks.versions import VersionedSink
+from campuslake.sources.splits import cut_query, predicates
 from fixtures.parameters import (
     CAREERS,
     GENDER,
     NEXT_DAY,
     ON,
     PROFILE_AS_OF,
+    SPLIT_KEY,
+    SPLITS,
     TERM,
     TRIBE,
 )
 from fixtures.relations import warehouse
+from fixtures.target import FolderTarget
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -123,6 +132,38 @@ def sink_append(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(sink.path)
 
 
+def sink_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """A version is added, replaced and added to again; what stands then."""
+    sink = VersionedSink(publish_folder(spark).path)
+    append(headcount(spark, folder, ON), sink)
+    replace(headcount(spark, folder, NEXT_DAY), sink)
+    append(headcount(spark, folder, ON), sink)
+    return sink.read(spark)
+
+
+def sink_bulk_insert(spark: SparkSession, folder: str) -> DataFrame:
+    """Two daily batches, the first sent twice."""
+    target = FolderTarget(publish_folder(spark).path)
+    for on in (ON, ON, NEXT_DAY):
+        bulk_insert(headcount(spark, folder, on), target, batch_of(on, "headcount"), 2)
+    return target.read(spark, typed(headcount(spark, folder)).schema)
+
+
+def split_read(names: DataFrame) -> DataFrame:
+    """How many rows each part of a split read by a text key takes, and its keys."""
+    spark, view = names.sparkSession, f"split_{uuid.uuid4().hex}"
+    names.createOrReplaceTempView(view)
+    cuts = [row.cut for row in spark.sql(cut_query(view, SPLIT_KEY, SPLITS)).collect()]
+    found = None
+    for number, condition in enumerate(predicates(SPLIT_KEY, cuts)):
+        part = spark.table(view).filter(condition).agg(
+            F.lit(number).alias("part"), F.count(F.lit(1)).alias("rows"),
+            F.min(SPLIT_KEY).alias("first_key"), F.max(SPLIT_KEY).alias("last_key"),
+        )
+        found = part if found is None else found.union(part)
+    return found
+
+
 REGISTERED: dict[str, Query] = {
     "current_term": lambda s, d: bound(s, d).current_term(),
     "term_enrollment": lambda s, d: bound(s, d).term_enrollment(),
@@ -226,6 +267,36 @@ REGISTERED: dict[str, Query] = {
         lambda careers: pivot_count_total(careers, "strm", "acad_career", CAREERS),
         "p_stdnt_car_term_av",
     ),
+    "running_count": relation_query(
+        lambda names: running_count(
+            names.select("emplid", "name_type", "effdt"), ["emplid", "name_type"], "effdt"
+        ),
+        "p_names_av",
+    ),
+    "as_of_join": relation_query(
+        lambda careers, residencies: as_of_join(
+            careers.select(*snapshot.CAREER_KEY, "strm"),
+            residencies, snapshot.CAREER_KEY, "strm", "effective_term",
+        ),
+        "p_stdnt_car_term_av",
+        "p_residency_off_av",
+    ),
+    "version_intervals": relation_query(
+        lambda catalog: version_intervals(
+            catalog.select(*COURSE, "crse_effdt"), COURSE, "crse_effdt", "until"
+        ),
+        "r_coursecatalog_rv",
+    ),
+    "aggregate_given_back": relation_query(
+        lambda classes: given_back(
+            classes.select("emplid", "strm", "class_nbr", "unt_taken"), ["strm"],
+            least=F.min("unt_taken"), units=F.sum("unt_taken"),
+        ),
+        "p_stdnt_enrl_av",
+    ),
+    "split_read": relation_query(split_read, "p_names_av"),
+    "sink_versions": sink_versions,
+    "sink_bulk_insert": sink_bulk_insert,
     "name_concat": relation_query(
         lambda names: names.select(
             "emplid",

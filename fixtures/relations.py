@@ -16,9 +16,13 @@ FOREVER = dt.date(9999, 12, 31)
 START = dt.date(1995, 1, 1)
 
 
-def _flags(active: Column | None = None) -> list[Column]:
-    active = F.lit("Y") if active is None else active
-    return [F.lit("Y").alias("edw_curr_ind"), active.alias("edw_actv_ind")]
+def _flags(active: Column | None = None, current: Column | None = None) -> list[Column]:
+    active, current = (F.lit("Y") if flag is None else flag for flag in (active, current))
+    return [current.alias("edw_curr_ind"), active.alias("edw_actv_ind")]
+
+
+def _institution(second: Column) -> Column:
+    return F.when(second, "I1").otherwise("I0").alias("institution")
 
 
 def _unless(condition: Column) -> Column:
@@ -70,10 +74,16 @@ class Derived:
             .distinct()
         )
         end = F.date_sub(F.add_months("term_begin_dt", 3), 1)
-        return quarters.select(
+        first = quarters.select(
             "strm", "acad_career", F.lit("I0").alias("institution"), "term_begin_dt",
             end.alias("term_end_dt"),
         )
+        # the second institution's terms begin and end two weeks later
+        second = first.filter(F.col("acad_career") == "PROF").select(
+            "strm", "acad_career", F.lit("I1").alias("institution"),
+            *(F.date_add(c, 14).alias(c) for c in ("term_begin_dt", "term_end_dt")),
+        )
+        return first.unionByName(second)
 
     def _student_terms(self) -> DataFrame:
         """One row per student, term and career, with the term's first career."""
@@ -85,7 +95,7 @@ class Derived:
         )
         return careers.select(
             "emplid", "strm", F.explode("careers").alias("acad_career"),
-            F.array_min("careers").alias("first_career"), F.lit("I0").alias("institution"),
+            F.array_min("careers").alias("first_career"), _institution(F.col("emplid") % 23 == 0),
         )
 
     def p_stdnt_car_term_av(self) -> DataFrame:
@@ -99,7 +109,7 @@ class Derived:
             F.when(student % 3 == 0, "WDR").when(student % 3 == 1, "NWD").alias("withdraw_code"),
             F.lit(START).alias("edw_eff_start_date"),
             F.lit(FOREVER).alias("edw_eff_end_date"),
-            *_flags(_unless(student % 13 == 0)),
+            *_flags(_unless(student % 13 == 0), _unless(student % 37 == 5)),
         )
 
     def _order_lines(self) -> DataFrame:
@@ -111,7 +121,7 @@ class Derived:
         units = F.col("l_quantity").cast("int")
         return self._order_lines().select(
             F.col("o_custkey").alias("emplid"), _term(), _career(),
-            F.lit("I0").alias("institution"), F.col("l_partkey").alias("class_nbr"),
+            _institution(F.col("o_custkey") % 23 == 0), F.col("l_partkey").alias("class_nbr"),
             units.alias("unt_taken"), (units % 4).alias("unt_billing"),
             F.when(F.col("l_returnflag") == "N", "E")
             .when(F.col("l_returnflag") == "A", "D")
@@ -130,7 +140,7 @@ class Derived:
         ).filter(~((person % 10 == 0) & (F.col("n") < 2)))
         turn = nation + F.col("n")
         return held.select(
-            person.alias("emplid"), "acad_career", F.lit("I0").alias("institution"),
+            person.alias("emplid"), "acad_career", _institution(person % 46 == 0),
             "effective_term",
             F.when(turn % 3 == 0, None).when(turn % 3 == 1, "RES").otherwise("NRES")
             .alias("tuition_res"),
@@ -143,7 +153,7 @@ class Derived:
             F.lit(START).alias("edw_eff_start_date"),
             F.when(person % 17 == 0, F.lit(dt.date(1997, 12, 31))).otherwise(F.lit(FOREVER))
             .alias("edw_eff_end_date"),
-            *_flags(),
+            *_flags(current=_unless((person + F.col("n")) % 27 == 0)),
         )
 
     def p_residency_off_v(self) -> DataFrame:
@@ -153,7 +163,8 @@ class Derived:
         return self.spark.sql(
             """SELECT * FROM VALUES
             ('I0', 'UGRD', 1, DATE '1990-01-01'), ('I0', 'UGRD', 9, DATE '1996-01-01'),
-            ('I0', 'GRAD', 2, DATE '1990-01-01'), ('I0', 'PROF', 3, DATE '1990-01-01')
+            ('I0', 'GRAD', 2, DATE '1990-01-01'), ('I0', 'PROF', 3, DATE '1990-01-01'),
+            ('I1', 'PROF', 4, DATE '1990-01-01')
             AS t (institution, acad_career, fa_primacy_nbr, effdt)"""
         )
 
@@ -164,7 +175,7 @@ class Derived:
             person.alias("emplid"),
             F.when(person % 9 == 0, "CAN").otherwise("USA").alias("country"),
             (person % 6).cast("string").alias("citizenship_status"),
-            *_flags(),
+            *_flags(current=_unless(person % 43 == 0)),
         )
         second = customers.filter(person % 25 == 2).select(
             person.alias("emplid"), *_texts(country="USA", citizenship_status="1"), *_flags()
@@ -188,7 +199,8 @@ class Derived:
 
         first = customers.filter(person % 8 != 7).select(
             person.alias("emplid"), code(nation),
-            F.when(person % 4 == 0, "Y").otherwise("N").alias("hisp_latino"), *_flags(),
+            F.when(person % 4 == 0, "Y").otherwise("N").alias("hisp_latino"),
+            *_flags(current=_unless(person % 31 == 0)),
         )
         second = customers.filter(person % 5 == 1).select(
             person.alias("emplid"), code(nation + 1), F.lit("N").alias("hisp_latino"), *_flags()
@@ -231,7 +243,7 @@ class Derived:
             F.when(number % 5 == 0, " ").otherwise(numbered("F", 89)).alias("first_name"),
             F.when(number % 3 != 0, numbered("M", 7)).alias("middle_name"),
             F.when(number % 10 == 0, "Jr").alias("name_suffix"),
-            *_flags(_unless(number % 6 == 0)),
+            *_flags(_unless(number % 6 == 0), _unless(number % 29 == 0)),
         )
 
     def r_coursecatalog_rv(self) -> DataFrame:
@@ -313,7 +325,7 @@ class Derived:
         unit = F.col("n_regionkey").cast("string")
         return self.table("nation").select(
             F.concat(F.lit("P"), F.col("n_nationkey").cast("string")).alias("acad_plan"),
-            F.lit("I0").alias("institution"),
+            _institution(F.col("n_nationkey") % 12 == 11),
             F.col("n_name").alias("acad_plan_descr"),
             unit.alias("acad_plan_mau"),
             F.concat(F.lit("Unit "), unit).alias("acad_plan_mau_descrformal"),
@@ -358,7 +370,8 @@ class Derived:
         )
 
     def r_termsession_rv(self) -> DataFrame:
-        sessions = _expand(self.r_term_rv(), "session_code", rows=[("1",), ("2",)])
+        first = self.r_term_rv().filter(F.col("institution") == "I0")
+        sessions = _expand(first, "session_code", rows=[("1",), ("2",)])
         missing = (F.col("acad_career") == "PROF") & (F.col("session_code") == "2")
         return sessions.filter(~missing).select(
             "strm", "acad_career", "session_code",
@@ -375,7 +388,7 @@ class Derived:
                 (1990 + person % 20).cast("int"), F.lit(1), F.lit(1)
             ).alias("effdt"),
             F.when(person % 2 == 0, "F").otherwise("M").alias("sex"),
-            *_flags(_unless(person % 19 == 0)),
+            *_flags(_unless(person % 19 == 0), _unless(person % 41 == 0)),
         )
         second = customers.filter(person % 6 == 0).select(
             person.alias("emplid"), F.lit(dt.date(1997, 1, 1)).alias("effdt"),

@@ -15,7 +15,7 @@ TABLES = (
 
 KINDS = {
     "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "date": "DATE",
-    "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP",
+    "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
 }
 
 
