@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import os
 import sys
 from collections.abc import Iterator
 
@@ -14,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from campuslake.llm.common import materialized, sized, slices
+from campuslake.llm.token_output import Encoder
 
 # A pair of ids in one number: the first tokenizer's id above, the second's below.
 SHIFT = 32
@@ -29,18 +29,15 @@ def _byte_of_char() -> dict[str, int]:
 class Pair:
     """Both tokenizers, the bytes of their tokens, and for each id of A the id of B with the same bytes (or -1).
 
-    A byte piece of B stands for its byte only where no other piece does, so that the map is one to one.
+    A is a byte-level vocabulary, B one of pieces. A byte piece of B stands for its byte only where no other piece does, so that the map is one to one.
     """
 
     def __init__(self, path_a: str, path_b: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self._a = Tokenizer.from_file(path_a)
-        self._a.encode_special_tokens = True  # their strings in a text are plain text
+        self._a = Encoder(path_a, plain=True)
         self._b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        chars, vocabulary = _byte_of_char(), self._a.get_vocab(with_added_tokens=True)
+        chars, vocabulary = _byte_of_char(), self._a.vocabulary()
         self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             known = all(c in chars for c in token)
@@ -61,7 +58,7 @@ class Pair:
 
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """The ids of both, A's of the text behind a space; none where the bytes of one are not those of that text."""
-        a = [e.ids for e in self._a.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)]
+        a = [ids.tolist() for ids in self._a.encode([f" {t}" for t in texts])]
         b = self._b.encode(texts, num_threads=1)
         for k, text in enumerate(texts):
             raw = f" {text}".encode()

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from campuslake.llm.common import materialized
+from campuslake.session import discard
 
 # 64-bit words of parities that stand for a set.
 PARITY_WORDS = 8
@@ -29,8 +30,9 @@ def components(edges: DataFrame) -> DataFrame:
     )
     seen = None
     while (state := _state(edges)) != seen:
-        seen = state
+        seen, before = state, edges
         edges = materialized(_small_star(_large_star(edges)))
+        discard(before)
     inner = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return inner.union(roots)
@@ -59,14 +61,14 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def shared_buckets(keyed: DataFrame) -> DataFrame:
-    """``(key, node, leader)`` of the buckets that hold two nodes or more; leader: the smallest.
+    """``(key, node, leader)`` of the buckets that hold two nodes or more, written; leader: the smallest.
 
-    Keys that occur once, nearly all, drop out by a count, combined before its shuffle.
+    The keys, most of which occur once, are shuffled once: a bucket's rows pass by its smallest
+    and its largest node. A node has many keys, and each once, so no key holds a large share of all rows.
     """
-    often = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    nodes = materialized(keyed.join(often, "key").distinct())
-    shared = nodes.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
-    return materialized(nodes.join(shared.where("leader <> last").select("key", "leader"), "key"))
+    bucket = Window.partitionBy("key")
+    ends = keyed.select("key", "node", F.min("node").over(bucket).alias("leader"), F.max("node").over(bucket).alias("last"))
+    return materialized(ends.where("leader <> last").select("key", "node", "leader").distinct())
 
 
 def bucket_links(
@@ -86,8 +88,12 @@ def bucket_links(
     another such node has too. Only the latter can be in an intersection, which bounds the
     similarity of a node to any other and of a pair; what can't link goes (a node without
     features stays). The bounds are exact: no pair that links is ruled out. The bucket's node
-    with the least of its own, the cleanest copy, is compared with the others; last those
-    that are in different components still and within the bound.
+    with the least of its own, the cleanest copy, is compared with the others.
+
+    Of the nodes left then, each is known by its rarest features: as many, counted from the rarest
+    on, as it may have beyond those that a node it links with must share, and one. Two nodes that
+    link share one of these, so nodes meet by them, and copies that are near but not near enough,
+    whose rare features differ, mostly don't meet at all.
     """
     led = materialized(
         buckets.where("node <> leader")
@@ -95,18 +101,22 @@ def bucket_links(
         .agg(F.count("*").alias("met"))
     )
     best = materialized(led.groupBy("a").agg(F.max_by("b", F.struct("met", "b")).alias("b")))
+    discard(led)
     links = materialized(compared(best))
     rest = _mixed(buckets.select("key", "node"), links)
     nodes = materialized(rest.select("node").distinct())
     # A share of the features tells most nodes apart; all features only of those left.
     coarse = max(1, int(100 / (1.6 * (100 - percent))))
-    nodes = materialized(_able(nodes, features(nodes, coarse), percent).select("node"))
-    able = materialized(_able(nodes, features(nodes, 1), percent))
+    likely = materialized(_able(nodes, features(nodes, coarse), percent).select("node"))
+    discard(nodes)
+    able = materialized(_able(likely, features(likely, 1), percent))
+    discard(likely)
     sides = rest.join(able, "node")
     purity = F.struct((F.col("shared") + 1) / (F.col("size") + 1), "size", "node")
     cleanest = sides.groupBy("key").agg(F.max_by("node", purity).alias("hub"))
     # A bucket is known by its cleanest node from here on: far fewer groups hold the same pairs.
     hubs = materialized(sides.join(cleanest, "key").select(F.col("hub").alias("key"), "node").distinct())
+    discard(rest)
 
     def told(rows: DataFrame, side: str) -> DataFrame:
         counts = F.struct("size", "shared", "bits").alias(side)
@@ -115,12 +125,35 @@ def bucket_links(
     now = _mixed(hubs, links)
     pure = told(now, "a").join(told(now.where("node = key"), "b"), "key").where("a_at <> b_at")
     pure = materialized(pure.where(_within(percent)).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")))
-    links = materialized(links.union(compared(pure)))
+    links, before = materialized(links.union(compared(pure))), links
+    discard(now, before)
     now = _mixed(hubs, links)
-    cross = told(now, "a").join(told(now, "b"), "key").where("a_node > b_node and a_at <> b_at")
+    left = materialized(now.select("node", "at").distinct())
+    discard(now, hubs)
+    rare = materialized(_rarest(left, features(left.select("node"), 1), percent))
+    # both carry the key's rows, of which a rare feature has few
+    cross = told(rare, "a").join(told(rare, "b"), "key").where("a_node > b_node and a_at <> b_at")
     cross = cross.where(_within(percent)).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
     done = best.union(pure).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    return materialized(links.union(compared(cross.join(done, ["a", "b"], "left_anti"))))
+    found = materialized(links.union(compared(cross.join(done, ["a", "b"], "left_anti"))))
+    discard(best, pure, links, able, left, rare)
+    return found
+
+
+def _rarest(nodes: DataFrame, features: DataFrame, percent: int) -> DataFrame:
+    """``(key, node, at)``: each node's rarest features, among these nodes, by which it meets any that it links with.
+
+    A node of ``size`` features shares at least ``percent`` of them with one it links with, so one of
+    its ``size`` less that number, and one more, rarest is among those of both. All nodes order features alike.
+    """
+    own = materialized(features)
+    often = own.groupBy("feature").agg(F.count("*").alias("n"))
+    each = own.join(often, "feature").groupBy("node", "size").agg(F.sort_array(F.collect_list(F.struct("n", "feature"))).alias("f"))
+    most = F.col("size") - F.ceil(F.col("size") * percent / 100).cast("int") + 1
+    some = each.select("node", F.explode(F.slice("f", F.lit(1), most)).alias("x")).where("x.n > 1")
+    found = materialized(some.select(F.col("x.feature").alias("key"), "node").join(nodes, "node"))
+    discard(own)
+    return found
 
 
 def _mixed(rows: DataFrame, links: DataFrame) -> DataFrame:
@@ -129,7 +162,9 @@ def _mixed(rows: DataFrame, links: DataFrame) -> DataFrame:
     at = rows.join(placed, "node", "left").select("key", "node", F.coalesce("at", "node").alias("at"))
     at = materialized(at)
     mixed = at.groupBy("key").agg(F.min("at").alias("one"), F.max("at").alias("two")).where("one <> two")
-    return materialized(at.join(mixed.select("key"), "key").select("key", "node", "at"))
+    found = materialized(at.join(mixed.select("key"), "key").select("key", "node", "at"))
+    discard(at)
+    return found
 
 
 def _within(percent: int) -> Column:
@@ -148,7 +183,7 @@ def _within(percent: int) -> Column:
 
 def _able(nodes: DataFrame, features: DataFrame, percent: int) -> DataFrame:
     """``(node, size, shared, bits)`` of the nodes that may still link: features, those
-    another node may have, and parities of the features by hash."""
+    another node may have, and parities of the features by hash. The features are written once."""
     own = materialized(features)
     common = own.groupBy("feature").agg(F.count("*").alias("n")).where("n > 1").select("feature")
     shared = own.join(common, "feature").groupBy("node").agg(F.count("*").alias("met"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from campuslake.llm.common import materialized, sized
+from campuslake.session import scratch
 
 WINDOW = 8
 MIN_LITERAL = 4
@@ -21,8 +22,9 @@ UNITS = (
 
 # Marks that stand before a name, a unit and a word that may be a name; numbers show themselves.
 _NAME, _UNIT, _MAYBE = "\u0001", "\u0002", "\u0003"
-_WORD = r"[\p{L}\p{M}\p{N}]+(?:[.,'’][\p{L}\p{M}\p{N}]+)*"
-_TOKEN = rf"({_NAME}{_WORD}(?:\s+{_NAME}{_WORD})*|[{_UNIT}{_MAYBE}]?{_WORD})"
+# Repeated groups are possessive: the matcher keeps no way back, so a text of any length takes no stack.
+_WORD = r"[\p{L}\p{M}\p{N}]+(?:[.,'’][\p{L}\p{M}\p{N}]+)*+"
+_TOKEN = rf"({_NAME}{_WORD}(?:\s+{_NAME}{_WORD})*+|[{_UNIT}{_MAYBE}]?{_WORD})"
 # A capitalised word is a name within a sentence; the first of a sentence may be one.
 _CAPITAL = r"(?=\p{Lu}\p{Ll})(?<![\p{L}\p{M}\p{N}]|[\p{L}\p{M}\p{N}][.,'’])"
 _FIRST = rf"{_NAME}(?<![\p{{L}}\p{{M}}\p{{N}},;]\s{_NAME})"
@@ -118,6 +120,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     without an id match nothing. Repeated items and documents count once. Other columns
     are ignored.
     """
+    with scratch(docs.sparkSession) as keep:
+        return keep(_leaks(docs, benchmark))
+
+
+def _leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = benchmark.where("item_id is not null").select(
         "item_id", F.posexplode(F.array_distinct(F.array(tokens(F.col("text")), tokens(F.lower("text"))))).alias("form", "words")
     )
@@ -197,11 +204,12 @@ def _consistent(hits: DataFrame, indexed: DataFrame, items: DataFrame, texts: Da
     known = ["doc_id", "item_id", "form"]
     aligned = hits.withColumn("distance", F.col("place") - F.col("at")).distinct()
     totals = indexed.groupBy("item_id", "form").agg(F.countDistinct("at").alias("windows"), F.max("whole").alias("whole"))
+    totals = sized(materialized(totals), 32)
     needed = F.when(F.col("whole"), F.col("windows")).otherwise(F.ceil(F.col("windows") * F.lit(COVERAGE)))
     enough = F.col("matched") >= F.greatest(F.lit(1.0), needed)
 
     def covered(rows: DataFrame) -> DataFrame:
-        at_one = rows.join(F.broadcast(totals), ["item_id", "form"])
+        at_one = rows.join(totals, ["item_id", "form"])
         at_one = at_one.withColumn("line", F.when(F.col("whole"), F.col("distance")))
         by_item = at_one.groupBy(*known, "line", "windows", "whole").agg(F.countDistinct("at").alias("matched"))
         return by_item.where(enough).groupBy(*known).agg(F.max("matched").alias("matched"), F.max("windows").alias("windows"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from campuslake.llm.common import materialized, sized
 from campuslake.llm.components import bucket_links, components, shared_buckets
+from campuslake.session import scratch
 
 SHINGLE = 9
 BANDS, ROWS = 8, 4
@@ -105,39 +106,41 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     Blank lines are kept. Null text has no lines; rows without an id are left alone.
     Equal rows of one id share their places and keep the same lines. Other columns are ignored.
     """
-    occurrences = lines_of(docs)
-    signed = materialized(occurrences.select("doc_id", "line_no", "id", band_keys(F.col("line")).alias("keys")))
-    place = F.struct("doc_id", "line_no")
-    nodes = materialized(signed.groupBy("id").agg(F.min(place).alias("first"), F.max(place).alias("last")))
-    buckets = shared_buckets(signed.select(F.explode("keys").alias("key"), F.col("id").alias("node")))
-    involved = materialized(buckets.select(F.col("node").alias("id")).distinct())
-    wanted = occurrences.join(sized(involved, 8), "id", "left_semi").select("id", "line")
-    texts = materialized(wanted.groupBy("id", "line").agg(F.count("*").alias("n")).select("id", "line"))
-
-    def compared(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
-        return both.where(_similar(F.col("x"), F.col("y"))).select("a", "b")
-
-    def features(found: DataFrame, every: int) -> DataFrame:
-        own = texts.join(found.withColumnRenamed("node", "id"), "id")
-        own = own.select(F.col("id").alias("node"), F.explode(F.array(_hashes(F.col("line")))).alias("all"))
-        told = F.filter("all", lambda h: F.pmod(h, F.lit(every)) == 0) if every > 1 else F.col("all")
-        return own.select("node", F.size("all").alias("size"), F.explode(told).alias("feature"))
-
-    placed = materialized(components(bucket_links(buckets, compared, features, PERCENT)))
-    known = nodes.join(placed.withColumnRenamed("node", "id"), "id", "left")
-    known = known.withColumn("group", F.coalesce("component", "id"))
-    kept = known.groupBy("group").agg(F.min("first").alias("kept"), F.max("last").alias("end")).where("kept <> end")
-    gone = materialized(known.join(kept, "group").select("id", "kept"))
-    places = signed.select("doc_id", "line_no", "id").join(gone, "id")
-    removed = places.where(place != F.col("kept"))
-    return removed.groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias("removed"))
+    with scratch(docs.sparkSession) as keep:
+        occurrences = lines_of(docs)
+        signed = occurrences.select(F.col("id").alias("node"), F.explode(band_keys(F.col("line"))).alias("key"))
+        buckets = shared_buckets(signed)
+        places = materialized(occurrences.select("doc_id", "line_no", "id"))
+        place = F.struct("doc_id", "line_no")
+        nodes = materialized(places.groupBy("id").agg(F.min(place).alias("first"), F.max(place).alias("last")))
+        involved = materialized(buckets.select(F.col("node").alias("id")).distinct())
+        wanted = occurrences.join(sized(involved, 8), "id", "left_semi").select("id", "line")
+        texts = materialized(wanted.groupBy("id", "line").agg(F.count("*").alias("n")).select("id", "line"))
+
+        def compared(pairs: DataFrame) -> DataFrame:
+            both = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
+            return both.where(_similar(F.col("x"), F.col("y"))).select("a", "b")
+
+        def features(found: DataFrame, every: int) -> DataFrame:
+            own = texts.join(found.withColumnRenamed("node", "id"), "id")
+            own = own.select(F.col("id").alias("node"), F.explode(F.array(_hashes(F.col("line")))).alias("all"))
+            told = F.filter("all", lambda h: F.pmod(h, F.lit(every)) == 0) if every > 1 else F.col("all")
+            return own.select("node", F.size("all").alias("size"), F.explode(told).alias("feature"))
+
+        placed = materialized(components(bucket_links(buckets, compared, features, PERCENT)))
+        known = nodes.join(placed.withColumnRenamed("node", "id"), "id", "left")
+        known = known.withColumn("group", F.coalesce("component", "id"))
+        kept = known.groupBy("group").agg(F.min("first").alias("kept"), F.max("last").alias("end")).where("kept <> end")
+        gone = materialized(known.join(kept, "group").select("id", "kept"))
+        removed = places.join(gone, "id").where(place != F.col("kept"))
+        return keep(removed.groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias("removed")))
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """The documents, columns unchanged, their texts without the removed lines; none is dropped."""
-    gone = repeated_lines(docs).select(F.col("doc_id").alias("_id"), "removed")
-    joined = docs.join(gone, F.col("doc_id").cast("long") == F.col("_id"), "left")
-    kept = F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains("removed", i))
-    text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    return joined.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    gone = repeated_lines(docs).select(F.col("doc_id").alias("id"), "removed")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    joined = docs.select(F.col("doc_id").cast("long").alias("id"), row).join(gone, "id", "left")
+    kept = F.filter(F.split("row.text", "\n", -1), lambda line, i: ~F.array_contains("removed", i))
+    text = F.when(F.col("removed").isNull(), F.col("row.text")).otherwise(F.array_join(kept, "\n"))
+    return joined.select(*[(text if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

@@ -115,9 +115,7 @@ def repeat_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed
     mixed = mix_sources(docs, weights, seed).where("size > 0 and doc_id is not null")
     taken = mixed.select("doc_id", (F.col("taken") / F.col("size")).cast("int").alias("times"))
     times = materialized(taken.groupBy("doc_id").agg(F.max("times").alias("times")))
-    counted = docs.withColumnRenamed("doc_id", "doc_id").join(
-        times.toDF("doc_id", "_times"), "doc_id", "left"
-    )
-    copies = F.explode(F.sequence(F.lit(1), F.coalesce("_times", F.lit(1)))).alias("_copy")
-    kept = counted.where("coalesce(_times, 1) > 0")
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns], copies).drop("_copy")
+    whole = docs.select(F.col("doc_id").alias("id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    counted = whole.join(times.withColumnRenamed("doc_id", "id"), "id", "left")
+    often = counted.select("row", F.coalesce("times", F.lit(1)).alias("times")).where("times > 0")
+    return often.select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from campuslake.llm.common import materialized, mix, shingle_sets, sized, slices
 from campuslake.llm.components import bucket_links, components, shared_buckets
+from campuslake.session import scratch
 
 BAND_GROWTH = 1.4
 _LOW = np.uint64(0xFFFFFFFF)
@@ -42,29 +43,29 @@ def ngram_components(
     """
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     texts = texts.where("id is not null")
-    rows = materialized(
-        texts.mapInArrow(_indexed(n, percent), "id long, size int, class long, keys array<long>")
-    )
-    ids = rows.select("id", "size", "class")
-    classes = materialized(
-        ids.where("size > 0").groupBy("class").agg(F.min("id").alias("first"), F.max("size").alias("size"))
-    )
-    links = _links(rows, classes, texts, n, percent)
-    found = (
-        components(links)
-        .withColumnRenamed("node", "class")
-        .join(classes.select("class", "first"), "class")
-    )
-    smallest = found.groupBy("component").agg(F.min("first").alias("component_id"))
-    placed = found.join(smallest, "component").select("class", "component_id")
-    classes = classes.join(placed, "class", "left").select(
-        "class", F.coalesce("component_id", "first").alias("component_id")
-    )
-    whole = ids.join(classes, "class", "left")
-    return whole.groupBy(F.col("id").alias("doc_id")).agg(
-        F.max("size").cast("long").alias("n_shingles"),
-        F.min(F.coalesce("component_id", "id")).alias("component_id"),
-    )
+    with scratch(docs.sparkSession) as keep:
+        ids = materialized(texts.mapInArrow(_classed(n), "id long, size int, class long"))
+        classes = materialized(
+            ids.where("size > 0").groupBy("class").agg(F.min("id").alias("first"), F.max("size").alias("size"))
+        )
+        links = _links(classes, texts, n, percent)
+        found = (
+            components(links)
+            .withColumnRenamed("node", "class")
+            .join(classes.select("class", "first"), "class")
+        )
+        smallest = found.groupBy("component").agg(F.min("first").alias("component_id"))
+        placed = found.join(smallest, "component").select("class", "component_id")
+        classes = classes.join(placed, "class", "left").select(
+            "class", F.coalesce("component_id", "first").alias("component_id")
+        )
+        whole = ids.join(classes, "class", "left")
+        return keep(
+            whole.groupBy(F.col("id").alias("doc_id")).agg(
+                F.max("size").cast("long").alias("n_shingles"),
+                F.min(F.coalesce("component_id", "id")).alias("component_id"),
+            )
+        )
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -76,13 +77,16 @@ def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     found = ngram_components(docs, n, percent)
     gone = materialized(found.where("doc_id <> component_id").select("doc_id"))
     left = docs.join(sized(gone, 8), "doc_id", "left_anti").select(docs.columns)
-    ids = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("_rows"))
-    repeated = materialized(ids.where("_rows > 1").select("doc_id"))
-    many = sized(repeated, 8)
+    ids = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows"))
+    many = sized(materialized(ids.where("rows > 1").select("doc_id")), 8)
     others = [F.col(f"`{f.name}`") for f in docs.schema if f.name not in ("doc_id", "text") and "map<" not in f.dataType.simpleString()]
-    order = Window.partitionBy("doc_id").orderBy(F.length("text").desc_nulls_last(), "text", F.xxhash64(F.lit(0), *others))
-    first = left.join(many, "doc_id", "left_semi").withColumn("_row", F.row_number().over(order)).where("_row = 1")
-    return left.join(many, "doc_id", "left_anti").select(docs.columns).union(first.select(docs.columns))
+    # the row as one value, so that no column of its own can clash with the rank
+    whole = left.join(many, "doc_id", "left_semi").select(
+        "doc_id", "text", F.xxhash64(F.lit(0), *others).alias("others"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    )
+    order = Window.partitionBy("doc_id").orderBy(F.length("text").desc_nulls_last(), "text", "others")
+    first = whole.withColumn("rank", F.row_number().over(order)).where("rank = 1").select("row.*")
+    return left.join(many, "doc_id", "left_anti").select(docs.columns).union(first)
 
 
 def band_starts(largest: int) -> list[int]:
@@ -137,36 +141,54 @@ def _class(shingles: np.ndarray) -> int:
         return int(mix(np.array([own + np.uint64(len(shingles))]))[0].astype(np.int64))
 
 
-def _indexed(n: int, percent: int):
+def _classed(n: int):
+    """The size and the class of each text's set."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        starts = band_starts(1024)
         for batch in batches:
             for part in slices(batch):
                 sets = shingle_sets(part.column("text"), n)
-                largest = max(map(len, sets))
-                if largest >= starts[-1]:
-                    starts = band_starts(largest)
-                keys = [segment_keys(s, percent, starts) if len(s) else s for s in sets]
-                ends = np.cumsum([0, *map(len, keys)])
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("id"),
                         pa.array([len(s) for s in sets], pa.int32()),
                         pa.array([_class(s) for s in sets], pa.int64()),
-                        pa.ListArray.from_arrays(
-                            pa.array(ends, pa.int32()),
-                            pa.array(np.concatenate(keys).astype(np.uint64).view(np.int64)),
-                        ),
                     ],
-                    names=["id", "size", "class", "keys"],
+                    names=["id", "size", "class"],
+                )
+
+    return run
+
+
+def _indexed(n: int, percent: int):
+    """The keys of the sets that are of the wanted class; another row of the id may be of another."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        starts = band_starts(1024)
+        for batch in batches:
+            for part in slices(batch):
+                sets = shingle_sets(part.column("text"), n)
+                own = [(c, s) for c, s in zip(part.column("class").to_pylist(), sets, strict=True) if _class(s) == c]
+                if not own:
+                    continue
+                largest = max(len(s) for _, s in own)
+                if largest >= starts[-1]:
+                    starts = band_starts(largest)
+                keys = [segment_keys(s, percent, starts) for _, s in own]
+                nodes = np.repeat(np.array([c for c, _ in own], np.int64), [len(k) for k in keys])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(keys).astype(np.uint64).view(np.int64)), pa.array(nodes)],
+                    names=["key", "node"],
                 )
 
     return run
 
 
-def _links(rows: DataFrame, classes: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+def _links(classes: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
     """Verified links between classes, enough of them to join what belongs together."""
-    keyed = rows.where("size > 0").select(F.explode("keys").alias("key"), F.col("class").alias("node"))
+    # One text of each class is indexed; copies of it have the same keys.
+    chosen = classes.select(F.col("first").alias("id"), "class")
+    keyed = texts.join(sized(chosen, 16), "id").mapInArrow(_indexed(n, percent), "key long, node long")
     buckets = shared_buckets(keyed)
     sizes = classes.select("class", "size")
     involved = buckets.select(F.col("node").alias("class")).distinct().join(classes, "class")

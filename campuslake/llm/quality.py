@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from campuslake.llm.common import held_out, materialized, slices
+from campuslake.session import scratch
 
 FEATURES = 13
 SHRINKAGE = 0.1
@@ -77,7 +78,8 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     The decision joins back by id: of a repeated id with differing texts, all rows go if
     one is rejected. A document without an id stays.
     """
-    bad = materialized(score_quality(docs, labels).where("predicted = 0 and doc_id is not null").select("doc_id").distinct())
+    with scratch(docs.sparkSession) as keep:
+        bad = keep(score_quality(docs, labels).where("predicted = 0 and doc_id is not null").select("doc_id").distinct())
     return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
 
 

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from campuslake.llm.common import materialized, slices
+from campuslake.operators.relational import spread_join
+from campuslake.session import scratch
 
 MIN_SENTENCES = 2
 MIN_WORDS = 20
@@ -68,26 +70,42 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     covers, in order, ``first_docs`` the documents that hold the first ones. A run may
     repeat within a document.
 
+    A document tells its own repeats, so that the corpus is asked for one occurrence of each
+    document only. What is removed travels as runs; a document's runs become its
+    sentences where they meet.
+
     Null, empty or short text has no run. Rows without an id are neither compared nor
-    listed. Equal rows of one id share their places, so they don't repeat each other.
+    listed. Rows of one id don't repeat each other. Other columns are ignored.
     """
-    rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    runs = materialized(rows.mapInArrow(_runs, "key long, doc_id long, first int, last int"))
-    repeated = (
-        runs.groupBy("key")
-        .agg(F.min(F.struct("doc_id", "first")).alias("kept"), F.max(F.struct("doc_id", "first")).alias("end"))
-        .where("kept <> end")
-        .select("key", "kept")
-    )
-    gone = runs.join(repeated, "key").where(F.struct("doc_id", "first") != F.col("kept"))
-    covered = gone.select(
-        "doc_id", F.explode(F.sequence("first", "last")).alias("sentence"), F.col("kept.doc_id").alias("source")
-    )
-    once = covered.groupBy("doc_id", "sentence").agg(F.min("source").alias("source"))
-    return once.groupBy("doc_id").agg(
-        F.sort_array(F.collect_list("sentence")).alias("removed"),
-        F.sort_array(F.collect_set("source")).alias("first_docs"),
-    )
+    with scratch(docs.sparkSession) as keep:
+        rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        runs = materialized(rows.mapInArrow(_runs, "key long, doc_id long, place long, again boolean"))
+        held = runs.groupBy("key").agg(
+            F.min("doc_id").alias("source"), F.max("doc_id").alias("end"), F.bool_or("again").alias("again")
+        )
+        repeated = held.where("source <> end or again").select("key", "source")
+        # Both sides are shuffled for the join: then a key with much of the corpus is split.
+        gone = spread_join(runs, repeated, "key").where("again or doc_id <> source")
+        lists = gone.groupBy("doc_id").agg(F.collect_list("place").alias("places"), F.collect_set("source").alias("sources"))
+        return keep(lists.mapInArrow(_covered, "doc_id long, removed array<int>, first_docs array<long>"))
+
+
+def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sentences that the runs of a document cover."""
+    for batch in batches:
+        removed = []
+        for places in batch.column("places"):
+            packed = places.values.to_numpy()
+            first, last = packed >> 32, packed & 0xFFFFFFFF
+            steps = np.zeros(int(last.max()) + 2, np.int64)
+            np.add.at(steps, first, 1)
+            np.add.at(steps, last + 1, -1)
+            removed.append(np.flatnonzero(np.cumsum(steps)))
+        sources = [sorted(x) for x in batch.column("sources").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array(removed, pa.list_(pa.int32())), pa.array(sources, pa.list_(pa.int64()))],
+            names=["doc_id", "removed", "first_docs"],
+        )
 
 
 @F.pandas_udf(StringType())
@@ -106,35 +124,37 @@ def cut(text: pd.Series, removed: pd.Series) -> pd.Series:
 
 def remove_repeated_spans(docs: DataFrame) -> DataFrame:
     """The documents, columns unchanged, their texts without repeated spans; none is dropped."""
-    gone = repeated_spans(docs).select(F.col("doc_id").alias("_id"), "removed")
-    joined = docs.join(gone, F.col("doc_id").cast("long") == F.col("_id"), "left")
-    columns = [
-        cut(F.col("text"), F.col("removed")).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns
-    ]
-    return joined.select(*columns)
+    gone = repeated_spans(docs).select(F.col("doc_id").alias("id"), "removed")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    joined = docs.select(F.col("doc_id").cast("long").alias("id"), row).join(gone, "id", "left")
+    text = cut(F.col("row.text"), F.col("removed"))
+    return joined.select(*[(text if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The runs of each document: their key, first and last sentence in one number, and whether it has the key before."""
     for batch in batches:
         for part in slices(batch):
-            keys, ids, firsts, lasts = [], [], [], []
+            keys, ids, places, again = [], [], [], []
             for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
                 if not text:
                     continue
                 starts = sentences(text)
                 bodies = [text[a:b].split() for a, b in zip(starts, [*starts[1:], len(text)], strict=True)]
-                joined = [" ".join(b) for b in bodies]
+                joined, known = [" ".join(b) for b in bodies], set()
                 for first, last in spans([len(b) for b in bodies]):
-                    keys.append(xxhash.xxh3_64_intdigest(" ".join(joined[first : last + 1]).encode()))
+                    key = xxhash.xxh3_64_intdigest(" ".join(joined[first : last + 1]).encode())
+                    keys.append(key)
                     ids.append(doc_id)
-                    firsts.append(first)
-                    lasts.append(last)
+                    places.append(first << 32 | last)
+                    again.append(key in known)
+                    known.add(key)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.array(keys, np.uint64).view(np.int64)),
                     pa.array(ids, pa.int64()),
-                    pa.array(firsts, pa.int32()),
-                    pa.array(lasts, pa.int32()),
+                    pa.array(places, pa.int64()),
+                    pa.array(again, pa.bool_()),
                 ],
-                names=["key", "doc_id", "first", "last"],
+                names=["key", "doc_id", "place", "again"],
             )

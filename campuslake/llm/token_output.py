@@ -22,7 +22,7 @@ COUNTS = [0, 240, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1]
 BITS = [0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60]
 
 BLOCK = 1024
-CACHED_PIECES = 200_000
+CACHED_PIECES = 600_000
 LEARNED_TOGETHER = 10_000
 _SEPARATOR = "\n"
 
@@ -146,6 +146,22 @@ def decode_blocks(words: np.ndarray, block_starts: np.ndarray, n: int) -> np.nda
     return out[:n]
 
 
+# Kinds of characters, as the vocabulary's own splitting tells them apart.
+_VISIBLE, _SPACE, _LETTER, _MARK, _END = range(5)
+# No piece has a blank behind a visible character.
+_BORDER = "| |"
+
+
+def _kinds() -> np.ndarray:
+    """The kind of each code point. 1C to 1F are white space to Python, not to the vocabulary."""
+    kinds = np.full(0x110000, _VISIBLE, np.uint8)
+    space = [c for c in range(0x3001) if chr(c).isspace() and not 0x1C <= c <= 0x1F]
+    kinds[space] = _SPACE
+    kinds[[c for c in range(0x21, 0x7F) if not chr(c).isalnum()]] = _MARK
+    kinds[[c for c in range(0x100) if chr(c).isalpha() and (c < 0x80 or c >= 0xC0)]] = _LETTER
+    return kinds
+
+
 class Encoder:
     """Ids of texts; equal pieces of a text are encoded once.
 
@@ -154,21 +170,30 @@ class Encoder:
     letter and ASCII punctuation behind it are never of one unit. So a run's rest, each word
     with its blank and the punctuation behind it have their ids each for itself. New words are
     encoded together, line by line, and split at the line breaks.
+
+    Special strings of the vocabulary have their own ids where they stand in a text, as the
+    library gives them, and split it; with ``plain`` they are text like any other.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        self._tokenizer.encode_special_tokens = plain
+        self._kinds = _kinds()
         self._known: dict[str, bytes] = {}
-        visible = r"[\S\x1c-\x1f]"  # 1C to 1F are white space to Python, not to the vocabulary
-        space = r"[^\S\x1c-\x1f]"
-        word = r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[!-/:-@\[-`{-~])"
-        self._piece = re.compile(rf"{word}| ?{visible}+|{space}+(?!{visible})|{space}")
+        added = {} if plain else self._tokenizer.get_added_tokens_decoder()
+        self._special = {t.content: np.array([i], np.uint32).tobytes() for i, t in added.items()}
+        self._known.update(self._special)
+        longest = sorted(self._special, key=len, reverse=True)
+        self._split = re.compile("|".join(map(re.escape, longest))) if longest else None
         (self._break,) = self._whole(_SEPARATOR).tolist()
 
+    def vocabulary(self) -> dict[str, int]:
+        """All tokens as the vocabulary writes them, and their ids."""
+        return self._tokenizer.get_vocab(with_added_tokens=True)
+
     def _whole(self, text: str) -> np.ndarray:
         (found,) = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.array(found.ids, np.uint32)
@@ -184,25 +209,68 @@ class Encoder:
         starts, ends = np.append(0, 4 * (cuts + 1)).tolist(), np.append(4 * cuts, len(raw)).tolist()
         self._known.update((w, raw[a:b]) for w, a, b in zip(words, starts, ends, strict=True))
 
+    def pieces(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
+        """The pieces of all texts, _BORDER behind each text, and the places of these."""
+        parts, borders, at = [], [], -1
+        for text in texts:
+            cuts = [*self._split.finditer(text)] if self._split and any(s in text for s in self._special) else []
+            start = 0
+            for cut in [*cuts, None]:
+                stop = cut.start() if cut else len(text)
+                parts.append(text[start:stop])
+                at += stop - start + 1
+                borders.append((at, cut.group() if cut else _BORDER))
+                start = cut.end() if cut else stop
+        joined = "\0".join([*parts, ""])
+        kind = self._kinds[np.frombuffer(joined.encode("utf-32-le"), np.uint32)]
+        ends = np.array([b for b, _ in borders])
+        kind[ends] = _END
+        blank = np.frombuffer(joined.encode("utf-32-le"), np.uint32) == 0x20
+        space = kind == _SPACE
+        visible = ~space & (kind != _END)
+        before = np.append(False, visible[:-1])  # a visible character stands before
+        after = np.append(visible[1:], False)
+        own_blank = np.append(False, blank[:-1])
+        word = visible & ~before
+        starts = (word & ~own_blank) | (space & after) | (space & ~np.append(False, space[:-1]))
+        starts[ends] = True
+        # Letters at a word's start are a piece of their own where ASCII punctuation follows.
+        firsts, others = np.flatnonzero(word), np.flatnonzero(visible & (kind != _LETTER))
+        found = np.append(others, len(kind) - 1)[np.searchsorted(others, firsts)]
+        cut = (found > firsts) & (kind[found] == _MARK)
+        # the characters between are letters, unless the word ended before
+        gaps = np.cumsum(~visible)
+        cut &= gaps[found] == gaps[firsts]
+        starts[found[cut]] = True
+        place = np.flatnonzero(starts)
+        own = place.tolist()
+        pieces = [joined[a:b] for a, b in zip(own, [*own[1:], len(joined)], strict=True)]
+        stops = np.searchsorted(place, ends)
+        for k, (_, mark) in zip(stops.tolist(), borders, strict=True):
+            pieces[k] = mark
+        return pieces, stops[[mark == _BORDER for _, mark in borders]]
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        known = self._known
-        pieces = [self._piece.findall(t) for t in texts]
-        ids = [list(map(known.get, own)) for own in pieces]
-        new = list({p: None for own, got in zip(pieces, ids, strict=True) if None in got for p, x in zip(own, got) if x is None})
+        if not texts:
+            return []
+        known, (pieces, stops) = self._known, self.pieces(texts)
+        own = dict.fromkeys(pieces)  # a slice's pieces are few, and near in memory
+        own.update(zip(own, map(known.get, own), strict=True))
+        own[_BORDER] = b""
+        new = [p for p, x in own.items() if x is None]
         blank = [p for p in new if p.isspace()]
         known.update((p, self._whole(p).tobytes()) for p in blank)
         words = [p for p in new if not p.isspace()]
         for k in range(0, len(words), LEARNED_TOGETHER):
             self._learn(words[k : k + LEARNED_TOGETHER])
-        found = []
-        for own, got in zip(pieces, ids, strict=True):
-            if None in got:
-                got = map(known.__getitem__, own)
-            found.append(np.frombuffer(b"".join(got), np.uint32))
+        own.update((p, known[p]) for p in new)
         if len(known) > CACHED_PIECES:  # the pieces met first, which are the common ones, stay
             for p in new:
                 del known[p]
-        return found
+        got = list(map(own.__getitem__, pieces))
+        ids = np.frombuffer(b"".join(got), np.uint32)
+        counts = np.cumsum(np.fromiter(map(len, got), np.int64, len(got))) // 4
+        return np.split(ids, counts[stops][:-1])
 
 
 def write_token_files(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:

@@ -9,6 +9,10 @@ LONG = " ".join(f"word{i % 997} and{i % 13}." for i in range(4000))
 BASE = "The old house on the hill was sold in May to a painter who came from the north of the country."
 
 
+# Names that the operators use for columns of their own.
+OWN = ("id", "_id", "row", "_row", "rows", "_rows", "rank", "times", "_times", "_copy", "removed", "others", "node", "key_", "place")
+
+
 @pytest.fixture(scope="session")
 def odd_docs(spark):
     """Nulls in every column, empty and long texts, repeated rows, columns named like the operators' own."""
@@ -26,7 +30,7 @@ def odd_docs(spark):
     ]
     return spark.createDataFrame(
         rows, "doc_id long, text string, lang string, source string, n_chars long, size string"
-    ).withColumnRenamed("size", "key")
+    ).selectExpr("*", "size key").drop("size").selectExpr("*", *(f"concat('{c}', doc_id) AS {c}" for c in OWN))
 
 
 @pytest.fixture(scope="session")

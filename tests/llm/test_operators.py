@@ -1,6 +1,7 @@
 """The operators on small data: against brute force, and on badly behaved rows."""
 
 import hashlib
+import os
 import zlib
 
 import numpy as np
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from campuslake.llm import chat, fingerprints, mixing, substrings, token_output
-from campuslake.llm.components import components
+from campuslake.llm.components import _rarest, components
 from campuslake.llm.decontamination import drop_leaks, find_leaks
 from campuslake.llm.language import identify_language
 from campuslake.llm.lines import band_keys, dedup_lines, repeated_lines
@@ -188,6 +189,56 @@ def test_spans_cover_a_repeated_passage(spark):
     assert dict(rows(substrings.remove_repeated_spans(found)))[2] == "Another start.\nNo end"
 
 
+def test_leaks_in_long_dotted_and_capitalised_texts(spark):
+    item = "The blue lamp on the small table near the door was lit by nobody all day long."
+    docs = [(1, "a." * 200_000), (2, "Word " * 100_000), (3, "1,2." * 50_000 + " " + item), (4, "Word " * 50_000 + ". " + item)]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    found = find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench)
+    assert sorted(r["doc_id"] for r in found.collect()) == [3, 4]
+
+
+def test_spans_are_brute_force(spark):
+    docs = documents(spark)
+    places, removed = {}, {}
+    for i in sorted(docs):
+        starts = substrings.sentences(docs[i]) if docs[i] else []
+        words = [docs[i][a:b].split() for a, b in zip(starts, [*starts[1:], len(docs[i])], strict=True)]
+        for first, last in substrings.spans([len(w) for w in words]):
+            places.setdefault(tuple(w for s in words[first : last + 1] for w in s), []).append((i, first, last))
+    for own in places.values():
+        for i, first, last in own[1:]:
+            removed.setdefault(i, set()).update(range(first, last + 1))
+    got = dict((r[0], r[1]) for r in rows(substrings.repeated_spans(spark.read.parquet(f"{FOLDER}/documents.parquet"))))
+    assert removed and got == {i: sorted(s) for i, s in removed.items()}
+
+
+def test_rare_features_meet_every_link_of_an_unlinked_crowd(spark):
+    """Many sets near each other and mostly not near enough: no pair that links is missed."""
+    rng = np.random.default_rng(11)
+    sets = {}
+    for k in range(120):
+        own = {f"c{j}" for j in range(40)} - {f"c{j}" for j in rng.integers(0, 40, 3)}
+        sets[k] = own | {f"r{j}" for j in rng.integers(0, 90, int(rng.integers(0, 14)))}
+    cells = [(k, len(s), zlib.crc32(f.encode())) for k, s in sets.items() for f in s]
+    feats = spark.createDataFrame(cells, "node long, size int, feature long")
+    nodes = spark.createDataFrame([(k, k) for k in sets], "node long, at long")
+    met = {}
+    for key, node, _ in rows(_rarest(nodes, feats, 80).select("key", "node", "at")):
+        met.setdefault(key, set()).add(node)
+    near = [(a, b) for a in sets for b in range(a) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    pairs = {(a, b) for own in met.values() for a in own for b in own if b < a}
+    assert near and set(near) <= pairs and len(pairs) < len(sets) * (len(sets) - 1) / 2
+
+
+def test_rounds_leave_no_files(spark):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    before = set(os.listdir(folder))
+    results = [repeated_lines(docs), ngram_components(docs), substrings.repeated_spans(docs)]
+    assert len(set(os.listdir(folder)) - before) == len(results)
+    assert all(df.count() for df in results)
+
+
 def test_leaks_with_new_numbers_names_and_units(spark):
     item = "A train leaves at noon and travels 60 km in 2 hours before Anna gets off, so how fast did the train with Anna go at first?"
     other = item.replace("60 km", "75 miles").replace("2 hours", "3 hours").replace("Anna", "Boris")
@@ -258,8 +309,8 @@ def test_token_files_hold_the_tokenizers_ids(spark, odd_docs):
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(tokenizer_path())
-    plain.encode_special_tokens = True
     docs = {r[0]: r[1] for r in rows(odd_docs.where("doc_id is not null").dropDuplicates(["doc_id"]).select("doc_id", "text"))}
+    docs |= {24: "<|endoftext|>", 25: "x <|endoftext|> y  <|endoftext|><|endoftext|> \n", 26: "<|endoftext| >", 27: "\x00 \x00", 28: "a.b don't x1,2 é! ×? "}
     docs |= {20: "a  b \n c\td", 21: " lead and trail ", 22: "it's <|endoftext|> 12 34", 23: "　x \x85 y\n\n z"}
     found = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
     start, expected = 0, []
@@ -325,8 +376,12 @@ def test_odd_rows(spark, odd_docs, no_docs):
     for whole in (dedup_lines, substrings.remove_repeated_spans):
         assert whole(odd_docs).columns == odd_docs.columns and whole(odd_docs).count() == n
         assert whole(no_docs).count() == 0
+    whole = set(map(str, rows(odd_docs)))
     for kept in (keep_one(odd_docs), keep_good(odd_docs, labels), drop_leaks(odd_docs, bench), mixing.repeat_documents(odd_docs)):
         assert kept.columns == odd_docs.columns and kept.where("doc_id is null").count() == 1
+        assert kept.count() and set(map(str, rows(kept))) <= whole
+    for kept in (dedup_lines(odd_docs), substrings.remove_repeated_spans(odd_docs)):
+        assert set(map(str, rows(kept.drop("text")))) == set(map(str, rows(odd_docs.drop("text"))))
     for empty in (
         ngram_components(no_docs), identify_language(no_docs), score_quality(no_docs, labels.where("false")),
         mixing.mix_sources(no_docs), fingerprints.fingerprint_edits(no_docs), find_leaks(no_docs, bench),
