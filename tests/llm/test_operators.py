@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from campuslake.llm import chat, fingerprints, mixing, substrings, token_output
+from campuslake.llm.common import materialized
 from campuslake.llm.components import _rarest, components
 from campuslake.llm.decontamination import drop_leaks, find_leaks
 from campuslake.llm.language import identify_language
@@ -395,7 +396,7 @@ def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     columns, kept, leaks = docs.columns, docs, None
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        out = corpus_pipeline.materialized(stage(spark, kept, FOLDER))
+        out = materialized(stage(spark, kept, FOLDER))
         assert out.columns == columns
         if name == "quality":
             good = score_quality(kept, spark.read.parquet(f"{FOLDER}/labels.parquet")).where("predicted = 1")
@@ -414,3 +415,14 @@ def test_pipeline_stages(spark):
             assert most <= 3
         kept = out
     assert corpus_pipeline.run(spark, FOLDER).count() == kept.count()
+
+
+def test_pipeline_on_empty_and_null_tables(spark, tmp_path):
+    names = ("documents", "labels", "benchmark")
+    tables = {n: spark.read.parquet(f"{FOLDER}/{n}.parquet") for n in names}
+    for kind in ("empty", "null"):
+        for n, df in tables.items():
+            nulls = df.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema]).limit(3)
+            (df.where("false") if kind == "empty" else nulls).write.parquet(f"{tmp_path}/{kind}/{n}.parquet")
+        got = corpus_pipeline.run(spark, f"{tmp_path}/{kind}").collect()
+        assert [(r["doc_id"], r["n_tokens"]) for r in got] == ([] if kind == "empty" else [(None, 1)] * 3)
