@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from campuslake.llm.common import materialized, mix, shingle_sets, sized, slices
 from campuslake.llm.components import bucket_links, components, shared_buckets
-from campuslake.session import scratch
+from campuslake.session import discard, scratch
 
 BAND_GROWTH = 1.4
 _LOW = np.uint64(0xFFFFFFFF)
@@ -193,21 +193,23 @@ def _links(classes: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFr
     sizes = classes.select("class", "size")
     involved = buckets.select(F.col("node").alias("class")).distinct().join(classes, "class")
     involved = materialized(involved.select(F.col("first").alias("id"), "class"))
-    sets = materialized(
-        texts.join(sized(involved, 16), "id")
-        .mapInArrow(_hashed(n), "class long, hashes array<long>")
-        .dropDuplicates(["class"])
-    )
+    found = texts.join(sized(involved, 16), "id").mapInArrow(_hashed(n), "class long, hashes array<long>")
+    sets = materialized(found)
+    if sets.groupBy("class").count().where("count > 1").limit(1).count():  # equal rows of an id
+        sets, before = materialized(sets.dropDuplicates(["class"])), sets
+        discard(before)
 
     def compared(pairs: DataFrame) -> DataFrame:
-        fitting = (
+        fitting = materialized(
             pairs.join(sizes.toDF("a", "size_a"), "a")
             .join(sizes.toDF("b", "size_b"), "b")
             .where(100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b"))
             .select("a", "b")
         )
-        both = fitting.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
-        return both.mapInArrow(_verified(percent), "a long, b long")
+        # The sets meet their pairs where they lie, if the pairs are few enough to go there, and are shuffled once.
+        ones = sets.toDF("a", "x").join(sized(fitting, 16), "a")
+        others = sets.toDF("b", "y").join(sized(materialized(fitting.select("b").distinct()), 8), "b", "left_semi")
+        return ones.join(others, "b").mapInArrow(_verified(percent), "a long, b long")
 
     def features(nodes: DataFrame, every: int) -> DataFrame:
         found = sets.join(nodes.withColumnRenamed("node", "class"), "class")
