@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from campuslake.llm.common import materialized, mix, shingle_sets, sized, slices
+from campuslake.llm.common import materialized, mix, shingle_sets, sized, slices, small_batches
 from campuslake.llm.components import bucket_links, components, shared_buckets
 from campuslake.session import discard, scratch
 
@@ -43,7 +43,7 @@ def ngram_components(
     """
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     texts = texts.where("id is not null")
-    with scratch(docs.sparkSession) as keep:
+    with scratch(docs.sparkSession) as keep, small_batches(docs.sparkSession):
         ids = materialized(texts.mapInArrow(_classed(n), "id long, size int, class long"))
         classes = materialized(
             ids.where("size > 0").groupBy("class").agg(F.min("id").alias("first"), F.max("size").alias("size"))

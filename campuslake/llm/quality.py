@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from campuslake.llm.common import held_out, materialized, slices
+from campuslake.llm.common import held_out, materialized, slices, small_batches
 from campuslake.session import scratch
 
 FEATURES = 13
@@ -59,7 +59,8 @@ def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     of either table are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    stats = materialized(rows.mapInArrow(_statistics, "doc_id long, x array<double>"))
+    with small_batches(docs.sparkSession):
+        stats = materialized(rows.mapInArrow(_statistics, "doc_id long, x array<double>"))
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label"))
     marks = marks.where("doc_id is not null and label in (0, 1)").where(~held_out(F.col("doc_id"))).distinct()
     model = fit(stats.join(marks, "doc_id"))

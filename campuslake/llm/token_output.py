@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from campuslake.llm.common import materialized, parallelism, slices
+from campuslake.llm.common import materialized, parallelism, slices, small_batches
 
 # Fixed values of the format: ids per word and bits per id, by selector. Selector 0 is an
 # escape: the next word holds one id whole.
@@ -285,7 +285,8 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataF
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     ordered = rows.repartitionByRange(parallelism(docs), "doc_id").sortWithinPartitions("doc_id", "text")
     schema = "part int, run int, doc_ids array<long>, lengths array<int>, block_starts array<int>, words binary"
-    return materialized(ordered.mapInArrow(_written(tokenizer, end_id), schema))
+    with small_batches(docs.sparkSession):
+        return materialized(ordered.mapInArrow(_written(tokenizer, end_id), schema))
 
 
 def read_token_files(files: DataFrame) -> DataFrame:
