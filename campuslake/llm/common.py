@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -19,10 +18,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 # A side is broadcast only when its counted rows, all of fixed width, stay below this.
 BROADCAST_BYTES = 16 << 20
 
-# Rows of an Arrow batch where a row may hold a whole text or set.
-BATCH_ROWS = 500
-_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
-
 # Python tasks work on slices of about so many bytes of text.
 SLICE_BYTES = 1 << 20
 
@@ -54,17 +49,6 @@ def sized(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
 
 
-@contextmanager
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]:
-    """Arrow batches of few rows for the jobs run in the block: rows that hold whole texts or sets are large."""
-    before = spark.conf.get(_BATCH_CONF)
-    spark.conf.set(_BATCH_CONF, rows)
-    try:
-        yield
-    finally:
-        spark.conf.set(_BATCH_CONF, before)
-
-
 def slices(batch: pa.RecordBatch, column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in slices of about ``size`` bytes of text; one long text is a slice of its own."""
     ends = np.cumsum(text_lengths(batch.column(column)))
