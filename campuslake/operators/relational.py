@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from campuslake.session import materialized
@@ -92,6 +92,14 @@ def distinct_pair_count(df: DataFrame, key: str, value: str, name: str) -> DataF
     return pairs.groupBy(key).agg(F.count(F.lit(1)).alias(name))
 
 
+def over_keys(aggregate: Column, keys: Sequence[str]) -> Column:
+    """An aggregate given back to every row of its key, for keys known to have few rows each.
+
+    It spares a join. Where one key may have very many rows, use ``given_back``.
+    """
+    return aggregate.over(Window.partitionBy(*keys))
+
+
 def given_back(df: DataFrame, keys: Sequence[str], **aggregates: Column) -> DataFrame:
     """Aggregates of each key, given back to every one of its rows.
 

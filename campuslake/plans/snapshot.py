@@ -21,7 +21,7 @@ from campuslake.operators.effective import (
     not_future,
     version_at,
 )
-from campuslake.operators.relational import given_back, pivot_count_total, spread_join
+from campuslake.operators.relational import over_keys, pivot_count_total, spread_join
 
 RESIDENCY = ["residency", "admission_res", "tuition_res", "fin_aid_fed_res"]
 CAREER_KEY = ["emplid", "acad_career", "institution"]
@@ -96,17 +96,24 @@ def term_credits(
 
 
 def with_primary_flag(credits: DataFrame, primacy: DataFrame) -> DataFrame:
-    """Mark each student's primary row from billing careers and career primacy."""
+    """Mark each student's primary row from billing careers and career primacy.
+
+    A student's rows here are distinct codes, a handful, whatever the source holds.
+    """
+    student = ["emplid", "strm"]
     career, billing = F.col("acad_career"), F.col("billing_career")
-    billed = spread_join(credits, primacy, "acad_career", "left").withColumn(
-        "bill", F.when(career == billing, 1).otherwise(0)
-    )
-    ranked = given_back(
-        billed, ["emplid", "strm"], fanummin=F.min("fa_primacy_nbr"), billcnt=F.sum("bill")
-    )
-    return ranked.withColumn(
-        "primary",
-        is_primary(F.col("billcnt"), career, billing, F.col("fanummin"), F.col("fa_primacy_nbr")),
+    billed = F.when(career == billing, 1).otherwise(0)
+    return (
+        spread_join(credits, primacy, "acad_career", "left")
+        .withColumn("bill", billed)
+        .withColumn("fanummin", over_keys(F.min("fa_primacy_nbr"), student))
+        .withColumn("billcnt", over_keys(F.sum("bill"), student))
+        .withColumn(
+            "primary",
+            is_primary(
+                F.col("billcnt"), career, billing, F.col("fanummin"), F.col("fa_primacy_nbr")
+            ),
+        )
     )
 
 
