@@ -103,7 +103,7 @@ def bucket_links(
     best = materialized(led.groupBy("a").agg(F.max_by("b", F.struct("met", "b")).alias("b")))
     discard(led)
     links = materialized(compared(best))
-    rest = _mixed(buckets.select("key", "node"), links)
+    rest = mixed_buckets(buckets.select("key", "node"), links)
     nodes = materialized(rest.select("node").distinct())
     # A share of the features tells most nodes apart; all features only of those left.
     coarse = max(1, int(100 / (1.6 * (100 - percent))))
@@ -122,12 +122,12 @@ def bucket_links(
         counts = F.struct("size", "shared", "bits").alias(side)
         return rows.join(able, "node").select(F.col("node").alias(side + "_node"), "key", F.col("at").alias(side + "_at"), counts)
 
-    now = _mixed(hubs, links)
+    now = mixed_buckets(hubs, links)
     pure = told(now, "a").join(told(now.where("node = key"), "b"), "key").where("a_at <> b_at")
     pure = materialized(pure.where(_within(percent)).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")))
     links, before = materialized(links.union(compared(pure))), links
     discard(now, before)
-    now = _mixed(hubs, links)
+    now = mixed_buckets(hubs, links)
     left = materialized(now.select("node", "at").distinct())
     discard(now, hubs)
     rare = materialized(_rarest(left, features(left.select("node"), 1), percent))
@@ -156,7 +156,7 @@ def _rarest(nodes: DataFrame, features: DataFrame, percent: int) -> DataFrame:
     return found
 
 
-def _mixed(rows: DataFrame, links: DataFrame) -> DataFrame:
+def mixed_buckets(rows: DataFrame, links: DataFrame) -> DataFrame:
     """``(key, node, at)`` of the buckets whose nodes are in several components so far."""
     placed = components(links).toDF("node", "at")
     at = rows.join(placed, "node", "left").select("key", "node", F.coalesce("at", "node").alias("at"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -12,15 +13,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from campuslake.llm.common import materialized, parallelism, slices
-from campuslake.llm.components import shared_buckets
+from campuslake.llm.common import materialized, mix, parallelism, slices
+from campuslake.llm.components import components, mixed_buckets, shared_buckets
 
 # Characters fall into so many kinds, by their code; a last kind stands past the end.
 KINDS = 61
 SAMPLES = 128
 CHUNK = 512
 SLICE = 8 << 20
-BAND_BITS = 32
+# So many bands of so many sampled bits: fingerprints of likeness 0.8 agree in one with 0.97, of 0.9 always.
+BANDS, BAND_BITS = 64, 28
+LIKELY = 0.8
 SEED = 20250117
 
 
@@ -97,15 +100,42 @@ def sample_weights(count: int) -> np.ndarray:
     return np.where(octaves == 0, 1.0, 2.0 ** (np.maximum(octaves, 1) - 1))
 
 
-def likeness(a: str, b: str) -> float:
-    """The share of the walks that agree, 0 to 1: unrelated bits agree half the time, so twice the excess."""
+def distance(a: str, b: str) -> tuple[float, float]:
+    """The steps at which the samples differ, a sample that only one has counting half, and the steps of the longer."""
     x, y = _sampled(a), _sampled(b)
-    if not max(len(x), len(y)):
-        return 1.0
-    weights = sample_weights(max(len(x), len(y)))
     both = min(len(x), len(y))
-    signed = np.where(x[:both] == y[:both], 1.0, -1.0)
-    return float(np.clip((weights[:both] * signed).sum() / weights.sum(), 0, 1))
+    weights = sample_weights(max(len(x), len(y)))
+    return float(weights[:both][x[:both] != y[:both]].sum() + weights[both:].sum() / 2), float(weights.sum())
+
+
+def likeness(a: str, b: str) -> float:
+    """The share of the walks that agree, 0 to 1: unrelated bits agree half the time, so twice the excess."""
+    differ, steps = distance(a, b)
+    return max(0.0, 1 - 2 * differ / steps) if steps else 1.0
+
+
+@lru_cache(maxsize=None)
+def _drawn(count: int) -> tuple[np.ndarray, np.ndarray]:
+    """The samples of each band of a fingerprint of so many, and a number for each band's choice.
+
+    A race decides: of the samples there are, those with the least exponential times go, at rates of the steps they
+    stand for. Fingerprints of nearly equal counts draw nearly always the same. Counts are at most SAMPLES for each doubling.
+    """
+    octaves = -(-count // SAMPLES)
+    times = np.concatenate([np.random.default_rng([SEED, 4, o]).exponential(size=(BANDS, SAMPLES)) for o in range(octaves)], axis=1)
+    order = np.argsort(times[:, :count] / sample_weights(count), axis=1)[:, :BAND_BITS]
+    chosen = np.sort(order, axis=1)
+    return chosen, np.array([xxhash.xxh3_64_intdigest(c.tobytes(), seed=b) for b, c in enumerate(chosen)], np.uint64)
+
+
+def band_keys(fingerprint: str) -> np.ndarray:
+    """A key of each band; a fingerprint of fewer than BAND_BITS samples has one, of them all."""
+    bits = _sampled(fingerprint)
+    if len(bits) < BAND_BITS:
+        return np.array([xxhash.xxh3_64_intdigest(fingerprint)], np.uint64).view(np.int64)
+    chosen, salts = _drawn(len(bits))
+    values = bits[chosen] @ (np.uint64(1) << np.arange(BAND_BITS, dtype=np.uint64))
+    return mix(salts ^ mix(values.astype(np.uint64))).view(np.int64)
 
 
 def edited(text: str, following: str) -> str:
@@ -136,26 +166,80 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     return inner.union(edges.mapInArrow(_joined_edges, _OUT))
 
 
-def near_documents(docs: DataFrame, likely: float = 0.8) -> DataFrame:
-    """Links ``(a, b, likeness)`` of ids whose fingerprints are alike: bit-sampled bands, then whole fingerprints.
+def near_groups(prints: DataFrame, likely: float = LIKELY) -> DataFrame:
+    """The rows ``(doc_id, fingerprint, ...)`` with ``near_component``: the smallest id whose fingerprint is reachable by links.
 
-    Bands are runs of BAND_BITS samples. Every document is compared with the smallest of
-    each band it shares, so a group of copies has a star of links, not all its pairs.
-    Documents with one fingerprint are one node, the smallest id, and link with it. Null text is empty; rows without an id
-    link with nothing; likeness of an empty text is 1 to another empty one.
+    Fingerprints link when their likeness reaches ``likely`` and they agree in a band; equal ones are one
+    node, so copies need no pairs. A row alike to none is its own component, one without an id and alike to none has none.
+    """
+    node = F.xxhash64("fingerprint")
+    nodes = materialized(prints.groupBy(node.alias("node")).agg(F.min("doc_id").alias("first"), F.any_value("fingerprint").alias("fingerprint")))
+    placed = materialized(components(_links(nodes, likely).select("a", "b")))
+    known = placed.join(nodes.select("node", "first"), "node")
+    smallest = known.groupBy("component").agg(F.min("first").alias("near_component"))
+    found = known.join(smallest, "component").select("node", "near_component")
+    # a node without links has the smallest id of its copies, which few nodes have
+    whole = nodes.join(found, "node", "left").select("node", F.coalesce("near_component", "first").alias("near_component"))
+    row = F.struct(*[F.col(f"`{c}`") for c in prints.columns]).alias("row")
+    return prints.select(node.alias("node"), row).join(whole, "node", "left").select("row.*", "near_component")
+
+
+def near_documents(docs: DataFrame, likely: float = LIKELY) -> DataFrame:
+    """Links ``(a, b, likeness)`` of ids whose fingerprints are alike, as many as their components need.
+
+    Documents with one fingerprint are known by their smallest id and link with it. Null text is empty; rows without an
+    id link with nothing; likeness of an empty text is 1 to another empty one.
     """
     rows = docs.where("doc_id is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
     )
-    found = materialized(rows.mapInArrow(_fingerprinted, "doc_id long, fingerprint string, keys array<long>"))
-    nodes = materialized(found.groupBy("fingerprint", "keys").agg(F.min("doc_id").alias("node")))
-    buckets = shared_buckets(nodes.select(F.explode("keys").alias("key"), "node"))
-    pairs = buckets.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
+    found = materialized(rows.mapInArrow(_fingerprinted, "doc_id long, fingerprint string").withColumn("node", F.xxhash64("fingerprint")))
+    nodes = materialized(found.groupBy("node").agg(F.min("doc_id").alias("first"), F.any_value("fingerprint").alias("fingerprint")))
+    ids = nodes.select("node", "first")
+    linked = _links(nodes, likely).join(ids.toDF("a", "x"), "a").join(ids.toDF("b", "y"), "b")
+    linked = linked.where("x <> y").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"), "likeness")
+    copies = found.join(ids, "node").where("doc_id <> first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
+    return linked.union(copies.distinct().withColumn("likeness", F.lit(1.0)))
+
+
+def _links(nodes: DataFrame, likely: float) -> DataFrame:
+    """Links ``(a, b, likeness)`` among the nodes ``(node, fingerprint)``, enough of them to join what belongs together.
+
+    Bit-sampled banding: a band's key is BAND_BITS samples, drawn in proportion to the steps that they stand for, so
+    alike fingerprints agree in one with the power of their agreement. Every node is compared with the smallest
+    of each bucket. Where a bucket has several components then, the distances to its smallest node, known by now, bound
+    those of all others (weighted Hamming distances obey the triangle inequality): two nodes whose distances to it differ by more than a link
+    allows are ruled out exactly, the rest is compared. So a bucket's nodes are in one component, ruled out or compared.
+    """
+    buckets = shared_buckets(nodes.mapInArrow(_banded, "node long, key long"))
+    led = buckets.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
+    measured = materialized(_measured(led, nodes))
+    links = materialized(measured.where(F.col("likeness") >= likely).select("a", "b", "likeness"))
+    rest = mixed_buckets(buckets.select("key", "node"), links.select("a", "b"))
+    count = F.conv(F.substring("fingerprint", 1, 4), 16, 10).cast("int")
+    octave = F.floor(count / SAMPLES)
+    weight = F.when(octave == 0, count.cast("double")).otherwise((SAMPLES + count % SAMPLES) * F.pow(F.lit(2.0), octave - 1))
+    known = measured.select(F.col("a").alias("node"), F.col("b").alias("leader"), "distance")
+    told = (
+        rest.join(buckets, ["key", "node"]).join(known, ["node", "leader"], "left")
+        .join(nodes.select("node", weight.alias("weight")), "node")
+        .select("key", "node", "at", F.coalesce("distance", F.lit(0.0)).alias("distance"), "weight")
+    )
+    told = materialized(told)
+    x, y = told.alias("x"), told.alias("y")
+    heavier = F.greatest("x.weight", "y.weight")
+    within = F.abs(F.col("x.distance") - F.col("y.distance")) <= heavier * ((1 - likely) / 2 + 1e-9)
+    pairs = x.join(y, F.col("x.key") == F.col("y.key")).where(F.expr("x.node > y.node and x.at <> y.at") & within)
+    pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    more = _measured(pairs.join(measured, ["a", "b"], "left_anti"), nodes)
+    return materialized(links.union(more.where(F.col("likeness") >= likely).select("a", "b", "likeness")))
+
+
+def _measured(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs with the likeness and the distance of their whole fingerprints."""
     prints = nodes.select("node", "fingerprint")
     both = pairs.join(prints.toDF("a", "x"), "a").join(prints.toDF("b", "y"), "b")
-    linked = both.mapInArrow(_likenesses, "a long, b long, likeness double").where(F.col("likeness") >= likely)
-    copies = found.select(F.col("doc_id").alias("a"), "fingerprint").join(prints, "fingerprint").where("a <> node")
-    return linked.union(copies.select("a", F.col("node").alias("b"), F.lit(1.0).alias("likeness")).distinct())
+    return both.mapInArrow(_likenesses, "a long, b long, likeness double, distance double")
 
 
 def _row(text: str, own: str, doc_id: int | None, following: str, next_print: str, changed: str, changed_print: str):
@@ -222,21 +306,22 @@ def _joined_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _fingerprinted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in slices(batch, size=SLICE):
-            prints = fingerprints(piece.column("text").to_pylist())
-            digits = BAND_BITS // 4
-            keys = []
-            for p in prints:
-                whole = range(4, len(p) - digits + 1, digits)
-                bands = [(k, p[k : k + digits]) for k in whole] or [(0, p)]
-                keys.append([xxhash.xxh3_64_intdigest(f"{k} {b}") - (1 << 63) for k, b in bands])
-            yield pa.RecordBatch.from_arrays(
-                [piece.column("doc_id"), pa.array(prints), pa.array(keys, pa.list_(pa.int64()))],
-                names=["doc_id", "fingerprint", "keys"],
-            )
+            prints = pa.array(fingerprints(piece.column("text").to_pylist()), pa.string())
+            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), prints], names=["doc_id", "fingerprint"])
+
+
+def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys = [band_keys(p) for p in batch.column("fingerprint").to_pylist()]
+        nodes = np.repeat(batch.column("node").to_numpy(), [len(k) for k in keys])
+        joined = np.concatenate([np.zeros(0, np.int64), *keys])
+        yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(joined)], names=["node", "key"])
 
 
 def _likenesses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         pairs = zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)
-        found = pa.array([likeness(x, y) for x, y in pairs], pa.float64())
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), found], names=["a", "b", "likeness"])
+        found = [distance(x, y) for x, y in pairs]
+        likely = [max(0.0, 1 - 2 * d / w) if w else 1.0 for d, w in found]
+        columns = [batch.column("a"), batch.column("b"), pa.array(likely, pa.float64()), pa.array([d for d, _ in found], pa.float64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "likeness", "distance"])

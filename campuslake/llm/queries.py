@@ -11,7 +11,7 @@ from campuslake.llm.alignment import alignment_digests
 from campuslake.llm.chat import conversation_digests, format_conversations
 from campuslake.llm.common import table
 from campuslake.llm.decontamination import find_leaks
-from campuslake.llm.fingerprints import fingerprint_edits
+from campuslake.llm.fingerprints import fingerprint_edits, near_groups
 from campuslake.llm.language import identify_language
 from campuslake.llm.lines import repeated_lines
 from campuslake.llm.mixing import mix_sources
@@ -22,6 +22,7 @@ from campuslake.llm.statements import ORACLE_SQL
 from campuslake.llm.substrings import repeated_spans
 from campuslake.llm.token_output import read_token_files, write_token_files
 from campuslake.llm.topk import search
+from campuslake.session import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,7 +64,9 @@ def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
-    return fingerprint_edits(table(spark, folder, "documents"))
+    """Every document's and its edited text's fingerprint, their likenesses, and the documents that are alike."""
+    with scratch(spark) as keep:
+        return keep(near_groups(fingerprint_edits(table(spark, folder, "documents"))))
 
 
 def op8_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
