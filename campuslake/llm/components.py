@@ -158,7 +158,7 @@ def _rarest(nodes: DataFrame, features: DataFrame, percent: int) -> DataFrame:
 
 def mixed_buckets(rows: DataFrame, links: DataFrame) -> DataFrame:
     """``(key, node, at)`` of the buckets whose nodes are in several components so far."""
-    placed = components(links).toDF("node", "at")
+    placed = components(links.select("a", "b")).toDF("node", "at")
     at = rows.join(placed, "node", "left").select("key", "node", F.coalesce("at", "node").alias("at"))
     at = materialized(at)
     mixed = at.groupBy("key").agg(F.min("at").alias("one"), F.max("at").alias("two")).where("one <> two")

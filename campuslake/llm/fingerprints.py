@@ -206,16 +206,23 @@ def _links(nodes: DataFrame, likely: float) -> DataFrame:
     """Links ``(a, b, likeness)`` among the nodes ``(node, fingerprint)``, enough of them to join what belongs together.
 
     Bit-sampled banding: a band's key is BAND_BITS samples, drawn in proportion to the steps that they stand for, so
-    alike fingerprints agree in one with the power of their agreement. Every node is compared with the smallest
-    of each bucket. Where a bucket has several components then, the distances to its smallest node, known by now, bound
-    those of all others (weighted Hamming distances obey the triangle inequality): two nodes whose distances to it differ by more than a link
+    alike fingerprints agree in one with the power of their agreement. Every node is compared with the smallest of a
+    bucket, first with the one it meets most often; afterwards only in buckets of several components. Where one
+    has several still, the distances to its smallest node, known by now, bound those of all others, since weighted
+    Hamming distances obey the triangle inequality: two nodes whose distances to it differ by more than a link
     allows are ruled out exactly, the rest is compared. So a bucket's nodes are in one component, ruled out or compared.
     """
     buckets = shared_buckets(nodes.mapInArrow(_banded, "node long, key long"))
-    led = buckets.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
-    measured = materialized(_measured(led, nodes))
-    links = materialized(measured.where(F.col("likeness") >= likely).select("a", "b", "likeness"))
-    rest = mixed_buckets(buckets.select("key", "node"), links.select("a", "b"))
+    led = buckets.where("node <> leader").groupBy(F.col("node").alias("a"), F.col("leader").alias("b")).agg(F.count("*").alias("met"))
+    best = led.groupBy("a").agg(F.max_by("b", F.struct("met", "b")).alias("b"))
+    first = materialized(_measured(best, nodes))
+    near = F.col("likeness") >= likely
+    rest = mixed_buckets(buckets.select("key", "node"), first.where(near)).join(buckets, ["key", "node"])
+    others = rest.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
+    second = materialized(_measured(others.join(first, ["a", "b"], "left_anti"), nodes))
+    measured = first.union(second)
+    links = measured.where(near).select("a", "b", "likeness")
+    rest = mixed_buckets(buckets.select("key", "node"), links)
     count = F.conv(F.substring("fingerprint", 1, 4), 16, 10).cast("int")
     octave = F.floor(count / SAMPLES)
     weight = F.when(octave == 0, count.cast("double")).otherwise((SAMPLES + count % SAMPLES) * F.pow(F.lit(2.0), octave - 1))
@@ -232,7 +239,7 @@ def _links(nodes: DataFrame, likely: float) -> DataFrame:
     pairs = x.join(y, F.col("x.key") == F.col("y.key")).where(F.expr("x.node > y.node and x.at <> y.at") & within)
     pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
     more = _measured(pairs.join(measured, ["a", "b"], "left_anti"), nodes)
-    return materialized(links.union(more.where(F.col("likeness") >= likely).select("a", "b", "likeness")))
+    return materialized(links.union(more.where(near).select("a", "b", "likeness")))
 
 
 def _measured(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
