@@ -207,29 +207,31 @@ def _links(nodes: DataFrame, likely: float) -> DataFrame:
 
     Bit-sampled banding: a band's key is BAND_BITS samples, drawn in proportion to the steps that they stand for, so
     alike fingerprints agree in one with the power of their agreement. Every node is compared with the smallest of a
-    bucket, first with the one it meets most often; afterwards only in buckets of several components. Where one
-    has several still, the distances to its smallest node, known by now, bound those of all others, since weighted
-    Hamming distances obey the triangle inequality: two nodes whose distances to it differ by more than a link
-    allows are ruled out exactly, the rest is compared. So a bucket's nodes are in one component, ruled out or compared.
+    bucket that it meets most often. In buckets of several components then, all are compared with the hub, the node that
+    meets the most others: the text that a group's copies come from. Where one has several still, the distances to
+    its hub bound all others, since weighted Hamming distances obey the triangle inequality: two nodes whose distances
+    to it differ by more than a link allows are ruled out exactly, the rest is compared. So a bucket's nodes are in one
+    component, ruled out or compared.
     """
     buckets = shared_buckets(nodes.mapInArrow(_banded, "node long, key long"))
     led = buckets.where("node <> leader").groupBy(F.col("node").alias("a"), F.col("leader").alias("b")).agg(F.count("*").alias("met"))
     best = led.groupBy("a").agg(F.max_by("b", F.struct("met", "b")).alias("b"))
     first = materialized(_measured(best, nodes))
     near = F.col("likeness") >= likely
-    rest = mixed_buckets(buckets.select("key", "node"), first.where(near)).join(buckets, ["key", "node"])
-    others = rest.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
-    second = materialized(_measured(others.join(first, ["a", "b"], "left_anti"), nodes))
-    measured = first.union(second)
-    links = measured.where(near).select("a", "b", "likeness")
-    rest = mixed_buckets(buckets.select("key", "node"), links)
+    rest = mixed_buckets(buckets.select("key", "node"), first.where(near))
+    sizes = rest.groupBy("key").agg(F.count("*").alias("n"))
+    known = rest.join(sizes, "key").groupBy("node").agg(F.sum("n").alias("met"))
+    hubs = materialized(rest.join(known, "node").groupBy("key").agg(F.max_by("node", F.struct("met", "node")).alias("hub")))
+    others = rest.join(hubs, "key").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+    second = materialized(_measured(others, nodes))
+    links = first.union(second).where(near).select("a", "b", "likeness")
+    rest = mixed_buckets(rest.select("key", "node"), links).join(hubs, "key")
     count = F.conv(F.substring("fingerprint", 1, 4), 16, 10).cast("int")
     octave = F.floor(count / SAMPLES)
     weight = F.when(octave == 0, count.cast("double")).otherwise((SAMPLES + count % SAMPLES) * F.pow(F.lit(2.0), octave - 1))
-    known = measured.select(F.col("a").alias("node"), F.col("b").alias("leader"), "distance")
+    reached = second.select(F.col("a").alias("node"), F.col("b").alias("hub"), "distance")
     told = (
-        rest.join(buckets, ["key", "node"]).join(known, ["node", "leader"], "left")
-        .join(nodes.select("node", weight.alias("weight")), "node")
+        rest.join(reached, ["node", "hub"], "left").join(nodes.select("node", weight.alias("weight")), "node")
         .select("key", "node", "at", F.coalesce("distance", F.lit(0.0)).alias("distance"), "weight")
     )
     told = materialized(told)
@@ -238,7 +240,7 @@ def _links(nodes: DataFrame, likely: float) -> DataFrame:
     within = F.abs(F.col("x.distance") - F.col("y.distance")) <= heavier * ((1 - likely) / 2 + 1e-9)
     pairs = x.join(y, F.col("x.key") == F.col("y.key")).where(F.expr("x.node > y.node and x.at <> y.at") & within)
     pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    more = _measured(pairs.join(measured, ["a", "b"], "left_anti"), nodes)
+    more = _measured(pairs.join(second, ["a", "b"], "left_anti"), nodes)
     return materialized(links.union(more.where(near).select("a", "b", "likeness")))
 
 
