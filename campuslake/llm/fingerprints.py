@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from campuslake.llm.common import materialized, mix, parallelism, slices
@@ -219,13 +219,13 @@ def _links(nodes: DataFrame, likely: float) -> DataFrame:
     first = materialized(_measured(best, nodes))
     near = F.col("likeness") >= likely
     rest = mixed_buckets(buckets.select("key", "node"), first.where(near))
-    sizes = rest.groupBy("key").agg(F.count("*").alias("n"))
-    known = rest.join(sizes, "key").groupBy("node").agg(F.sum("n").alias("met"))
-    hubs = materialized(rest.join(known, "node").groupBy("key").agg(F.max_by("node", F.struct("met", "node")).alias("hub")))
-    others = rest.join(hubs, "key").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+    bucket = Window.partitionBy("key")
+    known = rest.withColumn("n", F.count("*").over(bucket)).withColumn("met", F.sum("n").over(Window.partitionBy("node")))
+    around = materialized(known.select("key", "node", F.max_by("node", F.struct("met", "node")).over(bucket).alias("hub")))
+    others = around.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
     second = materialized(_measured(others, nodes))
     links = first.union(second).where(near).select("a", "b", "likeness")
-    rest = mixed_buckets(rest.select("key", "node"), links).join(hubs, "key")
+    rest = mixed_buckets(around.select("key", "node"), links).join(around, ["key", "node"])
     count = F.conv(F.substring("fingerprint", 1, 4), 16, 10).cast("int")
     octave = F.floor(count / SAMPLES)
     weight = F.when(octave == 0, count.cast("double")).otherwise((SAMPLES + count % SAMPLES) * F.pow(F.lit(2.0), octave - 1))
