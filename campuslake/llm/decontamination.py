@@ -20,8 +20,19 @@ UNITS = (
     "euros cent cents percent degree degrees usd eur gbp"
 ).split()
 
-# Marks that stand before a name, a unit and a word that may be a name; numbers show themselves.
-_NAME, _UNIT, _MAYBE = "\u0001", "\u0002", "\u0003"
+# Words that are numbers.
+ONES = "one two three four five six seven eight nine".split()
+TENS = "twenty thirty forty fifty sixty seventy eighty ninety".split()
+OTHERS = (
+    "zero ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen hundred thousand million billion"
+).split()
+# With twenty-one to ninety-nine, whose hyphens are taken away.
+NUMBERS = [*ONES, *TENS, *OTHERS, *(ten + one for ten in TENS for one in ONES)]
+# Units behind a number in words; in, a, c and the like are mostly other words there.
+LONG_UNITS = [u for u in UNITS if len(u) > 2]
+
+# Marks that stand before a name, a unit, a word that may be a name and a number in words; digits show themselves.
+_NAME, _UNIT, _MAYBE, _COUNT = "\u0001", "\u0002", "\u0003", "\u0004"
 # Repeated groups are possessive: the matcher keeps no way back, so a text of any length takes no stack.
 _WORD = r"[\p{L}\p{M}\p{N}]+(?:[.,'’][\p{L}\p{M}\p{N}]+)*+"
 _TOKEN = rf"({_NAME}{_WORD}(?:\s+{_NAME}{_WORD})*+|[{_UNIT}{_MAYBE}]?{_WORD})"
@@ -29,25 +40,64 @@ _TOKEN = rf"({_NAME}{_WORD}(?:\s+{_NAME}{_WORD})*+|[{_UNIT}{_MAYBE}]?{_WORD})"
 _CAPITAL = r"(?=\p{Lu}\p{Ll})(?<![\p{L}\p{M}\p{N}]|[\p{L}\p{M}\p{N}][.,'’])"
 _FIRST = rf"{_NAME}(?<![\p{{L}}\p{{M}}\p{{N}},;]\s{_NAME})"
 _MEASURE = rf"(?<=\p{{N}}\s?)({'|'.join(sorted(UNITS, key=len, reverse=True))})(?![\p{{L}}\p{{N}}])"
+_HYPHEN = rf"(?<=({'|'.join(TENS)}))-(?=(?:{'|'.join(ONES)})(?![\p{{L}}\p{{M}}\p{{N}}]))"
+# A sign of a currency stands before or behind its number; either way it is the number's unit.
+_SIGN_FIRST = r"\p{Sc}\s?(\p{N}++(?:[.,]\p{N}++)*+)"
+_SIGN_LAST = r"(\p{N})\s?\p{Sc}"
 
 
 def tokens(text: Column) -> Column:
-    """The words of a text, lower case, punctuation aside; names, units and capitalised first words carry a mark."""
-    clean = F.translate(F.coalesce(text, F.lit("")), _NAME + _UNIT + _MAYBE, "   ")
+    """The words of a text, lower case, punctuation aside.
+
+    Names, units, capitalised first words and numbers in words carry a mark; names that follow each other are one
+    word, and so is ``twenty-one``. A sign of a currency becomes a unit behind its number.
+    """
+    clean = F.translate(F.coalesce(text, F.lit("")), _NAME + _UNIT + _MAYBE + _COUNT, "    ")
     named = F.lower(F.regexp_replace(F.regexp_replace(clean, _CAPITAL, _NAME), _FIRST, _MAYBE))
-    measured = F.when(named.rlike(r"\p{N}"), F.regexp_replace(named, _MEASURE, f" {_UNIT}$1")).otherwise(named)
-    return F.regexp_extract_all(measured, F.lit(_TOKEN), F.lit(1))
+
+    def joined(t: Column) -> Column:
+        return F.when(t.contains("ty-"), F.regexp_replace(t, _HYPHEN, "")).otherwise(t)
+
+    def measured(t: Column) -> Column:
+        money = F.lit(f"$1 {_UNIT}money")
+        priced = F.regexp_replace(F.regexp_replace(t, F.lit(_SIGN_FIRST), money), F.lit(_SIGN_LAST), money)
+        return F.when(t.rlike(r"\p{N}"), F.regexp_replace(priced, _MEASURE, f" {_UNIT}$1")).otherwise(t)
+
+    def words(t: Column) -> Column:
+        return F.regexp_extract_all(t, F.lit(_TOKEN), F.lit(1))
+
+    # One step reads the last one's result, which is not computed again for it.
+    told = F.array(named)
+    for step in (joined, measured, words, counted):
+        told = F.transform(told, step)
+    return told[0]
+
+
+def counted(words: Column) -> Column:
+    """The words, numbers in words and units behind these with their marks."""
+    spelled = lambda t: t.isin(NUMBERS) | ((F.ascii(t) == 3) & F.substring(t, 2, 1 << 30).isin(NUMBERS))
+
+    def one(t: Column, i: Column) -> Column:
+        measures = t.isin(LONG_UNITS) & F.when(i > 0, spelled(F.get(words, i - 1))).otherwise(False)
+        return (
+            F.when(t.isin(NUMBERS), F.concat(F.lit(_COUNT), t))
+            .when((F.ascii(t) == 3) & F.substring(t, 2, 1 << 30).isin(NUMBERS), F.concat(F.lit(_COUNT), F.substring(t, 2, 1 << 30)))
+            .when(measures, F.concat(F.lit(_UNIT), t))
+            .otherwise(t)
+        )
+
+    return F.transform(words, one)
 
 
 def is_slot(token: Column, first_too: bool = True) -> Column:
     """Whether the token is a slot; a capitalised first word only with ``first_too``."""
     code = F.ascii(token)
-    return (code <= (3 if first_too else 2)) | code.between(48, 57)
+    return (code <= (3 if first_too else 2)) | (code == 4) | code.between(48, 57)
 
 
 def plain(token: Column) -> Column:
-    """The token without a mark of a name."""
-    return F.when(F.ascii(token).isin(1, 3), F.substring(token, 2, 1 << 30)).otherwise(token)
+    """The token without a mark of a name or of a number in words."""
+    return F.when(F.ascii(token).isin(1, 3, 4), F.substring(token, 2, 1 << 30)).otherwise(token)
 
 
 def template(words: Column) -> Column:
@@ -55,7 +105,7 @@ def template(words: Column) -> Column:
 
     def one(t: Column) -> Column:
         code = F.ascii(t)
-        digit = F.when(code.between(48, 57), F.lit(3).cast("long"))
+        digit = F.when((code == 4) | code.between(48, 57), F.lit(3).cast("long"))
         first = F.when(code == 3, F.xxhash64(F.substring(t, 2, 1 << 30)))
         return (
             F.when(code > 57, F.xxhash64(t)).when(code <= 2, code.cast("long"))
@@ -103,7 +153,7 @@ def both_windows(words: Column, length: int) -> Column:
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``(doc_id, item_id, matched, windows, literal)``: documents that hold a benchmark item.
 
-    Words become a template: numbers, names and units of measure are typed slots. Windows
+    Words become a template: numbers (digits or words), names, and units of measure or money are typed slots. Windows
     of WINDOW template words (an item of fewer words: all of them) are joined by hash. A
     capitalised first word of a sentence is a literal in one variant of a window and a name in
     the other; either may meet. An item is also looked for in lower case, where the document has no names. Windows that

@@ -12,7 +12,7 @@ import corpus_pipeline
 from campuslake.llm import chat, fingerprints, mixing, substrings, token_output
 from campuslake.llm.common import materialized
 from campuslake.llm.components import _rarest, components
-from campuslake.llm.decontamination import drop_leaks, find_leaks
+from campuslake.llm.decontamination import drop_leaks, find_leaks, tokens
 from campuslake.llm.language import identify_language
 from campuslake.llm.lines import band_keys, dedup_lines, repeated_lines
 from campuslake.llm.ngram_join import keep_one, ngram_components, segments
@@ -252,6 +252,74 @@ def test_leaks_with_new_numbers_names_and_units(spark):
     assert sorted(r[0] for r in rows(drop_leaks(found, bench))) == [3, 4]
 
 
+def test_numbers_in_words_and_signs_of_money_are_slots(spark):
+    def words(text):
+        marks = {"\u0001": "N:", "\u0002": "U:", "\u0003": "F:", "\u0004": "#:"}
+        found = spark.createDataFrame([(text,)], "text string").select(tokens(F.col("text"))).first()[0]
+        return " ".join(marks.get(t[0], "") + t.lstrip("".join(marks)) for t in found)
+
+    assert words("Three of twenty-one cost $7 or 5 dollars, 2.50 €.") == "#:three of #:twentyone cost 7 U:money or 5 U:dollars 2.50 U:money"
+    assert words("So someone, often one's own, ran two miles in ten days") == "F:so someone often one's own ran #:two U:miles in #:ten U:days"
+    item = "On the market stall there lay three red apples of which the old woman sold two of them for 5 dollars to a boy."
+    other = item.replace("three", "four").replace("two", "six").replace("5 dollars", "$7")
+    digits = item.replace("three", "3").replace("two", "2").replace("5 dollars", "9 €")
+    bench = spark.createDataFrame([(1, item), (2, "She has twenty-five of them. He has two of them and wants seven.")], "item_id long, text string")
+    docs = [(1, other), (2, digits), (3, item), (4, "She has 31 of them. He has 4 of them and wants 12."), (5, "one two three four five six seven eight nine ten")]
+    got = {(r["doc_id"], r["item_id"]): r["literal"] for r in find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert got == {(1, 1): False, (2, 1): False, (3, 1): True, (4, 2): False}
+
+
+def test_leaks_are_brute_force(spark):
+    """Every window of every item against every place of every text, by their templates; slots judged per alignment."""
+    names = ["Anna", "Boris", "Carl"]
+    rng = np.random.default_rng(5)
+    common = "the old ship left its port early while some men slept below and rain fell on every deck".split()
+
+    def made(n):
+        return [common[k] if k < len(common) else (f"{int(rng.integers(2, 9))}" if k % 2 else names[k % 3]) for k in rng.integers(0, len(common) + 6, n)]
+
+    items = {i: ["start", *made(int(rng.integers(9, 24)))] for i in range(1, 9)}
+    texts = {}
+    for d in range(120):
+        own = list(items[1 + d % 8])
+        for k in rng.integers(1, len(own), int(rng.integers(0, 4))):
+            own[k] = made(1)[0]
+        a = int(rng.integers(0, len(own) - 4))
+        texts[d] = ["start", *made(6), *own[a:], *made(5)]
+    told = spark.createDataFrame([(k, " ".join(v)) for k, v in [*items.items(), *((100 + d, t) for d, t in texts.items())]], "k long, t string")
+    split = {r[0]: r[1] for r in rows(told.select("k", tokens(F.col("t"))))}
+
+    def slot(t):
+        return t[0] in "\u0001\u0003" or t[0].isdigit()
+
+    def shape(t):  # the only first word of a sentence is "start", which no window but the first of a text holds
+        return "name" if t[0] == "\u0001" else "number" if t[0].isdigit() else t
+
+    want = set()
+    for d in texts:
+        doc = split[100 + d]
+        for i in items:
+            item = split[i]
+            n = min(8, len(item))
+            telling = [a for a in range(len(item) - n + 1) if sum(not slot(t) for t in item[a : a + n]) >= 4]
+            agreed = set()
+            for distance in range(-len(item), len(doc)):
+                met = [a for a in telling if 0 <= a + distance <= len(doc) - n and [shape(t) for t in item[a : a + n]] == [shape(t) for t in doc[a + distance : a + distance + n]]]
+                places = {}
+                for k in {k for a in met for k in range(a, a + n) if slot(item[k])}:
+                    places.setdefault(item[k], []).append(doc[k + distance])
+                only = {v: [x for x in set(own) if own.count(x) == max(map(own.count, own))] for v, own in places.items()}
+                fine = [a for a in met if all(only[item[k]] == [doc[k + distance]] for k in range(a, a + n) if slot(item[k]))]
+                if 2 * len(fine) > len(met):
+                    agreed.update(fine)
+            if telling and len(agreed) >= max(1, -(-len(telling) * 3 // 10)):
+                want.add((d, i))
+    docs = spark.createDataFrame([(d, " ".join(t)) for d, t in texts.items()], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in items.items()], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in find_leaks(docs, bench).collect()}
+    assert got == want and 20 < len(want) < 120
+
+
 def test_leaks_with_names_that_start_sentences(spark):
     item = "Tom has 3 red apples in his bag. Ann has 5 green pears in her box. Tom gives Ann 2 apples before lunch."
     other = item.replace("Tom", "Bob").replace("Ann", "Eve").replace("3", "4").replace("5", "7")
