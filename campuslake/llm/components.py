@@ -20,17 +20,17 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round points every neighbour at the smallest node known, by grouped minima
     (combined before the shuffle) and joins that adaptive execution can split, and writes
-    the edges to the shared folder. Self loops and repeated edges change nothing; an edge
-    with a null end is no edge. No edges: no rows.
+    the edges to the shared folder, until they are stars: every node points at one root, which
+    points at none. Edges that are stars from the start take no round. Self loops and repeated edges
+    change nothing; an edge with a null end is no edge. No edges: no rows.
     """
     edges = materialized(
         edges.where("a <> b")
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .distinct()
     )
-    seen = None
-    while (state := _state(edges)) != seen:
-        seen, before = state, edges
+    while not _stars(edges):
+        before = edges
         edges = materialized(_small_star(_large_star(edges)))
         discard(before)
     inner = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
@@ -38,8 +38,13 @@ def components(edges: DataFrame) -> DataFrame:
     return inner.union(roots)
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node has one edge to a smaller node, or only edges from larger ones."""
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    ends = edges.select(F.col("a").alias("node"), one.alias("down"), none.alias("up"))
+    ends = ends.union(edges.select(F.col("b").alias("node"), none.alias("down"), one.alias("up")))
+    met = ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return met.where("down + up > 1").isEmpty()
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -77,7 +82,7 @@ def bucket_links(
     features: Callable[[DataFrame, int], DataFrame],
     percent: int,
 ) -> DataFrame:
-    """Links ``(a, b)`` among nodes that share a bucket, as many as their components need.
+    """Edges ``(a, b)`` that join the nodes as their links within buckets do: components of links, or links.
 
     ``compared`` keeps the pairs of nodes whose sets reach ``percent`` of Jaccard
     similarity; ``features`` gives rows ``(node, size, feature)`` of the sets of some nodes, one
@@ -102,8 +107,8 @@ def bucket_links(
     )
     best = materialized(led.groupBy("a").agg(F.max_by("b", F.struct("met", "b")).alias("b")))
     discard(led)
-    links = materialized(compared(best))
-    rest = mixed_buckets(buckets.select("key", "node"), links)
+    placed = placements(compared(best))
+    rest = _mixed(buckets.select("key", "node"), placed)
     nodes = materialized(rest.select("node").distinct())
     # A share of the features tells most nodes apart; all features only of those left.
     coarse = max(1, int(100 / (1.6 * (100 - percent))))
@@ -122,12 +127,13 @@ def bucket_links(
         counts = F.struct("size", "shared", "bits").alias(side)
         return rows.join(able, "node").select(F.col("node").alias(side + "_node"), "key", F.col("at").alias(side + "_at"), counts)
 
-    now = mixed_buckets(hubs, links)
+    now = _mixed(hubs, placed)
     pure = told(now, "a").join(told(now.where("node = key"), "b"), "key").where("a_at <> b_at")
     pure = materialized(pure.where(_within(percent)).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")))
-    links, before = materialized(links.union(compared(pure))), links
+    # What is placed stands for its links, which further ones join.
+    placed, before = placements(placed.toDF("a", "b").union(compared(pure))), placed
     discard(now, before)
-    now = mixed_buckets(hubs, links)
+    now = _mixed(hubs, placed)
     left = materialized(now.select("node", "at").distinct())
     discard(now, hubs)
     rare = materialized(_rarest(left, features(left.select("node"), 1), percent))
@@ -135,8 +141,8 @@ def bucket_links(
     cross = told(rare, "a").join(told(rare, "b"), "key").where("a_node > b_node and a_at <> b_at")
     cross = cross.where(_within(percent)).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
     done = best.union(pure).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    found = materialized(links.union(compared(cross.join(done, ["a", "b"], "left_anti"))))
-    discard(best, pure, links, able, left, rare)
+    found = materialized(placed.toDF("a", "b").union(compared(cross.join(done, ["a", "b"], "left_anti"))))
+    discard(best, pure, placed, able, left, rare)
     return found
 
 
@@ -156,9 +162,17 @@ def _rarest(nodes: DataFrame, features: DataFrame, percent: int) -> DataFrame:
     return found
 
 
+def placements(edges: DataFrame) -> DataFrame:
+    """``(node, at)``, written: the components of the edges ``(a, b)``."""
+    return materialized(components(edges).toDF("node", "at"))
+
+
 def mixed_buckets(rows: DataFrame, links: DataFrame) -> DataFrame:
     """``(key, node, at)`` of the buckets whose nodes are in several components so far."""
-    placed = components(links.select("a", "b")).toDF("node", "at")
+    return _mixed(rows, components(links.select("a", "b")).toDF("node", "at"))
+
+
+def _mixed(rows: DataFrame, placed: DataFrame) -> DataFrame:
     at = rows.join(placed, "node", "left").select("key", "node", F.coalesce("at", "node").alias("at"))
     at = materialized(at)
     mixed = at.groupBy("key").agg(F.min("at").alias("one"), F.max("at").alias("two")).where("one <> two")
