@@ -125,7 +125,8 @@ def bucket_links(
 
     def told(rows: DataFrame, side: str) -> DataFrame:
         counts = F.struct("size", "shared", "bits").alias(side)
-        return rows.join(able, "node").select(F.col("node").alias(side + "_node"), "key", F.col("at").alias(side + "_at"), counts)
+        own = [F.col(c).alias(f"{side}_{c}") for c in ("node", "at", "rank") if c in rows.columns]
+        return rows.join(able, "node").select("key", *own, counts)
 
     now = _mixed(hubs, placed)
     pure = told(now, "a").join(told(now.where("node = key"), "b"), "key").where("a_at <> b_at")
@@ -139,7 +140,10 @@ def bucket_links(
     rare = materialized(_rarest(left, features(left.select("node"), 1), percent))
     # both carry the key's rows, of which a rare feature has few
     cross = told(rare, "a").join(told(rare, "b"), "key").where("a_node > b_node and a_at <> b_at")
-    cross = cross.where(_within(percent)).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
+    # At the first feature that two sets share, what follows in each must hold all that they share.
+    rest_of_both = F.least(F.col("a.size") - F.col("a_rank"), F.col("b.size") - F.col("b_rank"))
+    cross = cross.where(_within(percent) & ((100 + percent) * rest_of_both >= percent * (F.col("a.size") + F.col("b.size"))))
+    cross = cross.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
     done = best.union(pure).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     found = materialized(placed.toDF("a", "b").union(compared(cross.join(done, ["a", "b"], "left_anti"))))
     discard(best, pure, placed, able, left, rare)
@@ -147,17 +151,18 @@ def bucket_links(
 
 
 def _rarest(nodes: DataFrame, features: DataFrame, percent: int) -> DataFrame:
-    """``(key, node, at)``: each node's rarest features, among these nodes, by which it meets any that it links with.
+    """``(key, node, at, rank)``: each node's rarest features, among these nodes, by which it meets any that it links with.
 
     A node of ``size`` features shares at least ``percent`` of them with one it links with, so one of
-    its ``size`` less that number, and one more, rarest is among those of both. All nodes order features alike.
+    its ``size`` less that number, and one more, rarest is among those of both. All nodes order features alike;
+    ``rank`` counts those before.
     """
     own = materialized(features)
     often = own.groupBy("feature").agg(F.count("*").alias("n"))
     each = own.join(often, "feature").groupBy("node", "size").agg(F.sort_array(F.collect_list(F.struct("n", "feature"))).alias("f"))
     most = F.col("size") - F.ceil(F.col("size") * percent / 100).cast("int") + 1
-    some = each.select("node", F.explode(F.slice("f", F.lit(1), most)).alias("x")).where("x.n > 1")
-    found = materialized(some.select(F.col("x.feature").alias("key"), "node").join(nodes, "node"))
+    some = each.select("node", F.posexplode(F.slice("f", F.lit(1), most)).alias("rank", "x")).where("x.n > 1")
+    found = materialized(some.select(F.col("x.feature").alias("key"), "node", "rank").join(nodes, "node"))
     discard(own)
     return found
 
