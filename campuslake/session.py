@@ -19,14 +19,35 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# A side of a join goes through the driver when it is broadcast. Its size is at first estimated from
+# compressed files, and may be a hundred times as much in memory, as of repeated rows: only small
+# estimates count. The cluster's own limit holds for sizes that a run has measured.
+ESTIMATED = "spark.sql.autoBroadcastJoinThreshold"
+MEASURED = "spark.sql.adaptive.autoBroadcastJoinThreshold"
+SMALL_ESTIMATE = "256k"
+
+# What one task reads of a shuffle, unless the cluster says so: rows of codes and dates take
+# some twenty times their compressed size in a task's memory.
+TOGETHER = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+READ_TOGETHER = "16m"
+
 # Folders written within the innermost open block of ``scratch``.
 _WRITTEN: ContextVar[list[str] | None] = ContextVar("written", default=None)
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Turn on the run-time skew handling; sizes and parallelism stay the cluster's."""
+    """Turn on the run-time skew handling, broadcast by measured sizes, and small tasks of a shuffle.
+
+    Parallelism stays the cluster's, and broadcasts stay off where it turns them off.
+    """
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    if spark.conf.get(ESTIMATED) != "-1":
+        if spark.conf.get(MEASURED, None) is None:
+            spark.conf.set(MEASURED, spark.conf.get(ESTIMATED))
+        spark.conf.set(ESTIMATED, SMALL_ESTIMATE)
+    if spark.conf.get(TOGETHER, None) is None:
+        spark.conf.set(TOGETHER, READ_TOGETHER)
     return spark
 
 
