@@ -8,6 +8,7 @@ import shutil
 import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote, urlsplit
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -19,10 +20,20 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 @dataclass(frozen=True)
 class FolderTarget:
-    """Rows of an attempt are a file; the ledger has a file for each batch with the files it added."""
+    """Rows of an attempt are a file; the ledger has a file for each batch with the files it added.
+
+    The folder is one that the driver and all executors share, by its path or ``file:`` address.
+    """
 
     path: str
 
+    def __post_init__(self) -> None:
+        address = urlsplit(self.path)
+        if address.scheme not in ("", "file"):
+            raise ValueError(f"{self.path}: a folder of files has a path or a file: address")
+        if address.scheme:
+            object.__setattr__(self, "path", unquote(address.path))
+
     def _folder(self, *names: str) -> str:
         folder = os.path.join(self.path, *names)
         os.makedirs(folder, exist_ok=True)

@@ -47,6 +47,17 @@ def test_a_task_that_fails_after_its_insert_is_counted_once(tmp_path):
     assert "ROWS 1000 1000 []" in found.stdout, found.stderr[-3000:]
 
 
+def test_a_folder_named_by_its_file_address(spark, tmp_path, monkeypatch):
+    """The shared folder may be an address: tasks and the commit work in folders of their own."""
+    monkeypatch.chdir(tmp_path)
+    target = FolderTarget(f"file://{tmp_path}/a%20b")
+    assert bulk_insert(spark.range(3).selectExpr("'x' text", "cast(id as int) number"), target, "one", 2)
+    assert (tmp_path / "a b" / "ledger" / "one").exists() and not (tmp_path / "file:").exists()
+    assert target.read(spark, "text STRING, number INT").count() == 3
+    with pytest.raises(ValueError, match="file: address"):
+        FolderTarget("hdfs://host/folder")
+
+
 def test_batches_replace_and_values_that_do_not_fit(spark, tmp_path):
     target = FolderTarget(str(tmp_path))
     frame = spark.createDataFrame([("a", 1, dt.date(2000, 1, 1)), (None, None, None)], "text STRING, number LONG, day DATE")
