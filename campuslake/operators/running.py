@@ -14,7 +14,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from campuslake.operators.relational import spread_join
-from campuslake.session import materialized
+from campuslake.session import kept, materialized
+
+# Rows of one range, and of one task of the windows.
+ROWS_TOGETHER = 500_000
 
 
 def running(
@@ -28,12 +31,16 @@ def running(
     """The rows with the running ``merge`` of ``value``: of all rows of the key up to this one.
 
     ``merge`` is an aggregate that can be taken of its own results, ``F.sum`` or ``F.max``.
-    The order tells all rows of a key apart; equal keys include unknown ones. The rows
-    are written once when this is called.
+    The order tells all rows of a key apart; equal keys include unknown ones. Without keys
+    all rows are one. The rows are written when this is called, counted, and dealt out to
+    ranges of ROWS_TOGETHER rows, so that a task holds no more of a larger input.
     """
-    ranges = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartitionByRange(ranges, *keys, *order)
-    placed = materialized(dealt.withColumn("_range", F.spark_partition_id()))
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    with kept(rows) as written:
+        ranges = max(least, -(-written.count() // ROWS_TOGETHER))
+        dealt = written.repartitionByRange(ranges, *keys, *order)
+        ranged = materialized(dealt.withColumn("_range", F.spark_partition_id()))
+    placed = ranged.repartition(ranges, "_range", *keys)
     inside = Window.partitionBy("_range", *keys).orderBy(*order)
     inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     earlier = Window.partitionBy(*keys).orderBy("_range")

@@ -86,6 +86,25 @@ def test_a_hot_keys_rows_are_spread_over_ranges(spark, monkeypatch):
     assert placed[0].filter("key = -1").select("_range").distinct().count() > 2
 
 
+def test_more_rows_make_more_ranges_and_tasks(spark, monkeypatch):
+    """No range, and no task of the windows, holds much more than ROWS_TOGETHER rows."""
+    placed = []
+
+    def seen(df):
+        placed.append(written(df))
+        return placed[-1]
+
+    written = module.materialized
+    monkeypatch.setattr(module, "materialized", seen)
+    monkeypatch.setattr(module, "ROWS_TOGETHER", 1000)
+    df = spark.range(0, 30_000, 1, 4).select((F.col("id") % 3).alias("key"), F.col("id").alias("time"), F.lit(1).alias("one"))
+    found = running(df, ["key"], [F.col("time")], "one", F.sum, "n")
+    assert found.filter("n <> time div 3 + 1").count() == 0
+    sizes = [r["count"] for r in placed[0].groupBy("_range").count().collect()]
+    assert len(sizes) == 30 and max(sizes) <= 2000
+    assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_given_back_is_the_window_but_for_unknown_keys(spark):
     df = spark.createDataFrame([("a", 1), ("a", 3), ("b", None), (None, 7)], "k STRING, v INT")
     found = given_back(df, ["k"], low=F.min("v"), total=F.sum("v"))
