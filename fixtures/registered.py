@@ -35,7 +35,7 @@ from campuslake.session import shared_folder
 from campuslake.sinks.bulk import batch_of, bulk_insert
 from campuslake.sinks.publish import PathSink, append, replace, typed
 from campuslake.sinks.versions import VersionedSink
-from campuslake.sources.splits import cut_query, predicates
+from campuslake.sources.splits import cuts, predicates
 from fixtures.parameters import (
     CAREERS,
     GENDER,
@@ -153,9 +153,8 @@ def split_read(names: DataFrame) -> DataFrame:
     """How many rows each part of a split read by a text key takes, and its keys."""
     spark, view = names.sparkSession, f"split_{uuid.uuid4().hex}"
     names.createOrReplaceTempView(view)
-    cuts = [row.cut for row in spark.sql(cut_query(view, SPLIT_KEY, SPLITS)).collect()]
     found = None
-    for number, condition in enumerate(predicates(SPLIT_KEY, cuts)):
+    for number, condition in enumerate(predicates(SPLIT_KEY, cuts(names, SPLIT_KEY, SPLITS))):
         part = spark.table(view).filter(condition).agg(
             F.lit(number).alias("part"), F.count(F.lit(1)).alias("rows"),
             F.min(SPLIT_KEY).alias("first_key"), F.max(SPLIT_KEY).alias("last_key"),

@@ -5,7 +5,7 @@ import decimal
 
 import pytest
 
-from campuslake.sources.splits import cut_query, literal, predicates
+from campuslake.sources.splits import cut_query, cuts, literal, predicates
 from campuslake.sources.warehouse import Warehouse
 
 KEYS = {
@@ -38,6 +38,36 @@ def test_a_hot_key_is_one_part_and_new_keys_are_read(spark):
     assert sum(counts) == 903 and len(parts) < 9
 
 
+@pytest.mark.parametrize("kind", KEYS)
+@pytest.mark.parametrize("rows", [0, 4, 3001])
+def test_a_frames_cuts_are_those_of_the_query(spark, kind, rows):
+    df = spark.createDataFrame([(KEYS[kind](n),) for n in range(rows)], f"k {kind}").repartition(5)
+    df.createOrReplaceTempView("counted_keys")
+    wanted = sorted(r.cut for r in spark.sql(cut_query("counted_keys", "k", 7)).collect())
+    assert cuts(df, "k", 7) == wanted
+
+
+def test_a_frames_hot_key_has_all_its_cuts(spark):
+    df = spark.createDataFrame([("m" if n % 3 else f"k{n:04d}",) for n in range(900)], "k STRING")
+    df.createOrReplaceTempView("hot_keys")
+    found = cuts(df, "k", 9)
+    assert found == sorted(r.cut for r in spark.sql(cut_query("hot_keys", "k", 9)).collect())
+    assert found.count("m") > 3
+
+
+def test_a_registered_split_sorts_no_whole_table_in_one_task(spark):
+    from fixtures.registered import split_read
+
+    names = spark.createDataFrame([(f"L{n % 40:02d}",) for n in range(500)], "last_name STRING").repartition(4)
+    asked, sql = [], type(spark).sql
+    try:
+        type(spark).sql = lambda self, text, *a, **k: asked.append(text) or sql(self, text, *a, **k)
+        found = split_read(names).collect()
+    finally:
+        type(spark).sql = sql
+    assert sum(r.rows for r in found) == 500 and not [q for q in asked if "NTILE" in q]
+
+
 def test_odd_cuts():
     assert predicates("k", []) == predicates("k", [5, 5]) == ["1 = 1"]
     assert predicates("k", ["b'c", "a", "d"]) == ["k <= 'a' OR k IS NULL", "k > 'a' AND k <= 'b''c'", "k > 'b''c'"]
