@@ -209,8 +209,12 @@ class Encoder:
         starts, ends = np.append(0, 4 * (cuts + 1)).tolist(), np.append(4 * cuts, len(raw)).tolist()
         self._known.update((w, raw[a:b]) for w, a, b in zip(words, starts, ends, strict=True))
 
-    def pieces(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
-        """The pieces of all texts, _BORDER behind each text, and the places of these."""
+    def _cut(self, texts: list[str]) -> tuple[str, np.ndarray, np.ndarray, list[str], np.ndarray]:
+        """All texts in one, its code points, where its pieces start, and what ends the texts' parts.
+
+        A part ends with a character of its own, whose piece stands for a special string of the
+        text or, as _BORDER, for its end; the last two tell these and their places among the pieces.
+        """
         parts, borders, at = [], [], -1
         for text in texts:
             cuts = [*self._split.finditer(text)] if self._split and any(s in text for s in self._special) else []
@@ -222,10 +226,11 @@ class Encoder:
                 borders.append((at, cut.group() if cut else _BORDER))
                 start = cut.end() if cut else stop
         joined = "\0".join([*parts, ""])
-        kind = self._kinds[np.frombuffer(joined.encode("utf-32-le"), np.uint32)]
+        points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        kind = self._kinds[points]
         ends = np.array([b for b, _ in borders])
         kind[ends] = _END
-        blank = np.frombuffer(joined.encode("utf-32-le"), np.uint32) == 0x20
+        blank = points == 0x20
         space = kind == _SPACE
         visible = ~space & (kind != _END)
         before = np.append(False, visible[:-1])  # a visible character stands before
@@ -243,34 +248,49 @@ class Encoder:
         cut &= gaps[found] == gaps[firsts]
         starts[found[cut]] = True
         place = np.flatnonzero(starts)
-        own = place.tolist()
-        pieces = [joined[a:b] for a, b in zip(own, [*own[1:], len(joined)], strict=True)]
-        stops = np.searchsorted(place, ends)
-        for k, (_, mark) in zip(stops.tolist(), borders, strict=True):
-            pieces[k] = mark
-        return pieces, stops[[mark == _BORDER for _, mark in borders]]
+        return joined, points, place, [mark for _, mark in borders], np.searchsorted(place, ends)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text. Equal pieces are found by Arrow, as numbers; only one of each is a string."""
         if not texts:
             return []
-        known, (pieces, stops) = self._known, self.pieces(texts)
-        own = dict.fromkeys(pieces)  # a slice's pieces are few, and near in memory
-        own.update(zip(own, map(known.get, own), strict=True))
-        own[_BORDER] = b""
-        new = [p for p, x in own.items() if x is None]
-        blank = [p for p in new if p.isspace()]
-        known.update((p, self._whole(p).tobytes()) for p in blank)
+        joined, points, place, marks, stops = self._cut(texts)
+        raw = joined.encode()
+        if len(raw) > len(joined):  # where each code point starts in UTF-8
+            width = 1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000)
+            place = (np.cumsum(width) - width)[place]
+        bounds = np.append(place, len(raw)).astype(np.int64)
+        cut = pa.LargeStringArray.from_buffers(len(place), pa.py_buffer(bounds), pa.py_buffer(raw))
+        numbered = cut.dictionary_encode()
+        own, number = numbered.dictionary.to_numpy(False).tolist(), numbered.indices.to_numpy().copy()
+        got = self._ids(own)
+        others = {mark: len(own) + k for k, mark in enumerate(dict.fromkeys(marks))}
+        got += [b"" if mark == _BORDER else self._special[mark] for mark in others]
+        number[stops] = [others[mark] for mark in marks]
+        sizes = np.fromiter(map(len, got), np.int64, len(got)) // 4
+        counts = sizes[number]
+        ends = np.cumsum(counts)
+        # each piece's ids stand behind one another in those of the distinct pieces
+        shift = (np.cumsum(sizes) - sizes)[number] - (ends - counts)
+        ids = np.frombuffer(b"".join(got), np.uint32)[np.arange(int(ends[-1])) + np.repeat(shift, counts)]
+        return np.split(ids, ends[stops[[mark == _BORDER for mark in marks]]][:-1])
+
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        """The ids of distinct pieces, as bytes; new ones are learned."""
+        known = self._known
+        got = list(map(known.get, pieces))
+        at = [k for k, x in enumerate(got) if x is None]
+        new = [pieces[k] for k in at]
+        known.update((p, self._whole(p).tobytes()) for p in new if p.isspace())
         words = [p for p in new if not p.isspace()]
         for k in range(0, len(words), LEARNED_TOGETHER):
             self._learn(words[k : k + LEARNED_TOGETHER])
-        own.update((p, known[p]) for p in new)
+        for k, p in zip(at, new, strict=True):
+            got[k] = known[p]
         if len(known) > CACHED_PIECES:  # the pieces met first, which are the common ones, stay
             for p in new:
                 del known[p]
-        got = list(map(own.__getitem__, pieces))
-        ids = np.frombuffer(b"".join(got), np.uint32)
-        counts = np.cumsum(np.fromiter(map(len, got), np.int64, len(got))) // 4
-        return np.split(ids, counts[stops][:-1])
+        return got
 
 
 def write_token_files(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:

@@ -374,6 +374,15 @@ def test_simple8b_round_trip(high):
         assert (token_output.decode_blocks(words, starts, n) == ids).all()
 
 
+def test_encoder_looks_up_each_distinct_piece_of_a_slice_once(monkeypatch):
+    encoder, asked = token_output.Encoder(tokenizer_path()), []
+    found = encoder._ids
+    monkeypatch.setattr(encoder, "_ids", lambda pieces: asked.append(pieces) or found(pieces))
+    texts = ["", "ab é漢😀 ab ab", "\0 \0|| |", "x<|endoftext|>  é\n\n", "ab " * 500]
+    assert [x.tolist() for x in encoder.encode(texts)] == [encoder._whole(t).tolist() for t in texts]
+    assert len(asked) == 1 and len(asked[0]) == len(set(asked[0])) < 30
+
+
 def test_token_files_hold_the_tokenizers_ids(spark, odd_docs):
     from tokenizers import Tokenizer
 
