@@ -45,9 +45,9 @@ def ngram_components(
     texts = texts.where("id is not null")
     with scratch(docs.sparkSession) as keep:
         ids = materialized(texts.mapInArrow(_classed(n), "id long, size int, class long"))
-        classes = materialized(
-            ids.where("size > 0").groupBy("class").agg(F.min("id").alias("first"), F.max("size").alias("size"))
-        )
+        rows = ids.where("size > 0").groupBy("class", "id").agg(F.max("size").alias("size"), F.count("*").alias("rows"))
+        first = rows.groupBy("class").agg(F.min(F.struct("id", "rows")).alias("first"), F.max("size").alias("size"))
+        classes = materialized(first.select("class", F.col("first.id").alias("first"), "size", F.col("first.rows").alias("rows")))
         links = _links(classes, texts, n, percent)
         found = (
             components(links)
@@ -192,25 +192,30 @@ def _links(classes: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFr
     buckets = shared_buckets(keyed)
     sizes = classes.select("class", "size")
     involved = buckets.select(F.col("node").alias("class")).distinct().join(classes, "class")
-    involved = materialized(involved.select(F.col("first").alias("id"), "class"))
-    sets = materialized(
-        texts.join(sized(involved, 16), "id")
-        .mapInArrow(_hashed(n), "class long, hashes array<long>")
-        .dropDuplicates(["class"])
-    )
+    involved = materialized(involved.select(F.col("first").alias("id"), "class", "rows"))
+
+    def hashed(wanted: DataFrame) -> DataFrame:
+        return texts.join(sized(wanted.select("id", "class"), 16), "id").mapInArrow(_hashed(n), "class long, hashes array<long>")
+
+    # Sets are large: only those of repeated rows are shuffled, to keep one.
+    repeated = hashed(involved.where("rows > 1")).dropDuplicates(["class"])
+    sets = materialized(hashed(involved.where("rows = 1")).union(repeated))
 
     def compared(pairs: DataFrame) -> DataFrame:
-        fitting = (
+        # Small numbers of pairs go to the sets, so that sets are shuffled once, to their second node.
+        fitting = materialized(
             pairs.join(sizes.toDF("a", "size_a"), "a")
             .join(sizes.toDF("b", "size_b"), "b")
             .where(100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b"))
             .select("a", "b")
         )
-        both = fitting.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
+        seconds = materialized(fitting.select(F.col("b").alias("class")).distinct())
+        second = sets.join(sized(seconds, 8), "class", "left_semi")
+        both = sets.toDF("a", "x").join(sized(fitting, 16), "a").join(second.toDF("b", "y"), "b")
         return both.mapInArrow(_verified(percent), "a long, b long")
 
     def features(nodes: DataFrame, every: int) -> DataFrame:
-        found = sets.join(nodes.withColumnRenamed("node", "class"), "class")
+        found = sets.join(sized(nodes.withColumnRenamed("node", "class"), 8), "class", "left_semi")
         some = F.filter("hashes", lambda h: F.pmod(h, F.lit(every)) == 0) if every > 1 else F.col("hashes")
         size = F.size("hashes").alias("size")
         return found.select(F.col("class").alias("node"), size, F.explode(some).alias("feature"))

@@ -31,6 +31,10 @@ SMALL_ESTIMATE = "256k"
 TOGETHER = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 READ_TOGETHER = "16m"
 
+# What a written frame was shuffled for is read from its files from then on: the shuffles go when it is written,
+# not when the driver happens to collect its garbage.
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # Folders written within the innermost open block of ``scratch``.
 _WRITTEN: ContextVar[list[str] | None] = ContextVar("written", default=None)
 
@@ -64,13 +68,23 @@ def _delete(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def _write(df: DataFrame, path: str) -> None:
+    conf = df.sparkSession.conf
+    before = conf.get(SHUFFLES_GO)
+    conf.set(SHUFFLES_GO, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(SHUFFLES_GO, before)
+
+
 @contextmanager
 def kept(df: DataFrame) -> Iterator[DataFrame]:
     """The frame written to the shared folder for the time of the block; its files go afterwards."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
     try:
-        df.write.parquet(path)
+        _write(df, path)
         yield spark.read.schema(df.schema).parquet(path)
     finally:
         _delete(spark, path)
@@ -88,7 +102,7 @@ def materialized(df: DataFrame) -> DataFrame:
     written = _WRITTEN.get()
     if written is not None:
         written.append(path)
-    df.write.parquet(path)
+    _write(df, path)
     found = df.sparkSession.read.schema(df.schema).parquet(path)
     found._written_to = path
     return found

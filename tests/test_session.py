@@ -1,8 +1,11 @@
 """Settings of the session: what may go through the driver, and how much one task reads."""
 
+import os
+import time
+
 from pyspark.sql import functions as F
 
-from campuslake.session import ESTIMATED, MEASURED, TOGETHER, configure
+from campuslake.session import ESTIMATED, MEASURED, SHUFFLES_GO, TOGETHER, configure, materialized
 
 
 def fresh(spark, **settings):
@@ -39,3 +42,19 @@ def test_the_clusters_own_settings_stay(spark):
     off = configure(fresh(spark, **{ESTIMATED: "-1", TOGETHER: "8m"}))
     assert off.conf.get(ESTIMATED) == "-1" and off.conf.get(MEASURED, None) is None
     assert off.conf.get(TOGETHER) == "8m"
+
+
+def test_a_written_frames_shuffles_go(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+
+    def shuffles():
+        return {name for folder in folders for _, _, names in os.walk(folder) for name in names if name.startswith("shuffle_")}
+
+    grouped = spark.range(10_000).groupBy((F.col("id") % 1000).alias("k")).agg(F.collect_list("id").alias("ids"))
+    before, setting = shuffles(), spark.conf.get(SHUFFLES_GO)
+    found = materialized(grouped)
+    for _ in range(100):  # they go in the background
+        if not (left := shuffles() - before):
+            break
+        time.sleep(0.1)
+    assert not left and found.count() == 1000 and spark.conf.get(SHUFFLES_GO) == setting
