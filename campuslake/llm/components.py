@@ -13,6 +13,8 @@ from campuslake.session import discard
 
 # 64-bit words of parities that stand for a set.
 PARITY_WORDS = 8
+# Features are counted in parts, so that only a part is shuffled at a time; few rows in fewer.
+PARTS, PART_ROWS = 4, 4_000_000
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -112,10 +114,9 @@ def bucket_links(
     nodes = materialized(rest.select("node").distinct())
     # A share of the features tells most nodes apart; all features only of those left.
     coarse = max(1, int(100 / (1.6 * (100 - percent))))
-    likely = materialized(_able(nodes, features(nodes, coarse), percent).select("node"))
-    discard(nodes)
-    able = materialized(_able(likely, features(likely, 1), percent))
-    discard(likely)
+    likely = _able(nodes, features(nodes, coarse), percent)
+    able = _able(likely, features(likely.select("node"), 1), percent)
+    discard(nodes, likely)
     sides = rest.join(able, "node")
     purity = F.struct((F.col("shared") + 1) / (F.col("size") + 1), "size", "node")
     cleanest = sides.groupBy("key").agg(F.max_by("node", purity).alias("hub"))
@@ -137,7 +138,7 @@ def bucket_links(
     now = _mixed(hubs, placed)
     left = materialized(now.select("node", "at").distinct())
     discard(now, hubs)
-    rare = materialized(_rarest(left, features(left.select("node"), 1), percent))
+    rare = _rarest(left, features(left.select("node"), 1), percent)
     # both carry the key's rows, of which a rare feature has few
     cross = told(rare, "a").join(told(rare, "b"), "key").where("a_node > b_node and a_at <> b_at")
     # At the first feature that two sets share, what follows in each must hold all that they share.
@@ -150,21 +151,46 @@ def bucket_links(
     return found
 
 
+def _parts(rows: DataFrame, column: str) -> list[DataFrame]:
+    """The rows of a written frame, dealt out by the hash of a column."""
+    n = min(PARTS, 1 + rows.count() // PART_ROWS)
+    return [rows.where(F.pmod(F.xxhash64(column), F.lit(n)) == part) if n > 1 else rows for part in range(n)]
+
+
+def _written_in_parts(rows: list[DataFrame], run: Callable[[DataFrame], DataFrame]) -> list[DataFrame]:
+    return [materialized(run(part)) for part in rows]
+
+
+def _often(rows: DataFrame) -> DataFrame:
+    """``(feature, n)`` of the features that several nodes have."""
+    return rows.groupBy("feature").agg(F.count("*").alias("n")).where("n > 1")
+
+
 def _rarest(nodes: DataFrame, features: DataFrame, percent: int) -> DataFrame:
-    """``(key, node, at, rank)``: each node's rarest features, among these nodes, by which it meets any that it links with.
+    """``(key, node, at, rank)``, written: each node's rarest features, among these nodes, by which it meets any that it links with.
 
     A node of ``size`` features shares at least ``percent`` of them with one it links with, so one of
     its ``size`` less that number, and one more, rarest is among those of both. All nodes order features alike;
-    ``rank`` counts those before.
+    ``rank`` counts those before. The features that no other node has come first, and nodes can't meet by them:
+    their number is enough.
     """
     own = materialized(features)
-    often = own.groupBy("feature").agg(F.count("*").alias("n"))
-    each = own.join(often, "feature").groupBy("node", "size").agg(F.sort_array(F.collect_list(F.struct("n", "feature"))).alias("f"))
-    most = F.col("size") - F.ceil(F.col("size") * percent / 100).cast("int") + 1
-    some = each.select("node", F.posexplode(F.slice("f", F.lit(1), most)).alias("rank", "x")).where("x.n > 1")
-    found = materialized(some.select(F.col("x.feature").alias("key"), "node", "rank").join(nodes, "node"))
-    discard(own)
-    return found
+    counted = _written_in_parts(_parts(own, "feature"), _often)
+    often = reduce(DataFrame.union, counted)
+
+    def rarest(part: DataFrame) -> DataFrame:
+        each = part.join(often, "feature").groupBy("node", "size").agg(F.sort_array(F.collect_list(F.struct("n", "feature"))).alias("f"))
+        alone = F.col("size") - F.size("f")
+        most = F.col("size") - F.ceil(F.col("size") * percent / 100).cast("int") + 1
+        some = F.slice("f", F.lit(1), F.greatest(most - alone, F.lit(0)))
+        met = each.select("node", alone.alias("alone"), F.posexplode(some).alias("i", "x"))
+        return met.select(F.col("x.feature").alias("key"), "node", (F.col("alone") + F.col("i")).alias("rank"))
+
+    found = _written_in_parts(_parts(own, "node"), rarest)
+    discard(own, *counted)
+    placed = materialized(reduce(DataFrame.union, found).join(nodes, "node"))
+    discard(*found)
+    return placed
 
 
 def placements(edges: DataFrame) -> DataFrame:
@@ -201,17 +227,22 @@ def _within(percent: int) -> Column:
 
 
 def _able(nodes: DataFrame, features: DataFrame, percent: int) -> DataFrame:
-    """``(node, size, shared, bits)`` of the nodes that may still link: features, those
+    """``(node, size, shared, bits)``, written, of the nodes that may still link: features, those
     another node may have, and parities of the features by hash. The features are written once."""
     own = materialized(features)
-    common = own.groupBy("feature").agg(F.count("*").alias("n")).where("n > 1").select("feature")
-    shared = own.join(common, "feature").groupBy("node").agg(F.count("*").alias("met"))
+    met = _written_in_parts(
+        _parts(own, "feature"),
+        lambda part: part.join(_often(part).select("feature"), "feature").groupBy("node").agg(F.count("*").alias("met")),
+    )
+    shared = reduce(DataFrame.union, met).groupBy("node").agg(F.sum("met").alias("met"))
     place = F.pmod(F.xxhash64("feature"), F.lit(64 * PARITY_WORDS)).cast("int")
     placed = own.select("node", "size", place.alias("p"))
     placed = placed.select("node", "size", F.floor(F.col("p") / 64).alias("word"), F.expr("shiftleft(1L, p % 64)").alias("bit"))
     words = [F.bit_xor(F.when(F.col("word") == k, F.col("bit")).otherwise(F.lit(0).cast("long"))) for k in range(PARITY_WORDS)]
     sizes = placed.groupBy("node").agg(F.max("size").alias("size"), F.count("*").alias("told"), *[w.alias(f"w{k}") for k, w in enumerate(words)])
-    counted = nodes.join(sizes, "node", "left").join(shared, "node", "left").na.fill(0)
+    counted = nodes.select("node").join(sizes, "node", "left").join(shared, "node", "left").na.fill(0)
     shared_most = (F.col("size") - F.col("told") + F.col("met")).alias("shared")
     counted = counted.select("node", "size", shared_most, F.array(*[f"w{k}" for k in range(PARITY_WORDS)]).alias("bits"))
-    return counted.where(100 * F.col("shared") >= percent * F.col("size"))
+    found = materialized(counted.where(100 * F.col("shared") >= percent * F.col("size")))
+    discard(own, *met)
+    return found

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from campuslake.llm import chat, fingerprints, mixing, substrings, token_output
 from campuslake.llm.common import materialized
-from campuslake.llm.components import _rarest, components
+from campuslake.llm import components as links
+from campuslake.llm.components import _able, _rarest, components
 from campuslake.llm.decontamination import drop_leaks, find_leaks, tokens
 from campuslake.llm.language import identify_language
 from campuslake.llm.lines import band_keys, dedup_lines, repeated_lines
@@ -231,6 +232,29 @@ def test_rare_features_meet_every_link_of_an_unlinked_crowd(spark):
     assert near and set(near) <= pairs and len(pairs) < len(sets) * (len(sets) - 1) / 2
 
 
+def test_features_counted_in_parts_tell_the_same(spark, monkeypatch):
+    """Shuffled a part at a time, by feature or by node, the counts, ranks and bounds are those of all at once."""
+    rng = np.random.default_rng(4)
+    sets = {k: {zlib.crc32(f"{x}".encode()) for x in rng.integers(0, 60, 30)} | {k << 40} for k in range(50)}
+    feats = spark.createDataFrame([(k, len(s), f) for k, s in sets.items() for f in s], "node long, size int, feature long")
+    nodes = spark.createDataFrame([(k, k) for k in sets], "node long, at long")
+    often = {}
+    for own in sets.values():
+        for f in own:
+            often[f] = often.get(f, 0) + 1
+    expected = set()
+    for k, own in sets.items():
+        ordered = sorted(own, key=lambda f: (often[f], f))
+        most = len(own) - -(-len(own) * 80 // 100) + 1
+        expected |= {(f, k, k, rank) for rank, f in enumerate(ordered[:most]) if often[f] > 1}
+    for rows_of_a_part in (1, 4_000_000):
+        monkeypatch.setattr(links, "PART_ROWS", rows_of_a_part)
+        assert set(rows(_rarest(nodes, feats, 80).select("key", "node", "at", "rank"))) == expected
+        told = {r["node"]: (r["size"], r["shared"]) for r in _able(nodes.select("node"), feats, 80).collect()}
+        able = {k: (len(s), sum(often[f] > 1 for f in s)) for k, s in sets.items()}
+        assert told == {k: (n, met) for k, (n, met) in able.items() if 100 * met >= 80 * n}
+
+
 def test_rounds_leave_no_files(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
