@@ -210,8 +210,8 @@ def _links(nodes: DataFrame, likely: float) -> DataFrame:
     bucket that it meets most often. In buckets of several components then, all are compared with the hub, the node that
     meets the most others: the text that a group's copies come from. Where one has several still, the distances to
     its hub bound all others, since weighted Hamming distances obey the triangle inequality: two nodes whose distances
-    to it, or whose whole words of samples, differ by more than a link allows are ruled out exactly, the rest is compared. So a bucket's
-    nodes are in one component, ruled out or compared.
+    to it differ by more than a link allows are ruled out, the rest is compared by all samples within the join, which
+    makes rows of links only. So a bucket's nodes are in one component, ruled out or compared.
     """
     buckets = shared_buckets(nodes.mapInArrow(_banded, "node long, key long"))
     led = buckets.where("node <> leader").groupBy(F.col("node").alias("a"), F.col("leader").alias("b")).agg(F.count("*").alias("met"))
@@ -232,32 +232,43 @@ def _links(nodes: DataFrame, likely: float) -> DataFrame:
     reached = second.select(F.col("a").alias("node"), F.col("b").alias("hub"), "distance")
     told = (
         rest.join(reached, ["node", "hub"], "left")
-        .join(nodes.select("node", weight.alias("weight"), _words(count).alias("words")), "node")
-        .select("key", "node", "at", F.coalesce("distance", F.lit(0.0)).alias("distance"), "weight", "words")
+        .join(nodes.select("node", count.alias("count"), weight.alias("weight"), _words(count).alias("words")), "node")
+        .select("key", "node", "at", F.coalesce("distance", F.lit(0.0)).alias("distance"), "count", "weight", "words")
     )
     told = materialized(told)
+    return materialized(links.union(_alike(told, likely)))
+
+
+def _alike(told: DataFrame, likely: float) -> DataFrame:
+    """Links ``(a, b, likeness)`` within the keys of ``told`` between nodes that are in several components so far."""
     x, y = told.alias("x"), told.alias("y")
     heavier = F.greatest("x.weight", "y.weight")
-    least = F.greatest(F.abs(F.col("x.distance") - F.col("y.distance")), _apart(F.col("x.words"), F.col("y.words")))
-    within = least <= heavier * ((1 - likely) / 2 + 1e-9)
-    pairs = x.join(y, F.col("x.key") == F.col("y.key")).where(F.expr("x.node > y.node and x.at <> y.at") & within)
-    pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    more = _measured(pairs.join(second, ["a", "b"], "left_anti"), nodes)
-    return materialized(links.union(more.where(near).select("a", "b", "likeness")))
+    within = F.abs(F.col("x.distance") - F.col("y.distance")) <= heavier * ((1 - likely) / 2 + 1e-9)
+    # Weights are powers of two, so sums are exact and a likeness is the one of ``likeness``.
+    alike = F.greatest(F.lit(0.0), 1 - 2 * _distance() / heavier)
+    pairs = x.join(y, F.col("x.key") == F.col("y.key")).where(F.expr("x.node > y.node and x.at <> y.at") & within & (alike >= likely))
+    return pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), alike.alias("likeness")).distinct()
 
 
 def _words(count: Column) -> Column:
-    """The fingerprint's whole 64-bit words of samples."""
-    word = lambda i: F.conv(F.substring("fingerprint", 16 * i + 5, F.lit(16)), 16, -10).cast("long")
+    """The fingerprint's samples in 64-bit words, the last one filled up with zeros."""
+    word = lambda i: F.conv(F.rpad(F.substring("fingerprint", 16 * i + 5, F.lit(16)), 16, "0"), 16, -10).cast("long")
     none = F.array().cast("array<long>")
-    return F.when(count >= 64, F.transform(F.sequence(F.lit(0), F.floor(count / 64).cast("int") - 1), word)).otherwise(none)
+    return F.when(count > 0, F.transform(F.sequence(F.lit(0), F.ceil(count / 64).cast("int") - 1), word)).otherwise(none)
+
+
+def _distance() -> Column:
+    """The distance of the fingerprints of ``x`` and ``y``, known by count, weight and words of their samples."""
+    both = F.least("x.count", "y.count")
 
+    def differ(word: Column, i: Column) -> Column:
+        # of the last word that both have, the samples that both have; then none
+        shared = F.least(both - 64 * i, F.lit(64))
+        parted = F.call_function("shiftrightunsigned", word.bitwiseXOR(F.get("y.words", i)), 64 - shared)
+        return F.when(shared > 0, F.bit_count(parted) * F.pow(F.lit(2.0), F.greatest(F.floor(i / (SAMPLES // 64)) - 1, F.lit(0)))).otherwise(0.0)
 
-def _apart(x: Column, y: Column) -> Column:
-    """The steps at which the words of two fingerprints differ; their distance is no less."""
-    differ = F.zip_with(x, y, lambda a, b: F.coalesce(F.bit_count(a.bitwiseXOR(b)), F.lit(0)))
-    steps = F.transform(differ, lambda n, i: n * F.pow(F.lit(2.0), F.greatest(F.floor(i / (SAMPLES // 64)) - 1, F.lit(0))))
-    return F.aggregate(steps, F.lit(0.0), lambda total, n: total + n)
+    steps = F.transform("x.words", differ)
+    return F.aggregate(steps, F.abs(F.col("x.weight") - F.col("y.weight")) / 2, lambda total, n: total + n)
 
 
 def _measured(pairs: DataFrame, nodes: DataFrame) -> DataFrame:

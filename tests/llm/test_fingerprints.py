@@ -96,6 +96,29 @@ def test_a_crowd_in_one_bucket_keeps_its_links(spark, monkeypatch):
     assert {i: placed.get(i, i) for i in prints} == {i: groups.find(i) for i in prints}
 
 
+def test_pairs_within_a_key_are_links(spark):
+    """The join of a key's nodes makes no row of nodes that are unlike, whatever their numbers of samples."""
+    rng = random.Random(5)
+    base = "".join(rng.choice("abcdefgh ") for _ in range(1500))
+    texts = {i: altered(base[: rng.choice([1, 8, 30, 60, 64, 65, 130, 300, 700, 1490, 1500])], rng.choice([0.005, 0.02, 0.1]), rng) for i in range(120)}
+    prints = dict(zip(texts, fingerprints.fingerprints(list(texts.values())), strict=True))
+    rows = []
+    for i, p in prints.items():
+        bits = fingerprints._sampled(p)
+        padded = "".join(map(str, bits)).ljust(-(-len(bits) // 64) * 64, "0")
+        words = [int(padded[k : k + 64], 2) for k in range(0, len(padded), 64)]
+        words = [w - (1 << 64) if w >> 63 else w for w in words]
+        rows.append((1, i, i, 0.0, len(bits), float(fingerprints.sample_weights(len(bits)).sum()), words))
+    told = spark.createDataFrame(rows, "key long, node long, at long, distance double, count int, weight double, words array<long>")
+    every = {(a, b): fingerprints.likeness(prints[a], prints[b]) for a in prints for b in prints if a > b}
+    for likely in (0.0, 0.5, 0.8):
+        got = {(a, b): likeness for a, b, likeness in fingerprints._alike(told, likely).collect()}
+        assert got == {pair: x for pair, x in every.items() if x >= likely}
+    nodes = spark.createDataFrame(list(prints.items()), "node long, fingerprint string")
+    count = fingerprints.F.expr("cast(conv(substring(fingerprint, 1, 4), 16, 10) as int)")
+    assert {r["node"]: r["w"] for r in nodes.select("node", fingerprints._words(count).alias("w")).collect()} == {r[1]: r[6] for r in rows}
+
+
 def test_odd_documents_and_query(spark, odd_docs, no_docs):
     got = fingerprints.near_groups(fingerprints.fingerprint_edits(odd_docs)).collect()
     assert len(got) == odd_docs.count()
