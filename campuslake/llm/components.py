@@ -8,11 +8,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from campuslake.llm.common import materialized
+from campuslake.llm.common import materialized, sized
 from campuslake.session import discard
 
 # 64-bit words of parities that stand for a set.
 PARITY_WORDS = 8
+_WORDS = [f"w{k}" for k in range(PARITY_WORDS)]
+# Buckets of up to so many nodes are compared pair by pair.
+FEW = 32
 # Features are counted in parts, so that only a part is shuffled at a time; few rows in fewer.
 PARTS, PART_ROWS = 4, 4_000_000
 
@@ -78,11 +81,24 @@ def shared_buckets(keyed: DataFrame) -> DataFrame:
     return materialized(ends.where("leader <> last").select("key", "node", "leader").distinct())
 
 
+def written_buckets(keyed: DataFrame) -> DataFrame:
+    """The rows of ``shared_buckets``, of keys that are written already: those of several nodes are counted, then looked up.
+
+    Reading twice takes less than to pass each key's rows by its ends, where hardly a key is shared.
+    """
+    ends = keyed.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
+    shared = materialized(ends.where("leader <> last").select("key", "leader"))
+    found = materialized(keyed.join(sized(shared, 16), "key").select("key", "node", "leader").distinct())
+    discard(shared)
+    return found
+
+
 def bucket_links(
     buckets: DataFrame,
     compared: Callable[[DataFrame], DataFrame],
     features: Callable[[DataFrame, int], DataFrame],
     percent: int,
+    finer: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Edges ``(a, b)`` that join the nodes as their links within buckets do: components of links, or links.
 
@@ -90,8 +106,10 @@ def bucket_links(
     similarity; ``features`` gives rows ``(node, size, feature)`` of the sets of some nodes, one
     feature in so many by its hash.
 
-    Every node is compared with the leader it meets most often. Where a bucket has several
-    components then, two counts of each node tell more: its features, and those that
+    Every node is compared with the leader it meets most often. With ``finer``, which gives rows
+    ``(key, node)`` of more keys of some nodes, the nodes of buckets that have several components then meet by those
+    too, and buckets of up to FEW nodes are settled pair by pair: all pairs of different components that their
+    sizes and parities don't rule out are compared. Where a (larger) bucket has several components, two counts of each node tell more: its features, and those that
     another such node has too. Only the latter can be in an intersection, which bounds the
     similarity of a node to any other and of a pair; what can't link goes (a node without
     features stays). The bounds are exact: no pair that links is ruled out. The bucket's node
@@ -111,6 +129,17 @@ def bucket_links(
     discard(led)
     placed = placements(compared(best))
     rest = _mixed(buckets.select("key", "node"), placed)
+    if finer is not None:
+        more, coarser = written_buckets(finer(rest.select("node").distinct())), rest
+        rest = _mixed(coarser.select("key", "node").union(more.select("key", "node")), placed)
+        discard(more, coarser)
+        links, large = _small_bucket_links(rest, compared, features, percent)
+        placed, before = placements(placed.toDF("a", "b").union(links)), placed
+        rest, mixed = _mixed(large, placed), rest
+        discard(before, mixed, links, large)
+        if rest.isEmpty():
+            discard(best, rest)
+            return placed.toDF("a", "b")
     nodes = materialized(rest.select("node").distinct())
     # A share of the features tells most nodes apart; all features only of those left.
     coarse = max(1, int(100 / (1.6 * (100 - percent))))
@@ -151,6 +180,28 @@ def bucket_links(
     return found
 
 
+def _small_bucket_links(
+    rest: DataFrame,
+    compared: Callable[[DataFrame], DataFrame],
+    features: Callable[[DataFrame, int], DataFrame],
+    percent: int,
+) -> tuple[DataFrame, DataFrame]:
+    """Links of the buckets of up to FEW nodes in several components, and ``(key, node)`` of the larger ones; both written."""
+    sizes = materialized(rest.groupBy("key").agg(F.count("*").alias("n")))
+    small = rest.join(sizes.where(F.col("n") <= FEW), "key")
+    pairs = small.toDF("key", "a", "a_at", "n").join(small.select("key", F.col("node").alias("b"), F.col("at").alias("b_at")), "key")
+    pairs = materialized(pairs.where("a > b and a_at <> b_at").select("a", "b").distinct())
+    nodes = materialized(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+    told = _parities(features(nodes, 1))
+    told = materialized(told.select("node", F.struct("size", F.col("size").alias("shared"), F.array(*_WORDS).alias("bits")).alias("told")))
+    both = pairs.toDF("first", "second").join(told.toDF("first", "a"), "first").join(told.toDF("second", "b"), "second")
+    likely = materialized(both.where(_within(percent)).select(F.col("first").alias("a"), F.col("second").alias("b")))
+    links = materialized(compared(likely))
+    large = materialized(rest.join(sizes.where(F.col("n") > FEW), "key").select("key", "node"))
+    discard(sizes, pairs, nodes, told, likely)
+    return links, large
+
+
 def _parts(rows: DataFrame, column: str) -> list[DataFrame]:
     """The rows of a written frame, dealt out by the hash of a column."""
     n = min(PARTS, 1 + rows.count() // PART_ROWS)
@@ -226,6 +277,16 @@ def _within(percent: int) -> Column:
     return enough & ((100 + percent) * differ <= (100 - percent) * (size_a + size_b))
 
 
+def _parities(features: DataFrame) -> DataFrame:
+    """``(node, size, told, w0, ...)``: how many features are told of each node, and the words of their parities."""
+    place = F.pmod(F.xxhash64("feature"), F.lit(64 * PARITY_WORDS)).cast("int")
+    placed = features.select("node", "size", place.alias("p"))
+    placed = placed.select("node", "size", F.floor(F.col("p") / 64).alias("word"), F.expr("shiftleft(1L, p % 64)").alias("bit"))
+    words = [F.bit_xor(F.when(F.col("word") == k, F.col("bit")).otherwise(F.lit(0).cast("long"))) for k in range(PARITY_WORDS)]
+    words = [w.alias(name) for w, name in zip(words, _WORDS, strict=True)]
+    return placed.groupBy("node").agg(F.max("size").alias("size"), F.count("*").alias("told"), *words)
+
+
 def _able(nodes: DataFrame, features: DataFrame, percent: int) -> DataFrame:
     """``(node, size, shared, bits)``, written, of the nodes that may still link: features, those
     another node may have, and parities of the features by hash. The features are written once."""
@@ -235,14 +296,10 @@ def _able(nodes: DataFrame, features: DataFrame, percent: int) -> DataFrame:
         lambda part: part.join(_often(part).select("feature"), "feature").groupBy("node").agg(F.count("*").alias("met")),
     )
     shared = reduce(DataFrame.union, met).groupBy("node").agg(F.sum("met").alias("met"))
-    place = F.pmod(F.xxhash64("feature"), F.lit(64 * PARITY_WORDS)).cast("int")
-    placed = own.select("node", "size", place.alias("p"))
-    placed = placed.select("node", "size", F.floor(F.col("p") / 64).alias("word"), F.expr("shiftleft(1L, p % 64)").alias("bit"))
-    words = [F.bit_xor(F.when(F.col("word") == k, F.col("bit")).otherwise(F.lit(0).cast("long"))) for k in range(PARITY_WORDS)]
-    sizes = placed.groupBy("node").agg(F.max("size").alias("size"), F.count("*").alias("told"), *[w.alias(f"w{k}") for k, w in enumerate(words)])
+    sizes = _parities(own)
     counted = nodes.select("node").join(sizes, "node", "left").join(shared, "node", "left").na.fill(0)
     shared_most = (F.col("size") - F.col("told") + F.col("met")).alias("shared")
-    counted = counted.select("node", "size", shared_most, F.array(*[f"w{k}" for k in range(PARITY_WORDS)]).alias("bits"))
+    counted = counted.select("node", "size", shared_most, F.array(*_WORDS).alias("bits"))
     found = materialized(counted.where(100 * F.col("shared") >= percent * F.col("size")))
     discard(own, *met)
     return found

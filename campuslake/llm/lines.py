@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from campuslake.llm.common import materialized, sized
-from campuslake.llm.components import bucket_links, components, shared_buckets
+from campuslake.llm.components import bucket_links, components, written_buckets
 from campuslake.session import scratch
 
 SHINGLE = 9
@@ -20,14 +22,19 @@ EVERY_RUN = 32
 
 # A shingle is anchored at the start and behind every character that is no letter, or one
 # of the scripts that have no blanks between words (Thai to Khmer, and Han with its neighbours).
-_BEHIND = r"[\P{L}฀-໿က-႟ក-៿⺀-鿿]"
-_ANCHORED = rf"(?s)(?:^|{_BEHIND})(?=(.{{{SHINGLE}}}))"
+# A match takes its shingle ahead, then all up to the next anchor (the second character is none). The common
+# letters, told by a table, are tried first; a class that asks for each character's kind takes thrice the time.
+_UNSPACED = "฀-໿က-႟ក-៿⺀-鿿"
+_LATIN = "".join(c for c in map(chr, range(256)) if c.isalpha())
+_OTHER = rf"[[^\x00-\xff]&&\p{{L}}&&[^{_UNSPACED}]]"
+_WORD_REST = rf"[{_LATIN}]*(?:[\x00-\xff]|(?:{_OTHER}[{_LATIN}]*)*+.?+)"
+_ANCHORED = rf"(?s)(?=(.{{{SHINGLE}}}))(?:^[^\x00-\uffff]|(?:^.)?+{_WORD_REST})"
 _EVERY = rf"(?s)(?=(.{{{SHINGLE}}}))"
 
 
 def _shingles(line: Column, pattern: str) -> Column:
     found = F.regexp_extract_all(line, F.lit(pattern), F.lit(1))
-    return F.when(F.length(line) >= SHINGLE, found).otherwise(F.array(line))
+    return F.when(F.length(F.substring(line, 1, SHINGLE)) == SHINGLE, found).otherwise(F.array(line))
 
 
 def _hashes(line: Column) -> Column:
@@ -35,54 +42,85 @@ def _hashes(line: Column) -> Column:
 
 
 def _similar(x: Column, y: Column) -> Column:
-    """Whether the Jaccard similarity of all character shingles reaches PERCENT, exactly."""
+    """Whether the Jaccard similarity of two sets reaches PERCENT, exactly."""
+    return (100 + PERCENT) * F.size(F.array_intersect(x, y)) >= PERCENT * (F.size(x) + F.size(y))
+
+
+def _anchored(line: Column) -> Column:
+    return F.sort_array(F.array_distinct(F.transform(_shingles(line, _ANCHORED), lambda s: F.xxhash64(s))))
+
+
+def _signed(line: Column, anchored: Column) -> list[Column]:
+    """The sets that sign a line, sorted: of anchored shingles, and of all; empty if they don't."""
+    shortest = PERCENT * (SHORT - SHINGLE + 2) // 100 + SHINGLE - 1
+    length = F.length(F.substring(line, 1, SHORT + 1))
+    none = F.array().cast("array<long>")
+    every = F.when((length <= SHORT) | (F.size(anchored) < FEW), F.sort_array(_hashes(line))).otherwise(none)
+    return [F.when(length >= shortest, anchored).otherwise(none).alias("anchored"), every.alias("every")]
+
 
-    both = F.array(F.struct(_hashes(x).alias("x"), _hashes(y).alias("y")))
-    return F.transform(
-        both,
-        lambda s: (100 + PERCENT) * F.size(F.array_intersect(s["x"], s["y"])) >= PERCENT * (F.size(s["x"]) + F.size(s["y"])),
-    )[0]
+def _thresholds(bands: int) -> list[int]:
+    return [-(1 << 63) + b * ((1 << 64) // bands) for b in range(bands)]
 
 
-def _runs(hashed: Column, bands: int) -> Column:
+def _circle(hashes: Column, bands: int) -> Column:
+    """A sorted set with the thresholds among it, and on a circle: as far as a run goes beyond its end."""
+    few = F.concat(*[hashes] * (ROWS + 1))
+    return F.struct(
+        F.size(hashes).alias("size"),
+        F.sort_array(F.concat(hashes, F.array(*[F.lit(t) for t in _thresholds(bands)]))).alias("marked"),
+        F.when(F.size(hashes) < ROWS, few).otherwise(F.concat(hashes, F.slice(hashes, 1, ROWS))).alias("on"),
+    )
+
+
+def _runs(circle: Column, bands: int) -> Column:
     """The hashes of runs of ROWS successive hashes of a sorted set, on a circle.
 
-    The runs are those that follow ``bands`` thresholds; of a set of up to EVERY_RUN, all.
+    The runs are those that follow ``bands`` thresholds; of a set of up to EVERY_RUN that has SHORT_BANDS, all.
     """
-    thresholds = F.array(*[F.lit(-(1 << 63) + b * ((1 << 64) // bands)) for b in range(bands)])
+    run = lambda start: F.xxhash64(F.slice(circle["on"], start, ROWS))
+    found = F.array(*[run((F.array_position(circle["marked"], F.lit(t)) - b).cast("int")) for b, t in enumerate(_thresholds(bands))])
+    if bands == SHORT_BANDS:
+        found = F.when(circle["size"] <= EVERY_RUN, F.transform(F.sequence(F.lit(1), circle["size"]), run)).otherwise(found)
+    return F.when(circle["size"] > 0, found).otherwise(F.array().cast("array<long>"))
 
-    def keys(h: Column) -> Column:
-        merged = F.array(F.sort_array(F.concat(h, thresholds)))
-        found = F.transform(merged, lambda m: F.transform(thresholds, lambda t, b: F.array_position(m, t) - 1 - b))[0]
-        if bands == SHORT_BANDS:
-            found = F.when(F.size(h) <= EVERY_RUN, F.sequence(F.lit(0), F.size(h) - 1).cast("array<long>")).otherwise(found)
-        following = [lambda p, k=k: h[((p + k) % F.size(h)).cast("int")] for k in range(ROWS)]
-        return F.array_distinct(F.transform(found, lambda p: F.xxhash64(*[f(p) for f in following])))
 
-    return F.transform(F.array(hashed), keys)[0]
+def _keys(anchored: Column, every: Column) -> Column:
+    return F.array_distinct(F.concat(_runs(anchored, BANDS), _runs(every, SHORT_BANDS)))
 
 
-def band_keys(line: Column) -> Column:
-    """Keys of ROWS minima each, out of sorted sets of hashes.
+def with_keys(lines: DataFrame) -> DataFrame:
+    """Lines ``(..., line)`` with the ``keys`` of each, in place of the line.
 
-    A band's minima are the ROWS hashes that follow its threshold, on a circle: lines
-    of similarity J agree in all of them with a probability of about J to the power of ROWS.
+    Keys of ROWS minima each, out of sorted sets of hashes. A band's minima are the ROWS hashes that
+    follow its threshold, on a circle: lines of similarity J agree in all of them with a probability of
+    about J to the power of ROWS.
 
     Short lines, and those of few anchored shingles, have too few of these and are signed over all
     shingles. A set of up to EVERY_RUN has every run as a key: of two such sets with c shingles in common
     and d others, c >= 4 d at PERCENT, so ROWS of the c follow each other on the circle and no link is lost.
     Lines that may link with one beyond SHORT are signed both ways.
+
+    Each step is a column of its own: a lambda of Spark's works on boxed values, a column's arrays hold plain numbers.
     """
-    shortest = PERCENT * (SHORT - SHINGLE + 2) // 100 + SHINGLE - 1
-    none = F.array().cast("array<long>")
+    others = [c for c in lines.columns if c != "line"]
+    sets = lines.select("*", _anchored(F.col("line")).alias("anchored"))
+    sets = sets.select(*others, *_signed(F.col("line"), F.col("anchored")))
+    circles = sets.select(*others, _circle(F.col("anchored"), BANDS).alias("anchored"), _circle(F.col("every"), SHORT_BANDS).alias("every"))
+    return circles.select(*others, _keys(F.col("anchored"), F.col("every")).alias("keys"))
+
+
+def band_keys(line: Column) -> Column:
+    """The keys of ``with_keys`` as one column."""
+
+    def let(value: Column, body: Callable[[Column], Column]) -> Column:
+        return F.transform(F.array(value), body)[0]
 
-    def keys(anchored: Column) -> Column:
-        whole = (F.length(line) <= SHORT) | (F.size(anchored) < FEW)
-        every = F.when(whole, _runs(F.sort_array(_hashes(line)), SHORT_BANDS)).otherwise(none)
-        return F.array_distinct(F.concat(F.when(F.length(line) >= shortest, _runs(anchored, BANDS)).otherwise(none), every))
+    def keys(sets: Column) -> Column:
+        circles = F.struct(_circle(sets["anchored"], BANDS).alias("anchored"), _circle(sets["every"], SHORT_BANDS).alias("every"))
+        return let(circles, lambda c: _keys(c["anchored"], c["every"]))
 
-    anchored = F.sort_array(F.array_distinct(F.transform(_shingles(line, _ANCHORED), lambda s: F.xxhash64(s))))
-    return F.transform(F.array(anchored), keys)[0]
+    return let(_anchored(line), lambda anchored: let(F.struct(*_signed(line, anchored)), keys))
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -100,39 +138,52 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     PERCENT or more; of each component the line first by id and place stays. Equal lines
     are one node, known by a 64-bit hash. Signatures are minima of hashes of the anchored
     shingles, mostly those that begin a word, one in six of all, and of all shingles of short lines; lines that
-    agree in a band are compared by all their shingles, so every link is exact. A line
+    agree in a band are compared by all their shingles, so every link is exact. Lines that agree in
+    a band with others they don't link with are signed again, over all shingles. A line
     shorter than a shingle is its own one shingle.
 
     Blank lines are kept. Null text has no lines; rows without an id are left alone.
     Equal rows of one id share their places and keep the same lines. Other columns are ignored.
     """
+    place = F.struct("doc_id", "line_no")
     with scratch(docs.sparkSession) as keep:
         occurrences = lines_of(docs)
-        signed = occurrences.select(F.col("id").alias("node"), F.explode(band_keys(F.col("line"))).alias("key"))
-        buckets = shared_buckets(signed)
-        places = materialized(occurrences.select("doc_id", "line_no", "id"))
-        place = F.struct("doc_id", "line_no")
-        nodes = materialized(places.groupBy("id").agg(F.min(place).alias("first"), F.max(place).alias("last")))
+        signed = materialized(with_keys(occurrences))
+        places = signed.select("doc_id", "line_no", "id")
+        buckets = written_buckets(signed.select(F.col("id").alias("node"), F.explode("keys").alias("key")))
         involved = materialized(buckets.select(F.col("node").alias("id")).distinct())
         wanted = occurrences.join(sized(involved, 8), "id", "left_semi").select("id", "line")
-        texts = materialized(wanted.groupBy("id", "line").agg(F.count("*").alias("n")).select("id", "line"))
+        texts = wanted.groupBy("id", "line").agg(F.count("*").alias("n"))
+        sets = materialized(texts.select(F.col("id").alias("node"), _hashes(F.col("line")).alias("hashes")))
 
         def compared(pairs: DataFrame) -> DataFrame:
-            both = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
+            # Small numbers of pairs go to the sets, so that sets are shuffled once, to their second node.
+            pairs = materialized(pairs)
+            seconds = materialized(pairs.select(F.col("b").alias("node")).distinct())
+            second = sets.join(sized(seconds, 8), "node", "left_semi")
+            both = sets.toDF("a", "x").join(sized(pairs, 16), "a").join(second.toDF("b", "y"), "b")
             return both.where(_similar(F.col("x"), F.col("y"))).select("a", "b")
 
         def features(found: DataFrame, every: int) -> DataFrame:
-            own = texts.join(found.withColumnRenamed("node", "id"), "id")
-            own = own.select(F.col("id").alias("node"), F.explode(F.array(_hashes(F.col("line")))).alias("all"))
-            told = F.filter("all", lambda h: F.pmod(h, F.lit(every)) == 0) if every > 1 else F.col("all")
-            return own.select("node", F.size("all").alias("size"), F.explode(told).alias("feature"))
-
-        placed = materialized(components(bucket_links(buckets, compared, features, PERCENT)))
-        known = nodes.join(placed.withColumnRenamed("node", "id"), "id", "left")
-        known = known.withColumn("group", F.coalesce("component", "id"))
+            own = sets.join(sized(found, 8), "node", "left_semi")
+            told = F.filter("hashes", lambda h: F.pmod(h, F.lit(every)) == 0) if every > 1 else F.col("hashes")
+            return own.select("node", F.size("hashes").alias("size"), F.explode(told).alias("feature"))
+
+        def finer(nodes: DataFrame) -> DataFrame:
+            found = sets.join(sized(materialized(nodes), 8), "node", "left_semi")
+            circles = found.select("node", F.sort_array("hashes").alias("hashes"))
+            circles = circles.select("node", _circle(F.col("hashes"), SHORT_BANDS).alias("every"))
+            keys = materialized(circles.select("node", _runs(F.col("every"), SHORT_BANDS).alias("keys")))
+            return keys.select("node", F.explode("keys").alias("key"))
+
+        placed = materialized(components(bucket_links(buckets, compared, features, PERCENT, finer)))
+        # a line that stands once and links with none is no one's copy
+        nodes = places.groupBy("id").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+        known = nodes.join(sized(placed.withColumnRenamed("node", "id"), 16), "id", "left").where("component is not null or first <> last")
+        known = materialized(known.withColumn("group", F.coalesce("component", "id")))
         kept = known.groupBy("group").agg(F.min("first").alias("kept"), F.max("last").alias("end")).where("kept <> end")
         gone = materialized(known.join(kept, "group").select("id", "kept"))
-        removed = places.join(gone, "id").where(place != F.col("kept"))
+        removed = places.join(sized(gone, 24), "id").where(place != F.col("kept"))
         return keep(removed.groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias("removed")))
 
 

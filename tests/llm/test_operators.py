@@ -12,10 +12,11 @@ import corpus_pipeline
 from campuslake.llm import chat, fingerprints, mixing, substrings, token_output
 from campuslake.llm.common import materialized
 from campuslake.llm import components as links
+from campuslake.llm import lines as lines_module
 from campuslake.llm.components import _able, _rarest, components
 from campuslake.llm.decontamination import drop_leaks, find_leaks, tokens
 from campuslake.llm.language import identify_language
-from campuslake.llm.lines import band_keys, dedup_lines, repeated_lines
+from campuslake.llm.lines import band_keys, dedup_lines, repeated_lines, with_keys
 from campuslake.llm.ngram_join import keep_one, ngram_components, segments
 from campuslake.llm.quality import keep_good, score_quality
 from campuslake.llm.queries import QUERIES, tokenizer_path
@@ -156,6 +157,48 @@ def test_no_link_within_a_large_bucket_is_lost(spark):
     assert {i for i, _ in rows(repeated_lines(docs))} == expected
 
 
+def test_small_buckets_are_settled_without_counting_features(spark, monkeypatch):
+    """Lines that are near but don't link, and two that meet only behind another's back, in buckets of a few."""
+
+    def counted(*_):
+        raise AssertionError("features were counted")
+
+    monkeypatch.setattr(links, "_rarest", counted)
+    monkeypatch.setattr(links, "_able", counted)
+    words = "river stone meadow castle winter journey lantern harbour".split()
+    docs = []
+    for group in range(12):
+        base = [f"{w}{k}x{group}" for k, w in enumerate(words * 4)]
+        for changed in ((), range(0, 9), range(0, 8), range(20, 30)):
+            own = [f"other{k}y{group}" if k in changed else w for k, w in enumerate(base)]
+            docs.append((len(docs), " ".join(own)))
+    sets = [{s[j : j + 9] for j in range(len(s) - 8)} for _, s in docs]
+    groups = Groups(range(len(docs)))
+    for a in range(len(docs)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                groups.join(a, b)
+    expected = {a for a in range(len(docs)) if groups.find(a) != a}
+    assert len(expected) == 12
+    found = repeated_lines(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert {i for i, _ in rows(found)} == expected
+
+
+def test_anchored_shingles_and_keys_of_odd_lines(spark):
+    """The pattern that skips words finds what the plain one finds, and both forms of the keys agree."""
+    plain = rf"(?s)(?:^|[\P{{L}}{lines_module._UNSPACED}])(?=(.{{9}}))"
+    odd = ["x", "- item one of the list", "日本語のテキスト mixed with words and 漢字かな交じり文", "😀 emoji at the start, and 😀 then",
+           "Ünï çödé ªb ºc µm text that goes on", "a😀b c d e f g h", "Привет мир это русский текст", "ไทยภาษา is here",
+           "12 34 56 78 90 a1b2c3", "  leading blanks here and more", "a\U00020000b\U00020001c d e f g h i",
+           "\U00020000\U00020001 x y z and more text here", "it’s — a “quoted” text… of 10 × 5 ÷ 2 ʼn" * 3, "a" * 40]
+    line = F.col("line")
+    df = spark.createDataFrame([(s, s) for s in odd], "line string, own string")
+    assert df.where(~lines_module._shingles(line, plain).eqNullSafe(lines_module._shingles(line, lines_module._ANCHORED))).count() == 0
+    keyed = dict(rows(with_keys(df)))
+    for own, keys in rows(df.select("own", band_keys(line))):
+        assert sorted(keyed[own]) == sorted(keys) and keys
+
+
 def test_short_lines_with_an_edit_share_a_key(spark):
     rng = np.random.default_rng(5)
     letters = list("etaoinshrdlucmfw")
